@@ -1,0 +1,101 @@
+"""Run each Spark query and its DuckDB oracle side by side and compare results.
+
+Usable from pytest (``compare``) and as a script::
+
+    python tests/oracle_compare.py /root/testdata/sf0.01 [name ...]
+"""
+
+from __future__ import annotations
+
+import math
+import os
+import sys
+import time
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
+          "pages benchmark labels conversations").split()
+
+
+def duck_connection(sf_dir: str):
+    import duckdb
+    con = duckdb.connect()
+    for t in TABLES:
+        p = os.path.join(sf_dir, f"{t}.parquet")
+        if os.path.exists(p):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
+    return con
+
+
+def _norm(v):
+    if v is None:
+        return None
+    if isinstance(v, float):
+        if math.isnan(v):
+            return None
+        return round(v, 9)
+    if hasattr(v, "item"):
+        return _norm(v.item())
+    return v
+
+
+def _rows(columns, records):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    rows = [tuple(_norm(r[i]) for i in order) for r in records]
+    return sorted(rows, key=lambda r: tuple((x is None, str(type(x)), x if x is not None else 0)
+                                           for x in r))
+
+
+def compare(spark, con, name: str, fn, sql: str, sf_dir: str) -> dict:
+    t0 = time.time()
+    sdf = fn(spark, sf_dir)
+    s_cols = sdf.columns
+    s_rows = [tuple(r) for r in sdf.collect()]
+    t1 = time.time()
+    rel = con.execute(sql)
+    d_cols = [c[0] for c in rel.description]
+    d_rows = rel.fetchall()
+    t2 = time.time()
+    res = {"name": name, "spark_rows": len(s_rows), "duck_rows": len(d_rows),
+           "cols_match": sorted(s_cols) == sorted(d_cols), "spark_sec": round(t1 - t0, 2),
+           "duck_sec": round(t2 - t1, 2)}
+    res["values_match"] = res["cols_match"] and _rows(s_cols, s_rows) == _rows(d_cols, d_rows)
+    if not res["values_match"]:
+        res["spark_cols"], res["duck_cols"] = s_cols, d_cols
+        if res["cols_match"]:
+            a, b = _rows(s_cols, s_rows), _rows(d_cols, d_rows)
+            res["only_spark"] = [r for r in a if r not in b][:3]
+            res["only_duck"] = [r for r in b if r not in a][:3]
+    return res
+
+
+def main(argv):
+    from __spark_entry__ import oracle_sql, queries
+    from blotter.session import local_session
+
+    sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
+    names = argv[2:]
+    spark = local_session(8)
+    con = duck_connection(sf_dir)
+    qs, sqls = queries(), oracle_sql()
+    bad = 0
+    for name in names or list(qs):
+        if name not in sqls:
+            print(f"{name}: no oracle")
+            continue
+        try:
+            r = compare(spark, con, name, qs[name], sqls[name], sf_dir)
+        except Exception as exc:  # report and go on
+            bad += 1
+            print(f"{name}: ERROR {type(exc).__name__}: {str(exc)[:400]}")
+            continue
+        ok = r["values_match"] and r["spark_rows"] == r["duck_rows"]
+        bad += not ok
+        print(("OK  " if ok else "BAD ") + str(r))
+    print(f"{bad} failing")
+    return bad
+
+
+if __name__ == "__main__":
+    sys.exit(1 if main(sys.argv) else 0)
