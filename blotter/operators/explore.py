@@ -66,7 +66,7 @@ def filter_default_zones(df: DataFrame, entity: str, k: int) -> DataFrame:
     The zone list holds at most k rows (``limit``), so it is broadcast to a semi join.
     """
     zones = first_k_sorted(df, entity, k)
-    return df.join(F.broadcast(zones), on=entity, how="left_semi")
+    return df.join(F.broadcast(zones), on=entity, how="left_semi").select(*df.columns)
 
 
 def filter_default_then_all(df: DataFrame, c: str, defaults: Sequence) -> DataFrame:

@@ -52,7 +52,7 @@ def top_k_counts_per_group(df: DataFrame, group_cols: Sequence[str], count_col:
                   .rowsBetween(Window.unboundedPreceding, -1)
     ranked = hist.withColumn("_above", F.coalesce(F.sum("_rows").over(above), F.lit(0)))
     keep = ranked.filter(F.col("_above") < k).select(*group_cols, count_col)
-    return df.join(keep, on=[*group_cols, count_col], how="left_semi")
+    return df.join(keep, on=[*group_cols, count_col], how="left_semi").select(*df.columns)
 
 
 def running_total(df: DataFrame, sums: Mapping[str, str], order: Sequence[Column], *,

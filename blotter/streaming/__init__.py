@@ -1 +1,5 @@
 """Incremental (Structured Streaming) form of the clean job."""
+
+from blotter.streaming.incremental_clean import start_incremental_clean, text_schema
+
+__all__ = ["start_incremental_clean", "text_schema"]

@@ -1,0 +1,7 @@
+"""Shared test helpers over the driver's tables."""
+
+from blotter.queries import curated
+
+
+def adapter_curated(spark, sf_dir):
+    return curated(spark, sf_dir)
