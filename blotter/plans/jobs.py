@@ -31,7 +31,7 @@ from blotter.operators.columns import has_columns
 from blotter.operators.cube import CUBE_COUNT, daily_cube, results_from_counts
 from blotter.operators.risk import context_risk_scores, high_risk_contexts
 from blotter.profile import IncidentProfile
-from blotter.sinks.writers import write_curated, write_result
+from blotter.sinks.writers import write_curated, write_result, write_results
 from blotter.sources.zones import read_curated, read_raw_csv, read_result
 
 #: Result tables of the aggregate job, in the reference's naming.
@@ -82,12 +82,14 @@ def aggregate_results(spark: SparkSession, curated: DataFrame, analytics_base: s
 
 def run_aggregates(spark: SparkSession, curated_path: str, analytics_base: str,
                    profile: IncidentProfile, *, strategy: str = "cube", mode: str = "ignore",
-                   fmt: str = "parquet") -> dict[str, str]:
-    """CURATED -> the ten aggregate tables; returns name -> path."""
+                   fmt: str = "parquet", concurrency: int = 4) -> dict[str, str]:
+    """CURATED -> the ten aggregate tables; returns name -> path.
+
+    The tables are independent jobs and are submitted ``concurrency`` at a time.
+    """
     curated = curated_view(read_curated(spark, curated_path), profile)
     results = aggregate_results(spark, curated, analytics_base, profile, strategy=strategy, mode=mode)
-    return {name: write_result(df, analytics_base, name, mode=mode, fmt=fmt)
-            for name, df in results.items()}
+    return write_results(results, analytics_base, mode=mode, fmt=fmt, concurrency=concurrency)
 
 
 def run_risk(spark: SparkSession, curated_path: str, analytics_base: str,

@@ -8,6 +8,9 @@ written when the table is already there (even as an empty directory). Use
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,3 +50,19 @@ def write_result(df: DataFrame, base: str, name: str, *, mode: str = "ignore",
         w = w.option("header", True)
     w.format(fmt).save(path)
     return path
+
+
+def write_results(results: Mapping[str, DataFrame], base: str, *, mode: str = "ignore",
+                  fmt: str = "parquet", concurrency: int = 4) -> dict[str, str]:
+    """Write independent result tables as concurrent Spark jobs; returns name -> path.
+
+    Each table is its own job; submitting several at once lets the scheduler
+    fill idle cores while small jobs wait on their last task. The first
+    failure is raised after all submitted jobs end.
+    """
+    if concurrency <= 1 or len(results) <= 1:
+        return {n: write_result(df, base, n, mode=mode, fmt=fmt) for n, df in results.items()}
+    with ThreadPoolExecutor(max_workers=concurrency) as pool:
+        futures = {n: pool.submit(write_result, df, base, n, mode=mode, fmt=fmt)
+                   for n, df in results.items()}
+        return {n: f.result() for n, f in futures.items()}
