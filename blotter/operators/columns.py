@@ -3,9 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import fields
 
 from pyspark.sql import DataFrame
 
+from blotter.profile import IncidentProfile
+
+#: Profile fields that name input columns (the others are output names or settings).
+ROLE_FIELDS = ("entity", "date_raw", "time_hhmm", "severity", "victim_age", "victim_sex",
+               "premises", "weapon", "lat", "lon")
+
 
 class MissingColumnsError(ValueError):
     """Raised when a table lacks columns an operator needs."""
@@ -58,3 +65,24 @@ def resolve_alias(df: DataFrame, target: str) -> DataFrame:
         return df
     found = find_col(df, target)
     return df if found is None else df.withColumnRenamed(found, target)
+
+
+def resolve_profile(df: DataFrame, profile: IncidentProfile) -> IncidentProfile:
+    """Bind each role of ``profile`` to the column of ``df`` with the same normalised name.
+
+    ``Vict Age``, ``vict_age`` and ``VICTAGE`` all resolve to whatever spelling
+    the table uses. A role whose column is absent keeps its name (a missing
+    optional column then switches its results off; a missing required one is
+    reported by the operator that needs it).
+    """
+    changes = {}
+    for f in fields(profile):
+        if f.name not in ROLE_FIELDS:
+            continue
+        name = getattr(profile, f.name)
+        if name is None or name in df.columns:
+            continue
+        found = find_col(df, name)
+        if found is not None:
+            changes[f.name] = found
+    return profile.with_(**changes) if changes else profile

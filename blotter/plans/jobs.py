@@ -27,7 +27,7 @@ from pyspark.sql.types import DataType
 
 from blotter.operators.aggregate import monthly_density
 from blotter.operators.clean import clean_incidents, curated_view
-from blotter.operators.columns import has_columns
+from blotter.operators.columns import has_columns, resolve_profile
 from blotter.operators.cube import CUBE_COUNT, daily_cube, results_from_counts
 from blotter.operators.risk import context_risk_scores, high_risk_contexts
 from blotter.profile import IncidentProfile
@@ -48,16 +48,17 @@ CUBE_TABLE = "daily_cube"
 
 def run_clean(spark: SparkSession, raw: str | DataFrame, curated_path: str,
               profile: IncidentProfile, *, raw_types: Mapping[str, DataType] | None = None,
-              mode: str = "overwrite", files_per_partition: int | None = None) -> str:
+              mode: str = "overwrite", rebalance: bool = False) -> str:
     """RAW -> CURATED: parse, filter and write Parquet partitioned by year.
 
     ``raw`` is a CSV path (read as text; ``raw_types`` converts named columns)
-    or a DataFrame. Narrow job: no shuffle unless ``files_per_partition`` asks
-    for compaction.
+    or a DataFrame. Role columns are found by normalised name first. Narrow
+    job: no shuffle unless ``rebalance`` asks for evenly sized files.
     """
     raw_df = read_raw_csv(spark, raw, types=raw_types) if isinstance(raw, str) else raw
+    profile = resolve_profile(raw_df, profile)
     write_curated(clean_incidents(raw_df, profile), curated_path, partition_col=profile.year_out,
-                  mode=mode, files_per_partition=files_per_partition)
+                  mode=mode, rebalance=rebalance)
     return curated_path
 
 
@@ -87,7 +88,9 @@ def run_aggregates(spark: SparkSession, curated_path: str, analytics_base: str,
 
     The tables are independent jobs and are submitted ``concurrency`` at a time.
     """
-    curated = curated_view(read_curated(spark, curated_path), profile)
+    curated = read_curated(spark, curated_path)
+    profile = resolve_profile(curated, profile)
+    curated = curated_view(curated, profile)
     results = aggregate_results(spark, curated, analytics_base, profile, strategy=strategy, mode=mode)
     return write_results(results, analytics_base, mode=mode, fmt=fmt, concurrency=concurrency)
 
@@ -99,7 +102,9 @@ def run_risk(spark: SparkSession, curated_path: str, analytics_base: str,
     The high-risk table is a filter of the written score table, read back, so
     the context counts are computed once.
     """
-    curated = curated_view(read_curated(spark, curated_path), profile)
+    curated = read_curated(spark, curated_path)
+    profile = resolve_profile(curated, profile)
+    curated = curated_view(curated, profile)
     scores_path = write_result(context_risk_scores(curated, profile), analytics_base,
                                "context_risk_scores", mode=mode, fmt=fmt)
     scores = read_result(spark, analytics_base, "context_risk_scores", fmt=fmt)

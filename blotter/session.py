@@ -58,3 +58,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="blotter-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path
+
+
+def cluster_settings(input_bytes: int, *, target_partition_bytes: int = 256 << 20,
+                     max_initial_partitions: int = 200_000) -> dict[str, str]:
+    """Settings for a large cluster run, sized from the input volume.
+
+    Scan splits and shuffle partitions aim at ``target_partition_bytes`` each,
+    so a task's working set stays well inside executor memory whatever the
+    data size; adaptive execution then coalesces the (much smaller) aggregate
+    shuffles and splits skewed ones.
+    """
+    initial = max(200, min(max_initial_partitions, -(-input_bytes // target_partition_bytes)))
+    return {
+        **{k: v for k, v in RECOMMENDED_CONF.items() if not k.startswith("spark.ui.")},
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }

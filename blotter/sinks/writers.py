@@ -16,25 +16,21 @@ from pyspark.sql import functions as F
 
 
 def write_curated(df: DataFrame, path: str, *, partition_col: str = "year",
-                  mode: str = "overwrite", files_per_partition: int | None = None,
+                  mode: str = "overwrite", rebalance: bool = False,
                   max_records_per_file: int | None = None) -> None:
     """Write incidents as Parquet partitioned by ``partition_col``.
 
-    Default: narrow write, no shuffle; each task sorts its rows by partition value
-    and writes one file per value it holds. ``files_per_partition`` trades one
-    shuffle for fewer, larger files: rows are spread over
-    ``year x files_per_partition`` writers by a hash of the whole row, so a
-    year holding most rows is still split across that many tasks, and the
-    split is deterministic (a retried task after an executor loss sends every
-    row to the same place).
+    Default: narrow write, no shuffle; each task sorts its rows by partition
+    value and writes one file per value it holds. ``rebalance=True`` trades one
+    shuffle for well-sized files: ``REBALANCE(partition_col)`` lets adaptive
+    execution coalesce small partitions and split a year that holds most rows
+    into chunks of ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` (split by
+    map output ranges, so a retried task rewrites the same rows).
 
     ``mode="overwrite"`` with ``spark.sql.sources.partitionOverwriteMode=dynamic``
     replaces only the years present in ``df``.
     """
-    writer_df = df
-    if files_per_partition:
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
-        writer_df = df.repartition(F.col(partition_col), salt)
+    writer_df = df.hint("rebalance", partition_col) if rebalance else df
     w = writer_df.write.mode(mode).partitionBy(partition_col)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)

@@ -36,12 +36,30 @@ def read_raw_csv(spark: SparkSession, path: str, *, types: Mapping[str, DataType
     return df
 
 
-def read_curated(spark: SparkSession, path: str) -> DataFrame:
+def read_curated(spark: SparkSession, path: str, *, fmt: str = "parquet",
+                 date_col: str = "date_occ") -> DataFrame:
     """Curated incidents; the ``year`` partition column is discovered from the paths.
 
     A filter on ``year`` prunes whole directories (``PartitionFilters`` in the scan).
+    ``fmt="csv"`` reads a curated zone written as CSV with a header (every
+    column is text then, as in the reference's lake); the date column is turned
+    back into a date with ``try_to_date`` (bad text -> NULL).
     """
-    return spark.read.option("basePath", path).parquet(path)
+    if fmt == "parquet":
+        return spark.read.option("basePath", path).parquet(path)
+    df = strip_column_names(spark.read.option("header", True).option("basePath", path)
+                            .format(fmt).load(path))
+    if date_col in df.columns:
+        df = df.withColumn(date_col, F.try_to_date(F.col(date_col)))
+    return df
+
+
+def union_tables(*tables: DataFrame) -> DataFrame:
+    """Stack tables with the same columns, matched by name (parts of one result)."""
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t, allowMissingColumns=True)
+    return out
 
 
 def read_result(spark: SparkSession, base: str, name: str, *, schema: StructType | None = None,
