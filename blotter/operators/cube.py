@@ -17,11 +17,9 @@ from pyspark.sql import functions as F
 from blotter.functions.classify import weapon_used
 from blotter.operators.aggregate import (
     avg_count_per_bucket,
-    split_grouping_sets,
     total_by_entity,
     weapon_usage_per_year,
     yearly_counts,
-    yearly_grouping_sets,
 )
 from blotter.operators.columns import require_columns
 from blotter.profile import IncidentProfile
@@ -64,23 +62,15 @@ def results_from_counts(source: DataFrame, profile: IncidentProfile, *,
         "avg_by_area_month": avg_count_per_bucket(source, e, d, "month", weight=weight, year_col=y),
         "total_by_area": total_by_entity(source, e, weight=weight),
     }
+    # Four separate tables: one direct aggregate each (a grouping-sets pass
+    # would expand every row four times and then keep one set per table).
+    by = {"crimes_per_year": [], "crimes_per_year_area": [e]}
     sev = profile.severity_col
     if sev is not None and sev in source.columns:
-        gs = yearly_grouping_sets(source, d, e, sev, weight=weight, year_col=y,
+        by.update({"crimes_per_year_severity": [sev], "crimes_per_year_area_severity": [e, sev]})
+    for name, keys in by.items():
+        out[name] = yearly_counts(source, d, keys, weight=weight, year_col=y,
                                   year_name=profile.year_key, name=profile.count_out)
-        parts = split_grouping_sets(gs, e, sev, year_name=profile.year_key, name=profile.count_out)
-        out.update({
-            "crimes_per_year": parts["per_year"],
-            "crimes_per_year_area": parts["per_year_area"],
-            "crimes_per_year_severity": parts["per_year_severity"],
-            "crimes_per_year_area_severity": parts["per_year_area_severity"],
-        })
-    else:
-        out["crimes_per_year"] = yearly_counts(source, d, weight=weight, year_col=y,
-                                               year_name=profile.year_key, name=profile.count_out)
-        out["crimes_per_year_area"] = yearly_counts(source, d, [e], weight=weight, year_col=y,
-                                                    year_name=profile.year_key,
-                                                    name=profile.count_out)
     if "weapon_used" in source.columns:
         out["weapon_usage_per_year"] = weapon_usage_per_year(
             source, d, "weapon_used", weight=weight, classified=True, year_col=y,
