@@ -13,6 +13,10 @@ Aggregate job shapes:
   the reference's shape (ten scans); kept for comparison and for tables whose
   cube would not be much smaller than the incidents.
 
+``run_analytics`` goes further and computes the aggregate and risk tables
+together: one grouping-sets aggregate for the cube and the context counts, one
+narrow aggregate for the heat map (two scans of CURATED for twelve tables).
+
 Every intermediate that is read more than once is a written table in the
 ANALYTICS zone, never a cache or a local checkpoint: a lost executor costs a
 task retry, not a recomputation from RAW.
@@ -29,7 +33,8 @@ from blotter.operators.aggregate import monthly_density
 from blotter.operators.clean import clean_incidents, curated_view
 from blotter.operators.columns import has_columns, resolve_profile
 from blotter.operators.cube import CUBE_COUNT, daily_cube, results_from_counts
-from blotter.operators.risk import context_risk_scores, high_risk_contexts
+from blotter.operators.risk import context_risk_scores, high_risk_contexts, score_counts
+from blotter.operators.shared import shared_counts, split_shared_counts
 from blotter.profile import IncidentProfile
 from blotter.sinks.writers import write_curated, write_result, write_results
 from blotter.sources.zones import read_curated, read_raw_csv, read_result
@@ -44,6 +49,8 @@ AGGREGATE_TABLES = (
 RISK_TABLES = ("context_risk_scores", "high_risk_contexts")
 #: Intermediate count table written by the cube strategy.
 CUBE_TABLE = "daily_cube"
+#: Intermediate count table written by the shared-scan analytics job.
+SHARED_TABLE = "shared_counts"
 
 
 def run_clean(spark: SparkSession, raw: str | DataFrame, curated_path: str,
@@ -113,13 +120,56 @@ def run_risk(spark: SparkSession, curated_path: str, analytics_base: str,
     return {"context_risk_scores": scores_path, "high_risk_contexts": high_path}
 
 
+def run_analytics(spark: SparkSession, curated_path: str, analytics_base: str,
+                  profile: IncidentProfile, *, mode: str = "ignore", fmt: str = "parquet",
+                  concurrency: int = 4, heat_in_shared_scan: bool = False) -> dict[str, str]:
+    """CURATED -> all twelve tables (aggregate and risk jobs together).
+
+    One grouping-sets aggregate writes the cube and context counts as one table
+    (:mod:`blotter.operators.shared`); the nine additive results and the scores
+    are derived from it, the high-risk table from the written score table. The
+    heat map is its own narrow aggregate (two scans of CURATED in all), or part
+    of the shared scan with ``heat_in_shared_scan=True`` (one scan).
+    """
+    curated = read_curated(spark, curated_path)
+    profile = resolve_profile(curated, profile)
+    curated = curated_view(curated, profile)
+    write_result(shared_counts(curated, profile, include_heat=heat_in_shared_scan),
+                 analytics_base, SHARED_TABLE, mode=mode)
+    parts = split_shared_counts(read_result(spark, analytics_base, SHARED_TABLE), profile)
+    results = results_from_counts(parts["cube"], profile, weight=CUBE_COUNT)
+    if "heat" in parts:
+        results["crime_heatmap_monthly"] = parts["heat"]
+    elif has_columns(curated, profile.lat, profile.lon):
+        results["crime_heatmap_monthly"] = monthly_density(
+            curated, profile.date_out, profile.entity, profile.lat, profile.lon,
+            year_col=profile.year_out, year_name=profile.year_key, name=profile.count_out)
+    if "contexts" in parts:
+        results["context_risk_scores"] = score_counts(parts["contexts"], count_col=profile.count_out)
+    paths = write_results(results, analytics_base, mode=mode, fmt=fmt, concurrency=concurrency)
+    if "contexts" in parts:
+        scores = read_result(spark, analytics_base, "context_risk_scores", fmt=fmt)
+        paths["high_risk_contexts"] = write_result(high_risk_contexts(scores, profile),
+                                                   analytics_base, "high_risk_contexts",
+                                                   mode=mode, fmt=fmt)
+    return paths
+
+
 def run_batch(spark: SparkSession, raw: str | DataFrame, lake_base: str, profile: IncidentProfile,
               *, raw_types: Mapping[str, DataType] | None = None, mode: str = "ignore",
-              strategy: str = "cube") -> dict[str, str]:
-    """All three jobs in order under ``lake_base`` (curated/ and analytics/)."""
+              strategy: str = "shared") -> dict[str, str]:
+    """All jobs in order under ``lake_base`` (curated/ and analytics/).
+
+    ``strategy="shared"`` runs the aggregate and risk jobs together over a
+    shared scan (:func:`run_analytics`); ``"cube"`` or ``"per_result"`` run
+    them as the reference's two jobs with that aggregate shape.
+    """
     base = lake_base.rstrip("/")
     curated_path = run_clean(spark, raw, f"{base}/curated", profile, raw_types=raw_types)
-    out = run_aggregates(spark, curated_path, f"{base}/analytics", profile,
-                         strategy=strategy, mode=mode)
-    out.update(run_risk(spark, curated_path, f"{base}/analytics", profile, mode=mode))
+    if strategy == "shared":
+        out = run_analytics(spark, curated_path, f"{base}/analytics", profile, mode=mode)
+    else:
+        out = run_aggregates(spark, curated_path, f"{base}/analytics", profile,
+                             strategy=strategy, mode=mode)
+        out.update(run_risk(spark, curated_path, f"{base}/analytics", profile, mode=mode))
     return {"curated": curated_path, **out}

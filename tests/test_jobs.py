@@ -18,7 +18,7 @@ from conftest import SF_SMALL
 @pytest.fixture(scope="module")
 def lake(spark, tmp_path_factory):
     base = str(tmp_path_factory.mktemp("lake"))
-    paths = run_batch(spark, raw_incidents(spark, SF_SMALL), base, P)
+    paths = run_batch(spark, raw_incidents(spark, SF_SMALL), base, P, strategy="cube")
     return base, paths
 
 
@@ -84,6 +84,24 @@ def test_reference_shape_equals_cube(spark, lake, tmp_path):
     assert not os.path.exists(f"{out}/daily_cube")
 
 
+def test_shared_scan_analytics_equals_two_jobs(spark, lake, tmp_path):
+    from blotter.plans.inspect import count_nodes
+    from blotter.plans.jobs import run_analytics
+    from blotter.operators.clean import curated_view
+    from blotter.operators.shared import shared_counts
+    base, _ = lake
+    for heat in (False, True):
+        out = str(tmp_path / f"shared_{heat}")
+        paths = run_analytics(spark, f"{base}/curated", out, P, heat_in_shared_scan=heat)
+        assert set(paths) == set(AGGREGATE_TABLES) | set(RISK_TABLES)
+        for name in (*AGGREGATE_TABLES, *RISK_TABLES):
+            a = read_result(spark, f"{base}/analytics", name)
+            b = read_result(spark, out, name)
+            assert _sorted(a) == _sorted(b.select(*a.columns)), (heat, name)
+    shared = shared_counts(curated_view(read_curated(spark, f"{base}/curated"), P), P)
+    assert count_nodes(shared, "FileScan parquet") == 1 and count_nodes(shared, "Expand") == 1
+
+
 def test_year_filter_prunes_partitions_and_scan_prunes_columns(spark, lake):
     base, _ = lake
     cur = read_curated(spark, f"{base}/curated")
