@@ -13,7 +13,7 @@ from blotter.functions.classify import (
     victim_type,
     weapon_used,
 )
-from blotter.functions.labels import context_label, month_name
+from blotter.functions.labels import context_label, month_name, percent_label
 from blotter.functions.time import (
     bucket_columns,
     hour_from_hhmm,
@@ -31,6 +31,7 @@ __all__ = [
     "hour_from_hhmm",
     "month_name",
     "parse_timestamp",
+    "percent_label",
     "risk_level",
     "sex_norm",
     "time_slot",

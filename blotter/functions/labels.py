@@ -27,3 +27,9 @@ def context_label(area: str | Column, slot: str | Column, place: str | Column,
     """``area | slot | first chars of place...``; NULL in any part gives NULL."""
     return F.concat(_col(area), F.lit(" | "), _col(slot), F.lit(" | "),
                     F.substring(_col(place), 1, place_chars), F.lit("..."))
+
+
+def percent_label(value: str | Column, digits: int = 2) -> Column:
+    """``12.3456`` -> ``"12.35 %"`` (fixed decimals, no grouping separators); NULL stays NULL."""
+    v = _col(value)
+    return F.when(v.isNotNull(), F.format_string(f"%.{digits}f %%", v))

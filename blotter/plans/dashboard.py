@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter import profile as P
-from blotter.functions.labels import month_name
+from blotter.functions.labels import month_name, percent_label
 from blotter.operators import explore as ex
 from blotter.sources.zones import read_result
 
@@ -88,5 +88,6 @@ def high_risk_page(spark: SparkSession, base: str, *, zones=None, time_slots=Non
                                age_ranges=age_ranges, sexes=sexes, entity=entity)
     score = "risk_score_10" if "risk_score_10" in hr.columns else "z_score"
     return {"contexts": sel.orderBy(F.col(score).desc()),
-            "summary": ex.risk_summary(sel),
+            "summary": ex.risk_summary(sel).withColumn("max_share_label",
+                                                         percent_label("max_share")),
             "top": ex.top_contexts_labelled(sel, entity, P.TOP_CONTEXTS)}

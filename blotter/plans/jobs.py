@@ -24,6 +24,7 @@ task retry, not a recomputation from RAW.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +40,8 @@ from blotter.profile import IncidentProfile
 from blotter.sinks.writers import write_curated, write_result, write_results
 from blotter.sources.zones import read_curated, read_raw_csv, read_result
 
+log = logging.getLogger(__name__)
+
 #: Result tables of the aggregate job, in the reference's naming.
 AGGREGATE_TABLES = (
     "avg_by_area_day", "avg_by_area_week", "avg_by_area_month", "total_by_area",
@@ -112,6 +115,12 @@ def run_risk(spark: SparkSession, curated_path: str, analytics_base: str,
     curated = read_curated(spark, curated_path)
     profile = resolve_profile(curated, profile)
     curated = curated_view(curated, profile)
+    roles = {"entity": profile.entity, "time": profile.time_hhmm, "age": profile.victim_age,
+             "sex": profile.victim_sex, "premises": profile.premises}
+    missing = {k: v for k, v in roles.items() if v is None or v not in curated.columns}
+    if missing:
+        log.warning("context columns missing, no risk tables written: %s", missing)
+        return {}
     scores_path = write_result(context_risk_scores(curated, profile), analytics_base,
                                "context_risk_scores", mode=mode, fmt=fmt)
     scores = read_result(spark, analytics_base, "context_risk_scores", fmt=fmt)

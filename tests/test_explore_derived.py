@@ -1,0 +1,138 @@
+"""Dashboard operations and derived answers on hand-made tables."""
+
+import math
+
+from pyspark.sql import functions as F
+
+from blotter.operators import derived as drv
+from blotter.operators import explore as ex
+
+
+def _scores(spark, rows):
+    return spark.createDataFrame(rows, "a string, time_slot string, place_type string, "
+                                       "age_range string, sex_norm string, n_crimes long, "
+                                       "z_score double, risk_level string, "
+                                       "crime_share_percent double, risk_score_10 double")
+
+
+ROWS = [
+    ("A", "Nuit (0-5)", "STREET", "18-29", "F", 90, 4.0, "Tres eleve", 3.0, 8.0),
+    ("A", "Matin (6-11)", "STREET", "30-44", "M", 60, 2.5, "Eleve", 2.0, 5.0),
+    ("B", "Nuit (0-5)", "PARKING LOT WITH A VERY LONG NAME", "18-29", "F", 55, 2.1, "Eleve",
+     1.5, 4.2),
+    ("B", "Soiree (18-23)", "STREET", "65+", "M", 10, 0.1, "Normal", 0.5, 0.2),
+]
+
+
+def test_empty_selection_keeps_all_and_nonempty_filters(spark):
+    df = _scores(spark, ROWS)
+    assert ex.filter_selected(df, {"a": [], "sex_norm": None}).count() == 4
+    assert ex.filter_selected(df, {"a": ["B"], "sex_norm": ["F"]}).count() == 1
+    assert ex.filter_in(df, "a", []).count() == 0
+
+
+def test_default_risk_levels_and_fallback_to_all(spark):
+    df = _scores(spark, ROWS)
+    assert ex.explore_high_risk(df, entity="a").count() == 3
+    normal_only = df.filter(F.col("risk_level") == "Normal")
+    assert ex.explore_high_risk(normal_only, entity="a").count() == 1
+    assert ex.explore_high_risk(df, risk_levels=["Normal"], entity="a").count() == 1
+
+
+def test_summary_and_fallback_columns(spark):
+    df = _scores(spark, ROWS)
+    r = ex.risk_summary(ex.explore_high_risk(df, entity="a")).first()
+    assert (r["n_scenarios"], r["max_n_crimes"], r["max_score"], r["max_share"]) == (3, 90, 8.0, 3.0)
+    r2 = ex.risk_summary(df.drop("risk_score_10", "crime_share_percent")).first()
+    assert r2["max_score"] == 4.0 and r2["max_share"] == 4.0
+
+
+def test_top_contexts_caption_and_order(spark):
+    df = _scores(spark, ROWS)
+    top = ex.top_contexts_labelled(df, "a", 2).collect()
+    assert [r["n_crimes"] for r in top] == [90, 60]
+    long_place = ex.top_contexts_labelled(df.filter("a = 'B'"), "a", 1).first()["context"]
+    assert long_place == "B | Nuit (0-5) | PARKING LOT WITH A VERY L..."  # 25 characters
+
+
+def test_top_entities_tie_break(spark):
+    df = spark.createDataFrame([("C", 5), ("A", 5), ("B", 7), ("D", 1)], "e string, n long")
+    assert [r["e"] for r in ex.top_entities(df, "e", "n", 3).collect()] == ["B", "A", "C"]
+
+
+def test_default_zones_are_first_in_name_order(spark):
+    df = spark.createDataFrame([(z, i) for i, z in enumerate("EDCBA")] + [(None, 9)],
+                               "z string, v long")
+    got = sorted(r["z"] for r in ex.filter_default_zones(df, "z", 3).collect())
+    assert got == ["A", "B", "C"]
+
+
+def test_heatmap_points_default_month(spark):
+    heat = spark.createDataFrame(
+        [(2020, 5, "A", 1.0, 2.0, 3), (2021, 7, "A", 1.0, 2.0, 4), (2021, 3, "B", 5.0, 6.0, 1),
+         (2021, 3, "A", None, 6.0, 1)],
+        "year_int int, month int, a string, lat double, lon double, n_crimes long")
+    pts = ex.heatmap_points(heat, "a", "lat", "lon").collect()
+    assert [tuple(r) for r in pts] == [(5.0, 6.0, 1)]
+    pts = ex.heatmap_points(heat, "a", "lat", "lon", year=2020, month=5).collect()
+    assert [tuple(r) for r in pts] == [(1.0, 2.0, 3)]
+
+
+def test_year_over_year_uses_previous_calendar_year(spark):
+    py = spark.createDataFrame([(2018, 100), (2019, 150), (2021, 120)], "year_int int, n_crimes long")
+    got = {r["year_int"]: (r["prev_n_crimes"], r["pct_change"])
+           for r in drv.year_over_year(py).collect()}
+    assert got == {2018: (None, None), 2019: (100, 50.0), 2021: (None, None)}
+
+
+def test_severity_share_sums_to_100_per_year(spark):
+    sev = spark.createDataFrame([(2020, 1, 30), (2020, 2, 10), (2021, 1, 5)],
+                                "year_int int, part_1_2 int, n_crimes long")
+    got = {(r[0], r[1]): r["share_percent"] for r in drv.severity_share(sev, "part_1_2").collect()}
+    assert got == {(2020, 1): 75.0, (2020, 2): 25.0, (2021, 1): 100.0}
+
+
+def test_area_concentration_cumulative(spark):
+    tot = spark.createDataFrame([("A", 50), ("B", 30), ("C", 20), ("D", 0)],
+                                "e string, n_crimes_total long")
+    got = [(r["e"], r["rank_by_total"], r["cumulative_share_percent"])
+           for r in drv.area_concentration(tot, "e").orderBy("rank_by_total").collect()]
+    assert got == [("A", 1, 50.0), ("B", 2, 80.0), ("C", 3, 100.0), ("D", 4, 100.0)]
+
+
+def test_chronic_areas_need_all_three_horizons(spark):
+    d = spark.createDataFrame([("A", 9.0), ("B", 8.0), ("C", 1.0)], "e string, avg_crimes_per_day double")
+    w = spark.createDataFrame([("A", 9.0), ("B", 1.0), ("C", 8.0)], "e string, avg_crimes_per_week double")
+    m = spark.createDataFrame([("A", 9.0), ("B", 8.0), ("C", 8.0)], "e string, avg_crimes_per_month double")
+    assert [r["e"] for r in drv.chronic_areas(d, w, m, "e", k=2).collect()] == ["A"]
+
+
+def test_recurrent_hotspots_counts_months_in_top_k_with_ties(spark):
+    heat = spark.createDataFrame(
+        [(2020, 1, "A", 1.0, 1.0, 5), (2020, 1, "B", 1.0, 1.0, 5), (2020, 1, "A", 2.0, 2.0, 9),
+         (2020, 1, "A", 3.0, 3.0, 1), (2020, 2, "A", 3.0, 3.0, 4), (2020, 2, "A", 2.0, 2.0, 4)],
+        "year_int int, month int, a string, lat double, lon double, n_crimes long")
+    got = {(r["lat"], r["lon"]): r["hot_months"]
+           for r in drv.recurrent_hotspots(heat, "lat", "lon", k=1).collect()}
+    # month 1: point (1,1) sums to 10 across areas and is the only top-1;
+    # month 2: (2,2) and (3,3) tie at 4.
+    assert got == {(1.0, 1.0): 1, (2.0, 2.0): 1, (3.0, 3.0): 1}
+
+
+def test_seasonality_index(spark):
+    import datetime as dt
+    rows = [("A", dt.date(2020, 1, d)) for d in range(1, 4)] + [("A", dt.date(2020, 2, 1))] + \
+           [("A", dt.date(2021, 1, 1))]
+    df = spark.createDataFrame(rows, "e string, d date")
+    got = {r["month"]: r["seasonality_index"]
+           for r in drv.seasonality_index(df, "e", "d", year_col=None).collect()}
+    # buckets: 2020-01:3, 2020-02:1, 2021-01:1 -> overall mean 5/3; Jan mean 2, Feb 1
+    assert math.isclose(got[1], 2 / (5 / 3)) and math.isclose(got[2], 1 / (5 / 3))
+
+
+def test_high_risk_by_attribute_shares(spark):
+    df = _scores(spark, ROWS[:3])
+    got = {r["age_range"]: (r["n_contexts"], r["n_crimes"], round(r["share_percent"], 6))
+           for r in drv.high_risk_by(df, "age_range").collect()}
+    assert got == {"18-29": (2, 145, round(145 / 205 * 100, 6)),
+                   "30-44": (1, 60, round(60 / 205 * 100, 6))}

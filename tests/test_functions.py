@@ -123,3 +123,9 @@ def test_hour_of_hhmm_is_floor(spark):
     df = spark.createDataFrame([("0130",), ("59",), ("2400",), ("x",)], "t string")
     got = [r[0] for r in df.select(hour_from_hhmm("t")).collect()]
     assert got == [1, 0, 24, None]
+
+
+def test_percent_label(spark):
+    from blotter.functions import percent_label
+    df = spark.createDataFrame([(1.338973,), (1234.5,), (None,)], "x double")
+    assert [r[0] for r in df.select(percent_label("x")).collect()] == ["1.34 %", "1234.50 %", None]

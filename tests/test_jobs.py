@@ -170,7 +170,8 @@ def test_dashboard_pages(spark, lake):
     heat = dash.heatmap_month(spark, a, entity=e, lat="lat", lon="lon")
     assert heat["n_points"].first()[0] == heat["points"].count() > 0
     page = dash.high_risk_page(spark, a, entity=e)
-    assert page["summary"].first()["n_scenarios"] == 2
+    summary = page["summary"].first()
+    assert summary["n_scenarios"] == 2 and summary["max_share_label"].endswith(" %")
     assert page["top"].count() == 2
     assert dash.weapon_series(spark, a).count() == 12
 
@@ -199,3 +200,10 @@ def test_csv_zones_round_trip(spark, tmp_path):
     assert "AREA NAME" in res.columns and res.count() == 21
     parts = [res.filter(F.col("AREA NAME") < "AREA_10"), res.filter(F.col("AREA NAME") >= "AREA_10")]
     assert union_tables(*parts).count() == 21
+
+
+def test_risk_job_without_context_columns_writes_nothing(spark, lake, tmp_path):
+    from blotter.plans.jobs import run_risk
+    base, _ = lake
+    assert run_risk(spark, f"{base}/curated", str(tmp_path), P.with_(premises="no_such")) == {}
+    assert not os.path.exists(str(tmp_path / "context_risk_scores"))
