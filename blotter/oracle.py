@@ -302,4 +302,15 @@ SELECT o_orderpriority, round(avg(n), 6) AS avg_crimes_per_month FROM
   (SELECT o_orderpriority, year, month(date_occ) AS m, count(*) AS n
    FROM od GROUP BY o_orderpriority, year, month(date_occ))
 GROUP BY o_orderpriority""")
+    q["orders_context_scores"] = _orders("""
+, c AS (SELECT year AS year_int, o_orderpriority, o_orderstatus, count(*) AS n_crimes
+        FROM od GROUP BY year, o_orderpriority, o_orderstatus),
+s AS (SELECT avg(n_crimes) AS mean_n, coalesce(nullif(stddev_pop(n_crimes), 0), 1.0) AS std_n,
+             coalesce(CAST(sum(n_crimes) AS DOUBLE), 1.0) AS total_n FROM c),
+z AS (SELECT c.*, (c.n_crimes - s.mean_n) / s.std_n AS z, s.total_n FROM c, s)
+SELECT year_int, o_orderpriority, o_orderstatus, n_crimes, round(z, 6) AS z_score,
+       CASE WHEN z >= 3.0 THEN 'Tres eleve' WHEN z >= 2.0 THEN 'Eleve' ELSE 'Normal' END AS risk_level,
+       round((n_crimes / total_n) * 100.0, 6) AS crime_share_percent,
+       round(least(greatest((z / 5.0) * 10.0, 0.0), 10.0), 6) AS risk_score_10
+FROM z""")
     return q

@@ -27,7 +27,7 @@ from blotter.operators import derived as drv
 from blotter.operators import explore as ex
 from blotter.operators.clean import clean_incidents, curated_view
 from blotter.operators.cube import daily_cube
-from blotter.operators.risk import context_risk_scores, high_risk_contexts
+from blotter.operators.risk import context_risk_scores, high_risk_contexts, score_counts
 from blotter.profile import ADAPTER_PROFILE, IncidentProfile
 from blotter.sources.fixture import raw_incidents
 from blotter.sources.zones import read_table
@@ -197,6 +197,8 @@ def _queries() -> dict[str, Query]:
         orders_clean(s, d), "date_occ", ["o_orderstatus"])
     q["orders_avg_per_month"] = lambda s, d: agg.avg_count_per_bucket(
         orders_clean(s, d), "o_orderpriority", "date_occ", "month")
+    q["orders_context_scores"] = lambda s, d: score_counts(agg.yearly_counts(
+        orders_clean(s, d), "date_occ", ["o_orderpriority", "o_orderstatus"]))
     return q
 
 
