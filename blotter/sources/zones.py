@@ -68,13 +68,16 @@ def read_result(spark: SparkSession, base: str, name: str, *, schema: StructType
 
     All part files of the directory are read as one table. Column names are
     stripped and, when ``entity`` is given, a loosely matching column is renamed
-    to it (``area name`` -> ``AREA NAME``). Without ``schema`` a missing table is
+    to it (``area name`` -> ``AREA NAME``). CSV tables get their column types
+    inferred unless ``schema`` is given. Without ``schema`` a missing table is
     an empty frame with no columns.
     """
     path = f"{base.rstrip('/')}/{name}"
     reader = spark.read
     if fmt == "csv":
-        reader = reader.option("header", True)
+        # Result tables are small aggregates: one inference pass is cheap and
+        # gives numeric columns numeric types (sorting by value needs it).
+        reader = reader.option("header", True).option("inferSchema", schema is None)
     if schema is not None:
         reader = reader.schema(schema)
     try:

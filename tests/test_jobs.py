@@ -198,6 +198,7 @@ def test_csv_zones_round_trip(spark, tmp_path):
     write_result(back.groupBy(" area_name ".strip()).count(), str(tmp_path), "res", fmt="csv")
     res = read_result(spark, str(tmp_path), "res", fmt="csv", entity="AREA NAME")
     assert "AREA NAME" in res.columns and res.count() == 21
+    assert dict(res.dtypes)["count"] == "int"
     parts = [res.filter(F.col("AREA NAME") < "AREA_10"), res.filter(F.col("AREA NAME") >= "AREA_10")]
     assert union_tables(*parts).count() == 21
 
