@@ -90,3 +90,23 @@ def test_heatmap_keeps_zero_coordinates_and_drops_missing(spark):
 def test_total_by_area_plans_a_single_exchange(spark):
     cur = adapter_curated(spark, SF_SMALL)
     assert count_nodes(agg.total_by_entity(cur, P.entity), "Exchange") == 1
+
+
+def test_hot_area_is_pre_aggregated_before_every_shuffle(spark):
+    """AREA_00 holds about a third of the incidents; every shuffle carries partial counts."""
+    import re
+
+    from blotter.operators.risk import context_risk_scores
+    from blotter.plans.inspect import plan_text
+    cur = adapter_curated(spark, SF_SMALL)
+    share = cur.filter(F.col(P.entity) == "AREA_00").count() / cur.count()
+    assert share > 0.3
+    for df in (agg.total_by_entity(cur, P.entity),
+               agg.avg_count_per_bucket(cur, P.entity, P.date_out, "week"),
+               daily_cube(cur, P), context_risk_scores(cur, P)):
+        text = plan_text(df, "simple").split("== Initial Plan ==")[0]
+        found = list(re.finditer(r"Exchange hashpartitioning", text))
+        assert found
+        for m in found:
+            below = text[m.end():].split("\n")[1]
+            assert "HashAggregate" in below and "partial_" in below, below
