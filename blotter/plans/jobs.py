@@ -35,7 +35,7 @@ from blotter.operators.clean import clean_incidents, curated_view
 from blotter.operators.columns import has_columns, resolve_profile
 from blotter.operators.cube import CUBE_COUNT, daily_cube, results_from_counts
 from blotter.operators.risk import context_risk_scores, high_risk_contexts, score_counts
-from blotter.operators.shared import shared_counts, split_shared_counts
+from blotter.operators.shared import GID, shared_counts, split_shared_counts
 from blotter.profile import IncidentProfile
 from blotter.sinks.writers import write_curated, write_result, write_results
 from blotter.sources.zones import read_curated, read_raw_csv, read_result
@@ -143,8 +143,9 @@ def run_analytics(spark: SparkSession, curated_path: str, analytics_base: str,
     curated = read_curated(spark, curated_path)
     profile = resolve_profile(curated, profile)
     curated = curated_view(curated, profile)
+    # Partitioned by set: each reader below prunes to the files of its own set.
     write_result(shared_counts(curated, profile, include_heat=heat_in_shared_scan),
-                 analytics_base, SHARED_TABLE, mode=mode)
+                 analytics_base, SHARED_TABLE, mode=mode, partition_by=GID)
     parts = split_shared_counts(read_result(spark, analytics_base, SHARED_TABLE), profile)
     results = results_from_counts(parts["cube"], profile, weight=CUBE_COUNT)
     if "heat" in parts:

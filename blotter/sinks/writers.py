@@ -38,10 +38,12 @@ def write_curated(df: DataFrame, path: str, *, partition_col: str = "year",
 
 
 def write_result(df: DataFrame, base: str, name: str, *, mode: str = "ignore",
-                 fmt: str = "parquet") -> str:
+                 fmt: str = "parquet", partition_by: str | None = None) -> str:
     """Write one ANALYTICS table to ``{base}/{name}``; returns the path."""
     path = f"{base.rstrip('/')}/{name}"
     w = df.write.mode(mode)
+    if partition_by:
+        w = w.partitionBy(partition_by)
     if fmt == "csv":
         w = w.option("header", True)
     w.format(fmt).save(path)
