@@ -9,6 +9,8 @@ global rankings use :mod:`blotter.operators.ranking`.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +18,24 @@ from blotter.operators.aggregate import per_bucket_counts
 from blotter.operators.ranking import kth_largest, running_total, top_k_counts_per_group
 
 
+def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` with NULL-safe equality, keeping one copy of each key column.
+
+    A NULL entity is a group of its own in every aggregate, so it matches
+    itself here too. It also keeps both sides' plans free of inferred
+    ``IS NOT NULL`` filters, so when both come from the same aggregate Spark
+    reuses one exchange for them instead of scanning twice.
+    """
+    lt, rt = left.alias("_l"), right.alias("_r")
+    cond = None
+    for k in keys:
+        c = F.col(f"_l.`{k}`").eqNullSafe(F.col(f"_r.`{k}`"))
+        cond = c if cond is None else cond & c
+    joined = lt.join(rt, cond, how)
+    return joined.select(*[F.col(f"_l.`{c}`") for c in left.columns],
+                         *[F.col(f"_r.`{c}`") for c in right.columns if c not in keys])
+
+
 def area_concentration(totals: DataFrame, entity: str, *, count_col: str = "n_crimes_total") -> DataFrame:
     """Share of all incidents per entity and the cumulative share, largest first.
 
@@ -36,7 +56,7 @@ def year_over_year(per_year: DataFrame, *, year_col: str = "year_int",
     """Change against the previous calendar year (NULL when that year has no row)."""
     prev = per_year.select((F.col(year_col) + 1).alias(year_col),
                            F.col(count_col).alias("prev_n_crimes"))
-    out = per_year.join(prev, year_col, "left")
+    out = join_keys(per_year, prev, [year_col], "left")
     return out.select(
         year_col, count_col, "prev_n_crimes",
         (F.col(count_col) - F.col("prev_n_crimes")).alias("change"),
@@ -49,12 +69,12 @@ def area_vs_city_trend(per_year_area: DataFrame, per_year: DataFrame, entity: st
     """Each entity's yearly change next to the whole table's, and the gap between them."""
     prev = per_year_area.select(entity, (F.col(year_col) + 1).alias(year_col),
                                 F.col(count_col).alias("_prev"))
-    area = per_year_area.join(prev, [entity, year_col], "left").select(
+    area = join_keys(per_year_area, prev, [entity, year_col], "left").select(
         entity, year_col, count_col,
         ((F.col(count_col) - F.col("_prev")) / F.col("_prev") * 100.0).alias("area_pct_change"))
     city = year_over_year(per_year, year_col=year_col, count_col=count_col) \
         .select(year_col, F.col("pct_change").alias("city_pct_change"))
-    return area.join(city, year_col, "left").withColumn(
+    return join_keys(area, city, [year_col], "left").withColumn(
         "gap_pct_points", F.col("area_pct_change") - F.col("city_pct_change"))
 
 
@@ -71,7 +91,7 @@ def chronic_areas(avg_day: DataFrame, avg_week: DataFrame, avg_month: DataFrame,
                   k: int = 5) -> DataFrame:
     """Entities ranked within the top k (ties included) by day, week and month averages."""
     d, w, m = "avg_crimes_per_day", "avg_crimes_per_week", "avg_crimes_per_month"
-    joined = avg_day.join(avg_week, entity).join(avg_month, entity)
+    joined = join_keys(join_keys(avg_day, avg_week, [entity]), avg_month, [entity])
     return joined.filter((F.col(d) >= kth_largest(avg_day, d, k))
                          & (F.col(w) >= kth_largest(avg_week, w, k))
                          & (F.col(m) >= kth_largest(avg_month, m, k)))
@@ -100,7 +120,7 @@ def seasonality_index(incidents: DataFrame, entity: str, date_col: str, *,
                                 year_col=year_col, name="_n")
     by_month = monthly.groupBy(entity, "month").agg(F.avg("_n").alias("_month_avg"))
     overall = monthly.groupBy(entity).agg(F.avg("_n").alias("_overall_avg"))
-    return by_month.join(overall, entity).select(
+    return join_keys(by_month, overall, [entity]).select(
         entity, "month", (F.col("_month_avg") / F.col("_overall_avg")).alias("seasonality_index"))
 
 

@@ -238,26 +238,28 @@ FROM tot"""
     q["year_over_year"] = _with("py") + """
 SELECT a.year_int, a.n_crimes, b.n_crimes AS prev_n_crimes, a.n_crimes - b.n_crimes AS change,
        round((a.n_crimes - b.n_crimes) / b.n_crimes * 100.0, 6) AS pct_change
-FROM py a LEFT JOIN py b ON b.year_int = a.year_int - 1"""
+FROM py a LEFT JOIN py b ON b.year_int IS NOT DISTINCT FROM a.year_int - 1"""
     q["area_vs_city_trend"] = _with("py", "pya") + """,
 city AS (SELECT a.year_int, (a.n_crimes - b.n_crimes) / b.n_crimes * 100.0 AS city_pct_change
-         FROM py a LEFT JOIN py b ON b.year_int = a.year_int - 1),
+         FROM py a LEFT JOIN py b ON b.year_int IS NOT DISTINCT FROM a.year_int - 1),
 area AS (SELECT a.area_name, a.year_int, a.n_crimes,
                 (a.n_crimes - b.n_crimes) / b.n_crimes * 100.0 AS area_pct_change
-         FROM pya a LEFT JOIN pya b ON b.area_name = a.area_name AND b.year_int = a.year_int - 1)
-SELECT area_name, year_int, n_crimes, round(area_pct_change, 6) AS area_pct_change,
+         FROM pya a LEFT JOIN pya b ON b.area_name IS NOT DISTINCT FROM a.area_name
+                                   AND b.year_int IS NOT DISTINCT FROM a.year_int - 1)
+SELECT area_name, area.year_int, n_crimes, round(area_pct_change, 6) AS area_pct_change,
        round(city_pct_change, 6) AS city_pct_change,
        round(area_pct_change - city_pct_change, 6) AS gap_pct_points
-FROM area LEFT JOIN city USING (year_int)"""
+FROM area LEFT JOIN city ON area.year_int IS NOT DISTINCT FROM city.year_int"""
     q["severity_share"] = _with() + """
 SELECT year AS year_int, part_1_2, count(*) AS n_crimes,
        round(count(*) / sum(count(*)) OVER (PARTITION BY year) * 100.0, 6) AS share_percent
 FROM curated GROUP BY year, part_1_2"""
     q["chronic_areas"] = _with("ad", "aw", "am") + """
-SELECT area_name, round(avg_crimes_per_day, 6) AS avg_crimes_per_day,
+SELECT ad.area_name, round(avg_crimes_per_day, 6) AS avg_crimes_per_day,
        round(avg_crimes_per_week, 6) AS avg_crimes_per_week,
        round(avg_crimes_per_month, 6) AS avg_crimes_per_month
-FROM ad JOIN aw USING (area_name) JOIN am USING (area_name)
+FROM ad JOIN aw ON aw.area_name IS NOT DISTINCT FROM ad.area_name
+        JOIN am ON am.area_name IS NOT DISTINCT FROM ad.area_name
 WHERE avg_crimes_per_day >= (SELECT min(v) FROM (SELECT avg_crimes_per_day AS v FROM ad
                                                  ORDER BY v DESC LIMIT 5))
   AND avg_crimes_per_week >= (SELECT min(v) FROM (SELECT avg_crimes_per_week AS v FROM aw
@@ -276,8 +278,9 @@ mb AS (SELECT area_name, year, month(date_occ) AS month, count(*) AS n FROM cura
        GROUP BY area_name, year, month(date_occ)),
 bm AS (SELECT area_name, month, avg(n) AS month_avg FROM mb GROUP BY area_name, month),
 ov AS (SELECT area_name, avg(n) AS overall_avg FROM mb GROUP BY area_name)
-SELECT area_name, CAST(month AS INTEGER) AS month, round(month_avg / overall_avg, 6) AS seasonality_index
-FROM bm JOIN ov USING (area_name)"""
+SELECT bm.area_name, CAST(month AS INTEGER) AS month,
+       round(month_avg / overall_avg, 6) AS seasonality_index
+FROM bm JOIN ov ON ov.area_name IS NOT DISTINCT FROM bm.area_name"""
     for key, col in (("high_risk_by_age", "age_range"), ("high_risk_by_sex", "sex_norm")):
         q[key] = _with("hr") + f"""
 SELECT {col}, count(*) AS n_contexts, CAST(sum(n_crimes) AS BIGINT) AS n_crimes,

@@ -136,3 +136,21 @@ def test_high_risk_by_attribute_shares(spark):
            for r in drv.high_risk_by(df, "age_range").collect()}
     assert got == {"18-29": (2, 145, round(145 / 205 * 100, 6)),
                    "30-44": (1, 60, round(60 / 205 * 100, 6))}
+
+
+def test_join_keys_matches_null_entity_and_keeps_one_key_copy(spark):
+    a = spark.createDataFrame([(None, 1), ("X", 2)], "e string, v long")
+    b = spark.createDataFrame([(None, 10), ("Y", 20)], "e string, w long")
+    got = sorted((r["e"] or "-", r["v"], r["w"]) for r in drv.join_keys(a, b, ["e"], "left").collect())
+    assert got == [("-", 1, 10), ("X", 2, None)]
+    assert drv.join_keys(a, b, ["e"]).columns == ["e", "v", "w"]
+
+
+def test_self_join_of_one_aggregate_reuses_its_exchange(spark):
+    from blotter.plans.inspect import plan_text
+    from conftest import SF_SMALL
+    from queries_helpers import adapter_curated
+    from blotter.operators.aggregate import yearly_counts
+    df = drv.year_over_year(yearly_counts(adapter_curated(spark, SF_SMALL), "date_occ"))
+    df.collect()
+    assert "ReusedExchange" in plan_text(df, "simple")
