@@ -11,9 +11,13 @@ def test_checkpoint_dir_is_read_from_the_session(spark):
 
 def test_cluster_settings_scale_with_input():
     small = cluster_settings(10 << 30)
+    mid = cluster_settings(1 << 40)
     big = cluster_settings(100 << 40)
     assert int(small["spark.sql.shuffle.partitions"]) == 200
-    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 4 * 1024  # 100 TB / 256 MB
+    assert int(mid["spark.sql.shuffle.partitions"]) == 4096  # 1 TB / 256 MB
+    # 100 TB / 256 MB = 409,600 scan splits; shuffles start at the cap and AQE coalesces.
+    assert int(big["spark.sql.shuffle.partitions"]) == 200_000
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
     assert big["spark.sql.adaptive.enabled"] == "true"
     assert big["spark.sql.codegen.hugeMethodLimit"] == RECOMMENDED_CONF["spark.sql.codegen.hugeMethodLimit"]
     assert "spark.ui.enabled" not in big
