@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from blotter import profile as P
 from blotter.functions.labels import month_name, percent_label
+from blotter.functions.time import to_int, to_number
 from blotter.operators import explore as ex
 from blotter.sources.zones import read_result
 
@@ -67,7 +68,7 @@ def heatmap_month(spark: SparkSession, base: str, *, year: int | None = None,
                   entity: str = "AREA NAME", lat: str = "LAT", lon: str = "LON") -> dict[str, DataFrame]:
     """Map page: points of one month (default: latest year, its first month) and their count."""
     heat = read_result(spark, base, "crime_heatmap_monthly", entity=entity) \
-        .withColumn("month", F.col("month").try_cast("int"))
+        .withColumn("month", to_int("month"))
     points = ex.heatmap_points(heat, entity, lat, lon, year=year, month=month, zones=zones)
     months = ex.distinct_sorted(heat, "month").select("month", month_name("month").alias("month_name"))
     return {"points": points, "n_points": points.agg(F.count(F.lit(1)).alias("n_points")),
@@ -75,8 +76,10 @@ def heatmap_month(spark: SparkSession, base: str, *, year: int | None = None,
 
 
 def weapon_series(spark: SparkSession, base: str) -> DataFrame:
-    """Weapons page: yearly counts with / without a weapon."""
-    return read_result(spark, base, "weapon_usage_per_year").orderBy("year_int", "weapon_used")
+    """Weapons page: yearly counts with / without a weapon (year and count as strict ints)."""
+    df = read_result(spark, base, "weapon_usage_per_year")
+    return df.withColumns({c: F.col(c).cast("int") for c in ("year_int", "n_crimes")
+                           if c in df.columns}).orderBy("year_int", "weapon_used")
 
 
 def high_risk_page(spark: SparkSession, base: str, *, zones=None, time_slots=None,
@@ -84,6 +87,11 @@ def high_risk_page(spark: SparkSession, base: str, *, zones=None, time_slots=Non
                    entity: str = "AREA NAME") -> dict[str, DataFrame]:
     """Scenario page: filtered contexts, their summary, and the top 20 with captions."""
     hr = read_result(spark, base, "high_risk_contexts", entity=entity)
+    # Numbers as numbers even from a CSV table with stray text (bad -> NULL).
+    numbers = {"n_crimes": F.col("n_crimes").try_cast("bigint"), "z_score": to_number("z_score"),
+               "crime_share_percent": to_number("crime_share_percent"),
+               "risk_score_10": to_number("risk_score_10")}
+    hr = hr.withColumns({c: e for c, e in numbers.items() if c in hr.columns})
     sel = ex.explore_high_risk(hr, zones=zones, time_slots=time_slots, risk_levels=risk_levels,
                                age_ranges=age_ranges, sexes=sexes, entity=entity)
     score = "risk_score_10" if "risk_score_10" in hr.columns else "z_score"

@@ -36,13 +36,6 @@ def local_session(cores: int | str = "*", *, shuffle_partitions: int = 8, app: s
     return spark
 
 
-def apply_recommended(spark: SparkSession) -> None:
-    """Set the runtime SQL settings above on an existing session (static ones are skipped)."""
-    for k, v in RECOMMENDED_CONF.items():
-        if k.startswith("spark.sql.") and spark.conf.isModifiable(k):
-            spark.conf.set(k, v)
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 

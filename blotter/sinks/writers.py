@@ -12,7 +12,6 @@ from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def write_curated(df: DataFrame, path: str, *, partition_col: str = "year",

@@ -7,7 +7,9 @@ from collections.abc import Mapping
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructType
+from pyspark.sql.types import DataType, StringType, StructType
+
+from blotter.functions.time import to_date_col
 
 from blotter.operators.columns import resolve_alias, strip_column_names
 
@@ -50,7 +52,7 @@ def read_curated(spark: SparkSession, path: str, *, fmt: str = "parquet",
     df = strip_column_names(spark.read.option("header", True).option("basePath", path)
                             .format(fmt).load(path))
     if date_col in df.columns:
-        df = df.withColumn(date_col, F.try_to_date(F.col(date_col)))
+        df = df.withColumn(date_col, to_date_col(date_col, StringType()))
     return df
 
 
