@@ -132,8 +132,16 @@ def heatmap_points(heat: DataFrame, entity: str, lat: str, lon: str, *, year=Non
     ``year=None`` picks the latest year, ``month=None`` the first month present
     in that year (the page defaults); ``zones`` empty keeps every zone.
     """
-    y = latest_value(heat, year_col) if year is None else F.lit(year)
-    in_year = heat.filter(F.col(year_col) == y)
-    m = in_year.agg(F.min("month")).scalar() if month is None else F.lit(month)
-    sel = filter_selected(in_year.filter(F.col("month") == m), {entity: zones})
+    if year is None and month is None:
+        # Latest year, then its first month, as one scalar: the largest
+        # (year, -month) pair (struct comparison is field by field).
+        pick = heat.agg(F.max(F.struct(F.col(year_col).alias("y"),
+                                       (-F.col("month")).alias("m")))).scalar()
+        y, m = pick["y"], -pick["m"]
+    else:
+        y = latest_value(heat, year_col) if year is None else F.lit(year)
+        m = (heat.filter(F.col(year_col) == y).agg(F.min("month")).scalar()
+             if month is None else F.lit(month))
+    sel = filter_selected(heat.filter((F.col(year_col) == y) & (F.col("month") == m)),
+                          {entity: zones})
     return drop_incomplete(sel.select(lat, lon, count_col), [lat, lon, count_col])
