@@ -208,3 +208,17 @@ def test_risk_job_without_context_columns_writes_nothing(spark, lake, tmp_path):
     base, _ = lake
     assert run_risk(spark, f"{base}/curated", str(tmp_path), P.with_(premises="no_such")) == {}
     assert not os.path.exists(str(tmp_path / "context_risk_scores"))
+
+
+def test_single_partition_exchanges_only_carry_aggregated_or_limited_rows(spark):
+    """Nothing gathers un-aggregated data into one partition (no global window or sort on rows)."""
+    from __spark_entry__ import queries
+    allowed = ("HashAggregate", "SortAggregate", "ObjectHashAggregate", "TakeOrderedAndProject",
+               "GlobalLimit", "LocalLimit",
+               "CollectLimit")
+    for name, fn in queries().items():
+        lines = plan_text(fn(spark, SF_SMALL), "simple").splitlines()
+        for i, line in enumerate(lines):
+            if "Exchange SinglePartition" in line:
+                child = lines[i + 1]
+                assert any(a in child for a in allowed), (name, child.strip())
