@@ -58,7 +58,7 @@ SHARED_TABLE = "shared_counts"
 
 def run_clean(spark: SparkSession, raw: str | DataFrame, curated_path: str,
               profile: IncidentProfile, *, raw_types: Mapping[str, DataType] | None = None,
-              mode: str = "overwrite", rebalance: bool = False) -> str:
+              mode: str = "overwrite", rebalance: bool = False, fmt: str = "parquet") -> str:
     """RAW -> CURATED: parse, filter and write Parquet partitioned by year.
 
     ``raw`` is a CSV path (read as text; ``raw_types`` converts named columns)
@@ -68,7 +68,7 @@ def run_clean(spark: SparkSession, raw: str | DataFrame, curated_path: str,
     raw_df = read_raw_csv(spark, raw, types=raw_types) if isinstance(raw, str) else raw
     profile = resolve_profile(raw_df, profile)
     write_curated(clean_incidents(raw_df, profile), curated_path, partition_col=profile.year_out,
-                  mode=mode, rebalance=rebalance)
+                  mode=mode, rebalance=rebalance, fmt=fmt)
     return curated_path
 
 
@@ -93,12 +93,13 @@ def aggregate_results(spark: SparkSession, curated: DataFrame, analytics_base: s
 
 def run_aggregates(spark: SparkSession, curated_path: str, analytics_base: str,
                    profile: IncidentProfile, *, strategy: str = "cube", mode: str = "ignore",
-                   fmt: str = "parquet", concurrency: int = 4) -> dict[str, str]:
+                   fmt: str = "parquet", concurrency: int = 4,
+                   curated_fmt: str = "parquet") -> dict[str, str]:
     """CURATED -> the ten aggregate tables; returns name -> path.
 
     The tables are independent jobs and are submitted ``concurrency`` at a time.
     """
-    curated = read_curated(spark, curated_path)
+    curated = read_curated(spark, curated_path, fmt=curated_fmt, date_col=profile.date_out)
     profile = resolve_profile(curated, profile)
     curated = curated_view(curated, profile)
     results = aggregate_results(spark, curated, analytics_base, profile, strategy=strategy, mode=mode)
@@ -106,13 +107,14 @@ def run_aggregates(spark: SparkSession, curated_path: str, analytics_base: str,
 
 
 def run_risk(spark: SparkSession, curated_path: str, analytics_base: str,
-             profile: IncidentProfile, *, mode: str = "ignore", fmt: str = "parquet") -> dict[str, str]:
+             profile: IncidentProfile, *, mode: str = "ignore", fmt: str = "parquet",
+             curated_fmt: str = "parquet") -> dict[str, str]:
     """CURATED -> context_risk_scores and high_risk_contexts.
 
     The high-risk table is a filter of the written score table, read back, so
     the context counts are computed once.
     """
-    curated = read_curated(spark, curated_path)
+    curated = read_curated(spark, curated_path, fmt=curated_fmt, date_col=profile.date_out)
     profile = resolve_profile(curated, profile)
     curated = curated_view(curated, profile)
     roles = {"entity": profile.entity, "time": profile.time_hhmm, "age": profile.victim_age,
@@ -131,7 +133,8 @@ def run_risk(spark: SparkSession, curated_path: str, analytics_base: str,
 
 def run_analytics(spark: SparkSession, curated_path: str, analytics_base: str,
                   profile: IncidentProfile, *, mode: str = "ignore", fmt: str = "parquet",
-                  concurrency: int = 4, heat_in_shared_scan: bool = False) -> dict[str, str]:
+                  concurrency: int = 4, heat_in_shared_scan: bool = False,
+                  curated_fmt: str = "parquet") -> dict[str, str]:
     """CURATED -> all twelve tables (aggregate and risk jobs together).
 
     One grouping-sets aggregate writes the cube and context counts as one table
@@ -140,7 +143,7 @@ def run_analytics(spark: SparkSession, curated_path: str, analytics_base: str,
     heat map is its own narrow aggregate (two scans of CURATED in all), or part
     of the shared scan with ``heat_in_shared_scan=True`` (one scan).
     """
-    curated = read_curated(spark, curated_path)
+    curated = read_curated(spark, curated_path, fmt=curated_fmt, date_col=profile.date_out)
     profile = resolve_profile(curated, profile)
     curated = curated_view(curated, profile)
     # Partitioned by set: each reader below prunes to the files of its own set.
@@ -167,19 +170,21 @@ def run_analytics(spark: SparkSession, curated_path: str, analytics_base: str,
 
 def run_batch(spark: SparkSession, raw: str | DataFrame, lake_base: str, profile: IncidentProfile,
               *, raw_types: Mapping[str, DataType] | None = None, mode: str = "ignore",
-              strategy: str = "shared") -> dict[str, str]:
+              strategy: str = "shared", fmt: str = "parquet") -> dict[str, str]:
     """All jobs in order under ``lake_base`` (curated/ and analytics/).
 
     ``strategy="shared"`` runs the aggregate and risk jobs together over a
     shared scan (:func:`run_analytics`); ``"cube"`` or ``"per_result"`` run
-    them as the reference's two jobs with that aggregate shape.
+    them as the reference's two jobs with that aggregate shape. ``fmt="csv"``
+    keeps every zone as CSV with a header, the reference's lake layout.
     """
     base = lake_base.rstrip("/")
-    curated_path = run_clean(spark, raw, f"{base}/curated", profile, raw_types=raw_types)
+    curated_path = run_clean(spark, raw, f"{base}/curated", profile, raw_types=raw_types, fmt=fmt)
+    kw = {"mode": mode, "fmt": fmt, "curated_fmt": fmt}
     if strategy == "shared":
-        out = run_analytics(spark, curated_path, f"{base}/analytics", profile, mode=mode)
+        out = run_analytics(spark, curated_path, f"{base}/analytics", profile, **kw)
     else:
         out = run_aggregates(spark, curated_path, f"{base}/analytics", profile,
-                             strategy=strategy, mode=mode)
-        out.update(run_risk(spark, curated_path, f"{base}/analytics", profile, mode=mode))
+                             strategy=strategy, **kw)
+        out.update(run_risk(spark, curated_path, f"{base}/analytics", profile, **kw))
     return {"curated": curated_path, **out}

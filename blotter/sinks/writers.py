@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 
 def write_curated(df: DataFrame, path: str, *, partition_col: str = "year",
                   mode: str = "overwrite", rebalance: bool = False,
-                  max_records_per_file: int | None = None) -> None:
+                  max_records_per_file: int | None = None, fmt: str = "parquet") -> None:
     """Write incidents as Parquet partitioned by ``partition_col``.
 
     Default: narrow write, no shuffle; each task sorts its rows by partition
@@ -27,13 +27,16 @@ def write_curated(df: DataFrame, path: str, *, partition_col: str = "year",
     map output ranges, so a retried task rewrites the same rows).
 
     ``mode="overwrite"`` with ``spark.sql.sources.partitionOverwriteMode=dynamic``
-    replaces only the years present in ``df``.
+    replaces only the years present in ``df``. ``fmt="csv"`` keeps the
+    reference's text layout (header row); Parquet is the default.
     """
     writer_df = df.hint("rebalance", partition_col) if rebalance else df
     w = writer_df.write.mode(mode).partitionBy(partition_col)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
-    w.parquet(path)
+    if fmt == "csv":
+        w = w.option("header", True)
+    w.format(fmt).save(path)
 
 
 def write_result(df: DataFrame, base: str, name: str, *, mode: str = "ignore",
