@@ -63,20 +63,23 @@ def running_total(df: DataFrame, sums: Mapping[str, str], order: Sequence[Column
     ``order`` must be a total order (add a unique key as the last tie-break).
     The table is range-partitioned on ``order``; each range computes its own
     running sums (a window partitioned by range), and adds the sums of all
-    earlier ranges, taken from a table with one row per range.
+    earlier ranges, taken from a table with one row per range. Without
+    ``num_ranges`` adaptive execution coalesces the ranges to its advisory size
+    (coalescing keeps them contiguous and in order, which is all this needs).
     """
-    spark = df.sparkSession
-    n = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     vals = {name: (F.lit(1) if v == "1" else F.col(v)) for name, v in sums.items()}
-    ranged = (df.withColumns({f"_v_{name}": v for name, v in vals.items()})
-                .repartitionByRange(n, *order)
-                .withColumn("_range", F.spark_partition_id()))
+    valued = df.withColumns({f"_v_{name}": v for name, v in vals.items()})
+    ranged = (valued.repartitionByRange(num_ranges, *order) if num_ranges
+              else valued.repartitionByRange(*order))
+    ranged = ranged.withColumn("_range", F.spark_partition_id())
     within = Window.partitionBy("_range").orderBy(*order) \
                    .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ranged.withColumns({f"_l_{name}": F.sum(f"_v_{name}").over(within) for name in vals})
-    # One row per range: bounded by the number of ranges, not by the data.
+    # One row per range: bounded by the number of ranges, not by the data. Taken
+    # from ``local`` itself, so the range shuffle is read (and ``_range``
+    # assigned) once for both uses.
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (ranged.groupBy("_range")
+    offsets = (local.groupBy("_range")
                      .agg(*[F.sum(f"_v_{name}").alias(f"_t_{name}") for name in vals])
                      .select("_range", *[F.coalesce(F.sum(f"_t_{name}").over(before), F.lit(0))
                                           .alias(f"_o_{name}") for name in vals]))
