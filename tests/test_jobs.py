@@ -222,3 +222,16 @@ def test_single_partition_exchanges_only_carry_aggregated_or_limited_rows(spark)
             if "Exchange SinglePartition" in line:
                 child = lines[i + 1]
                 assert any(a in child for a in allowed), (name, child.strip())
+
+
+def test_overwrite_replaces_only_the_years_present(spark, tmp_path):
+    """Dynamic partition overwrite: re-cleaning one year leaves the other years in place."""
+    raw = raw_incidents(spark, SF_SMALL)
+    cur = str(tmp_path / "curated")
+    run_clean(spark, raw, cur, P)
+    before = {r["year"]: r["count"] for r in read_curated(spark, cur).groupBy("year").count().collect()}
+    only_1996 = raw.filter(F.col("date_occ_raw").endswith("/1996 12:00:00 AM"))
+    run_clean(spark, only_1996.limit(10), cur, P, mode="overwrite")
+    after = {r["year"]: r["count"] for r in read_curated(spark, cur).groupBy("year").count().collect()}
+    assert after[1996] == 10
+    assert {y: n for y, n in after.items() if y != 1996} == {y: n for y, n in before.items() if y != 1996}
