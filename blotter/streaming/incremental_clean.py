@@ -32,16 +32,20 @@ def start_incremental_clean(spark: SparkSession, raw_dir: str, curated_path: str
                             raw_types: Mapping[str, DataType] | None = None,
                             checkpoint_location: str | None = None,
                             available_now: bool = True,
-                            max_files_per_trigger: int | None = None) -> StreamingQuery:
+                            max_files_per_trigger: int | None = None,
+                            fmt: str = "csv") -> StreamingQuery:
     """Start the stream RAW folder -> CURATED Parquet; returns the running query.
 
-    ``checkpoint_location`` defaults to a folder under the session's shared
-    checkpoint directory (``spark.checkpoint.dir``).
+    ``fmt`` is the format of the raw files (``csv`` with a header, or
+    ``parquet``). ``checkpoint_location`` defaults to a folder under the
+    session's shared checkpoint directory (``spark.checkpoint.dir``).
     """
-    reader = spark.readStream.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+    reader = spark.readStream.schema(schema)
+    if fmt == "csv":
+        reader = reader.option("header", True).option("mode", "PERMISSIVE")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.csv(raw_dir)
+    raw = reader.format(fmt).load(raw_dir)
     if raw_types:
         raw = raw.withColumns({c: F.col(c).try_cast(t) for c, t in raw_types.items()
                                if c in raw.columns})

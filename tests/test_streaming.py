@@ -35,3 +35,14 @@ def test_incremental_clean_appends_each_file_once(spark, tmp_path):
     second.write.option("header", True).csv(f"{raw_dir}/batch2")
     run()
     assert read_curated(spark, cur).count() == clean_incidents(raw, P).count() == 5156
+
+
+def test_incremental_clean_from_parquet_raw(spark, tmp_path):
+    raw = raw_incidents(spark, SF_SMALL)
+    raw_dir, cur, ckpt = (str(tmp_path / n) for n in ("raw", "curated", "ckpt"))
+    raw.write.parquet(f"{raw_dir}/batch1")
+    q = start_incremental_clean(spark, f"{raw_dir}/*", cur, P, raw.schema, checkpoint_location=ckpt,
+                                fmt="parquet")
+    q.awaitTermination(300)
+    assert q.exception() is None
+    assert read_curated(spark, cur).count() == 5156
