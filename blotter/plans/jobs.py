@@ -1,4 +1,4 @@
-"""The three batch jobs: RAW -> CURATED, CURATED -> aggregates, CURATED -> risk tables.
+"""Batch jobs: RAW -> CURATED, CURATED -> aggregates, CURATED -> risk tables.
 
 Each job is a plain function of a session and paths; running them in order is
 the whole batch. Result tables are written with ``mode="ignore"`` by default
@@ -13,9 +13,10 @@ Aggregate job shapes:
   the reference's shape (ten scans); kept for comparison and for tables whose
   cube would not be much smaller than the incidents.
 
-``run_analytics`` goes further and computes the aggregate and risk tables
-together: one grouping-sets aggregate for the cube and the context counts, one
-narrow aggregate for the heat map (two scans of CURATED for twelve tables).
+``run_analytics`` (the ``run_batch`` default) goes further and computes the
+aggregate and risk tables together: one grouping-sets aggregate for the cube and
+the context counts, one narrow aggregate for the heat map (two scans of CURATED
+for twelve tables).
 
 Every intermediate that is read more than once is a written table in the
 ANALYTICS zone, never a cache or a local checkpoint: a lost executor costs a
