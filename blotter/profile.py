@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
+from pyspark.sql.types import DataType, DoubleType, IntegerType
+
 # ---------------------------------------------------------------------------
 # Fixed values. These labels, codes and thresholds must equal the reference's
 # output exactly (they end up as values in the published result tables).
@@ -125,6 +127,15 @@ class IncidentProfile:
 #: Binding for the reference's incident export.
 REFERENCE_PROFILE = IncidentProfile()
 
+#: Types for the raw export's numeric columns (everything else stays text, and
+#: ``Vict Age`` is converted where it is used, so a bad value only becomes NULL).
+REFERENCE_RAW_TYPES: dict[str, DataType] = {
+    "TIME OCC": IntegerType(),
+    "Part 1-2": IntegerType(),
+    "LAT": DoubleType(),
+    "LON": DoubleType(),
+}
+
 #: Binding for the adapter view built from the driver's ``lineitem`` table
 #: (see ``blotter.sources.fixture``); cutoff 2000 so that it removes rows.
 ADAPTER_PROFILE = IncidentProfile(

@@ -2,10 +2,9 @@
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType
 
 from blotter.plans.jobs import AGGREGATE_TABLES, RISK_TABLES, run_batch
-from blotter.profile import REFERENCE_PROFILE
+from blotter.profile import REFERENCE_PROFILE, REFERENCE_RAW_TYPES
 from blotter.sources.zones import read_result
 from edge_rows import CONTEXT_IDS, raw_frame
 
@@ -26,8 +25,7 @@ SCHEMAS = {
                             "risk_score_10"],
 }
 SCHEMAS["high_risk_contexts"] = SCHEMAS["context_risk_scores"]
-TYPES = {"TIME OCC": IntegerType(), "Part 1-2": IntegerType(), "LAT": DoubleType(),
-         "LON": DoubleType()}
+TYPES = REFERENCE_RAW_TYPES
 
 
 @pytest.fixture(scope="module")
