@@ -235,3 +235,14 @@ def test_overwrite_replaces_only_the_years_present(spark, tmp_path):
     after = {r["year"]: r["count"] for r in read_curated(spark, cur).groupBy("year").count().collect()}
     assert after[1996] == 10
     assert {y: n for y, n in after.items() if y != 1996} == {y: n for y, n in before.items() if y != 1996}
+
+
+def test_curated_files_are_clustered_by_area_and_date(spark, lake):
+    import pyarrow.parquet as pq
+    base, _ = lake
+    year_dir = f"{base}/curated/year=1996"
+    for f in sorted(os.listdir(year_dir)):
+        if f.endswith(".parquet"):
+            t = pq.read_table(os.path.join(year_dir, f), columns=[P.entity, P.date_out])
+            keys = list(zip(t.column(0).to_pylist(), t.column(1).to_pylist()))
+            assert keys == sorted(keys, key=lambda k: (k[0] is not None, k[0] or "", k[1]))
