@@ -154,6 +154,14 @@ FROM curated GROUP BY area_name"""
 SELECT area_name, round(count(*) / (SELECT CAST((year(max(date_occ)) * 12 + month(max(date_occ)))
                                            - (year(min(date_occ)) * 12 + month(min(date_occ))) + 1 AS DOUBLE)
                                     FROM curated), 6) AS avg_crimes_per_month_dense
+FROM curated GROUP BY area_name"""
+    q["avg_by_area_week_dense"] = _with() + """,
+bounds AS (SELECT min(date_occ) AS lo, max(date_occ) AS hi FROM curated),
+weeks AS (SELECT count(*) AS n_weeks FROM (
+  SELECT DISTINCT year(CAST(d AS DATE)) AS y, weekofyear(CAST(d AS DATE)) AS w
+  FROM bounds, range(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP) + INTERVAL 1 DAY, INTERVAL 1 DAY) t(d)))
+SELECT area_name, round(count(*) / (SELECT CAST(n_weeks AS DOUBLE) FROM weeks), 6)
+       AS avg_crimes_per_week_dense
 FROM curated GROUP BY area_name"""
     q["total_by_area"] = _with("tot") + "SELECT * FROM tot"
     q["top5_areas"] = _with("tot") + \

@@ -119,6 +119,8 @@ def _queries() -> dict[str, Query]:
     q["avg_by_area_day_dense"] = lambda s, d: agg.dense_avg_count_per_bucket(curated(s, d), E, D, "day")
     q["avg_by_area_month_dense"] = lambda s, d: agg.dense_avg_count_per_bucket(
         curated(s, d), E, D, "month")
+    q["avg_by_area_week_dense"] = lambda s, d: agg.dense_avg_count_per_bucket(
+        curated(s, d), E, D, "week")
     q["total_by_area"] = _total
     q["top5_areas"] = lambda s, d: ex.top_entities(_total(s, d), E, "n_crimes_total", P.TOP_AREAS)
     q["avg_day_default_zones"] = lambda s, d: ex.filter_default_zones(
