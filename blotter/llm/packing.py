@@ -136,7 +136,7 @@ def pack_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             rows = []
             for window in sorted(packer.windows, key=lambda w: -sum(p[2] for p in w)):
                 total = sum(p[2] for p in window)
-                size = packer.tier_of(total)
+                size = total if total in packer.tiers else top  # padded, if it is no tier
                 if size > state["room"]:
                     state["step"], state["room"] = state["step"] + 1, step_tokens
                 state["room"] -= size
@@ -145,7 +145,7 @@ def pack_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                     doc_id, data = held[doc]
                     part = data[4 * start:4 * (start + n)]
                     rows.append((doc_id, start, n, zlib.crc32(part), len(data) // 4, base + state["seq"], at,
-                                 size if size == total else top, base + state["step"], part))
+                                 size, base + state["step"], part))
                     at += n
                 state["seq"] += 1
             packer.windows = []
