@@ -101,7 +101,8 @@ def weighted_similarity(left: str, right: str) -> Column:
 
     shared = F.aggregate(F.array_distinct(left), F.lit(0),
                          lambda a, h: a + F.least(count(left, h), count(right, h)))
-    return shared / (F.size(left) + F.size(right) - shared)
+    both = F.size(left) + F.size(right)
+    return F.get(F.transform(F.array(shared), lambda s: s / (both - s)), F.lit(0))  # counted once
 
 
 def benchmark_items(benchmark: DataFrame, id_col: str, text_col: str, threshold: float) -> DataFrame:
@@ -158,10 +159,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
             equal_before = reduce(lambda x, y: x | y, [
                 (F.col("block") > i) & (diff.bitwiseAND(F.lit(_mask(a, b))) == 0)
                 for i, (a, b) in enumerate(zip(edges, edges[1:]))])
-            near = (blocked.join(keys, ["m", "block", "value"])
-                    .withColumn("distance", F.bit_count(diff))
-                    .filter((F.col("distance") <= radius) & ~equal_before)  # met once, at the first equal block
-                    .withColumn("similarity", weighted_similarity("item_hashes", "hashes"))
+            # met once, at the first equal block; the costly check only for what the distance admits
+            admitted = (F.bit_count(diff) <= radius) & ~equal_before
+            near = (blocked.join(keys, ["m", "block", "value"]).withColumn("distance", F.bit_count(diff))
+                    .withColumn("similarity", F.when(admitted, weighted_similarity("item_hashes", "hashes")))
                     .filter(F.col("similarity") >= threshold))
             found.append(near.select("doc_id", "item_id", F.struct(
                 "similarity", (-F.col("start")).alias("back"), (F.col("m") + size - 1).alias("words"), "distance").alias("best")))
