@@ -68,9 +68,8 @@ def sex_norm(sex: str | Column) -> Column:
 
 def weapon_used(weapon: str | Column) -> Column:
     """Two classes: no weapon (NULL, blank or bodily force / verbal threat) or weapon."""
-    norm = F.upper(F.trim(_col(weapon)))
-    none = norm.isNull() | (norm == "") | norm.isin(*P.NO_WEAPON_DESCRIPTIONS)
-    return F.when(none, P.NO_WEAPON).otherwise(P.WEAPON_USED)
+    described = F.coalesce(F.upper(F.trim(_col(weapon))), F.lit(""))
+    return F.when(described.isin("", *P.NO_WEAPON_DESCRIPTIONS), P.NO_WEAPON).otherwise(P.WEAPON_USED)
 
 
 def risk_level(z: str | Column) -> Column:

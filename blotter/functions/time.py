@@ -35,8 +35,9 @@ def to_date_col(c: str | Column, source_type: DataType | None = None, fmt: str |
 
 
 def to_int(c: str | Column) -> Column:
-    """Cast to int; text that is not a number gives NULL instead of an error."""
-    return _col(c).try_cast("int")
+    """Whole number, fractions cut off (``'30.0'`` -> 30); no number or one out of range gives NULL."""
+    x = _col(c).try_cast("double")
+    return F.when((x > -(2.0**31) - 1) & (x < 2.0**31), x.cast("int"))
 
 
 def to_number(c: str | Column) -> Column:
@@ -49,6 +50,11 @@ def hour_from_hhmm(c: str | Column) -> Column:
     return F.floor(to_int(c) / 100)
 
 
+def to_whole(c: str | Column) -> Column:
+    """Strict 64-bit whole number: text that is no number stops the job."""
+    return _col(c).cast("bigint")
+
+
 def bucket_columns(date: str | Column, grain: str, *, year_name: str = "year_int",
                    iso_year: bool = False) -> dict[str, Column]:
     """Bucket key columns for a date at ``day``, ``week`` or ``month`` grain.

@@ -89,10 +89,14 @@ def dense_avg_count_per_bucket(df: DataFrame, entity: str, date_col: str, grain:
     The bucket range is the whole table's first to last date. The mean is the
     entity's total over the number of buckets in that range, so no zero rows are
     generated: the bucket count is one scalar from a calendar whose size is
-    bounded by the date span, not by the data.
+    bounded by the date span, not by the data. Totals and date range come from
+    one aggregate per entity, so the table is read once: each use of it mentions
+    all three measures, which keeps the uses' plans equal and their exchange shared.
     """
     name = name or f"avg_crimes_per_{grain}_dense"
-    bounds = df.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))
+    per_entity = df.groupBy(entity).agg(measure(weight).alias("_total"), F.min(date_col).alias("_lo"),
+                                        F.max(date_col).alias("_hi"))
+    bounds = per_entity.filter(F.coalesce("_total", F.lit(0)) >= 0).agg(F.min("_lo").alias("lo"), F.max("_hi").alias("hi"))
     days = bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("d"))
     if grain == "day":
         n_buckets = days.select(F.count(F.lit(1))).scalar()
@@ -100,8 +104,8 @@ def dense_avg_count_per_bucket(df: DataFrame, entity: str, date_col: str, grain:
         keys = bucket_columns("d", grain, year_name="y", iso_year=iso_year)
         n_buckets = days.select(*[e.alias(k) for k, e in keys.items()]).distinct() \
                         .select(F.count(F.lit(1))).scalar()
-    totals = count_by(df, [entity], weight=weight, name="_total")
-    return totals.select(entity, (F.col("_total") / n_buckets).alias(name))
+    dated = F.coalesce(F.col("_lo") <= F.col("_hi"), F.lit(True))
+    return per_entity.filter(dated).select(entity, (F.col("_total") / n_buckets).alias(name))
 
 
 def total_by_entity(df: DataFrame, entity: str, *, weight: str | None = None,

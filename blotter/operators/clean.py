@@ -43,8 +43,8 @@ def clean_incidents(raw: DataFrame, profile: IncidentProfile) -> DataFrame:
     df = df.withColumn(profile.ts_out, ts)
     df = df.withColumn(profile.date_out, F.to_date(profile.ts_out))
     df = df.withColumn(profile.year_out, F.year(profile.date_out))
-    # One reference to the parsed value: a NULL date gives a NULL year, which the
-    # cutoff comparison drops, so "date is not null" would only parse twice.
+    # A NULL date gives a NULL year, which the cutoff comparison drops as well.
+    # The optimizer evaluates the parse in this filter and again in the output.
     if profile.max_year is not None:
         keep = F.col(profile.year_out) <= F.lit(profile.max_year)
     else:

@@ -18,17 +18,38 @@ class MissingColumnsError(ValueError):
     """Raised when a table lacks columns an operator needs."""
 
 
+class AmbiguousColumnError(ValueError):
+    """Raised when several columns of a table answer to the same name."""
+
+
 def normalize_name(name: str) -> str:
-    """Lower-case, blanks and underscores removed: ``AREA NAME`` -> ``areaname``."""
-    return name.lower().replace(" ", "").replace("_", "")
+    """Letters and digits that count when names are compared: ``AREA NAME`` -> ``areaname``."""
+    return "".join(ch for ch in name.casefold() if ch not in " _")
 
 
-def find_col(df: DataFrame, *candidates: str) -> str | None:
-    """First column whose normalised name is one of ``candidates`` (normalised too)."""
-    wanted = {normalize_name(c) for c in candidates}
+def spellings(df: DataFrame) -> dict[str, list[str]]:
+    """Normalised name -> the table's columns that bear it."""
+    found: dict[str, list[str]] = {}
     for c in df.columns:
-        if normalize_name(c) in wanted:
-            return c
+        found.setdefault(normalize_name(c), []).append(c)
+    return found
+
+
+def find_col(df: DataFrame, *candidates: str) -> str | None:
+    """The column that one of ``candidates`` names, exactly or else by its normalised name.
+
+    Candidates are tried in order. Two columns with the same normalised name
+    leave the choice open, which is an error rather than a silent pick.
+    """
+    named = spellings(df)
+    for candidate in candidates:
+        if candidate in df.columns:
+            return candidate
+        columns = named.get(normalize_name(candidate), [])
+        if len(columns) > 1:
+            raise AmbiguousColumnError(f"{candidate!r} could be any of {columns}")
+        if columns:
+            return columns[0]
     return None
 
 

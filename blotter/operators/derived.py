@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from blotter.operators.aggregate import per_bucket_counts
+from blotter.operators.aggregate import avg_count_per_bucket, per_bucket_counts
 from blotter.operators.ranking import kth_largest, running_total, top_k_counts_per_group
 
 
@@ -64,9 +64,13 @@ def year_over_year(per_year: DataFrame, *, year_col: str = "year_int",
         .alias("pct_change"))
 
 
-def area_vs_city_trend(per_year_area: DataFrame, per_year: DataFrame, entity: str, *,
+def area_vs_city_trend(per_year_area: DataFrame, entity: str, *,
                        year_col: str = "year_int", count_col: str = "n_crimes") -> DataFrame:
-    """Each entity's yearly change next to the whole table's, and the gap between them."""
+    """Each entity's yearly change next to the whole table's, and the gap between them.
+
+    The whole table's series is the sum of the entities', so one table is enough.
+    """
+    per_year = per_year_area.groupBy(year_col).agg(F.sum(count_col).alias(count_col))
     prev = per_year_area.select(entity, (F.col(year_col) + 1).alias(year_col),
                                 F.col(count_col).alias("_prev"))
     area = join_keys(per_year_area, prev, [entity, year_col], "left").select(
@@ -87,10 +91,16 @@ def severity_share(per_year_severity: DataFrame, severity: str, *, year_col: str
         (F.col(count_col) / F.sum(count_col).over(per_year) * 100.0).alias("share_percent"))
 
 
-def chronic_areas(avg_day: DataFrame, avg_week: DataFrame, avg_month: DataFrame, entity: str,
-                  k: int = 5) -> DataFrame:
-    """Entities ranked within the top k (ties included) by day, week and month averages."""
+def chronic_areas(daily: DataFrame, entity: str, date_col: str, k: int = 5, *, weight: str = "n") -> DataFrame:
+    """Entities ranked within the top k (ties included) by day, week and month averages.
+
+    ``daily`` has one row per (entity, date) with its count in ``weight``; all
+    three averages come from it.
+    """
     d, w, m = "avg_crimes_per_day", "avg_crimes_per_week", "avg_crimes_per_month"
+    avg_day, avg_week, avg_month = (
+        avg_count_per_bucket(daily, entity, date_col, grain, weight=weight, year_col=None)
+        for grain in ("day", "week", "month"))
     joined = join_keys(join_keys(avg_day, avg_week, [entity]), avg_month, [entity])
     return joined.filter((F.col(d) >= kth_largest(avg_day, d, k))
                          & (F.col(w) >= kth_largest(avg_week, w, k))
@@ -104,7 +114,8 @@ def recurrent_hotspots(heat: DataFrame, lat: str, lon: str, k: int = 10, *,
     Points are summed over entities first; ranks include ties.
     """
     points = heat.groupBy(year_col, "month", lat, lon).agg(F.sum(count_col).alias(count_col))
-    top = top_k_counts_per_group(points, [year_col, "month"], count_col, k)
+    # (year, month) groups: a few per calendar year, whatever the data
+    top = top_k_counts_per_group(points, [year_col, "month"], count_col, k, few_groups=True)
     return top.groupBy(lat, lon).agg(F.count(F.lit(1)).alias("hot_months"),
                                      F.sum(count_col).alias("n_crimes_in_hot_months"))
 

@@ -40,19 +40,26 @@ def top_k_with_ties(df: DataFrame, value: str, k: int) -> DataFrame:
 
 
 def top_k_counts_per_group(df: DataFrame, group_cols: Sequence[str], count_col: str,
-                           k: int) -> DataFrame:
+                           k: int, *, few_groups: bool = False) -> DataFrame:
     """Rows with ``rank() over (partition by group order by count desc) <= k``.
 
     ``count_col`` must hold non-negative integer counts (the histogram bound
-    relies on it).
+    relies on it). The histogram gives each group its smallest kept count, one
+    row per group; rows join it on the group alone and compare, so no key holds
+    more than its group. NULL is a group of its own. ``few_groups=True`` says
+    that the number of groups is small whatever the data, and broadcasts them.
     """
     group_cols = list(group_cols)
     hist = df.groupBy(*group_cols, count_col).agg(F.count(F.lit(1)).alias("_rows"))
     above = Window.partitionBy(*group_cols).orderBy(F.col(count_col).desc()) \
                   .rowsBetween(Window.unboundedPreceding, -1)
     ranked = hist.withColumn("_above", F.coalesce(F.sum("_rows").over(above), F.lit(0)))
-    keep = ranked.filter(F.col("_above") < k).select(*group_cols, count_col)
-    return df.join(keep, on=[*group_cols, count_col], how="left_semi").select(*df.columns)
+    least = ranked.filter(F.col("_above") < k).groupBy(*group_cols).agg(F.min(count_col).alias("_least"))
+    rows, least = df.alias("_rows"), (F.broadcast(least) if few_groups else least).alias("_least")
+    same = F.col(f"_rows.`{count_col}`") >= F.col("_least._least")
+    for c in group_cols:
+        same = same & F.col(f"_rows.`{c}`").eqNullSafe(F.col(f"_least.`{c}`"))
+    return rows.join(least, same).select(*[F.col(f"_rows.`{c}`") for c in df.columns])
 
 
 def running_total(df: DataFrame, sums: Mapping[str, str], order: Sequence[Column], *,

@@ -192,9 +192,9 @@ SELECT area_name, date_occ, year, part_1_2, {_WEAPON} AS weapon_used, count(*) A
 FROM curated GROUP BY ALL"""
 
     q["heatmap_monthly"] = _with("heat") + \
-        "SELECT year_int, month, area_name, round(lat, 6) AS lat, round(lon, 6) AS lon, n_crimes FROM heat"
+        "SELECT year_int, month, area_name, lat, lon, n_crimes FROM heat"
     q["heatmap_points_month"] = _with("heat_sel") + """
-SELECT round(lat, 6) AS lat, round(lon, 6) AS lon, n_crimes FROM heat_sel
+SELECT lat, lon, n_crimes FROM heat_sel
 WHERE lat IS NOT NULL AND lon IS NOT NULL AND n_crimes IS NOT NULL"""
     q["heatmap_point_count"] = _with("heat_sel") + """
 SELECT count(*) AS n_points FROM heat_sel
@@ -278,7 +278,7 @@ WHERE avg_crimes_per_day >= (SELECT min(v) FROM (SELECT avg_crimes_per_day AS v
 pts AS (SELECT year_int, month, lat, lon, sum(n_crimes) AS n_crimes FROM heat
         GROUP BY year_int, month, lat, lon),
 ranked AS (SELECT *, rank() OVER (PARTITION BY year_int, month ORDER BY n_crimes DESC) AS r FROM pts)
-SELECT round(lat, 6) AS lat, round(lon, 6) AS lon, count(*) AS hot_months,
+SELECT lat, lon, count(*) AS hot_months,
        CAST(sum(n_crimes) AS BIGINT) AS n_crimes_in_hot_months
 FROM ranked WHERE r <= 10 GROUP BY lat, lon"""
     q["seasonality_index"] = _with() + """,
@@ -324,4 +324,40 @@ SELECT year_int, o_orderpriority, o_orderstatus, n_crimes, round(z, 6) AS z_scor
        round((n_crimes / total_n) * 100.0, 6) AS crime_share_percent,
        round(least(greatest((z / 5.0) * 10.0, 0.0), 10.0), 6) AS risk_score_10
 FROM z""")
+
+    by_status = "SELECT year AS year_int, o_orderstatus, count(*) AS n_crimes FROM od"
+    q["orders_two_statuses"] = _orders(f"{by_status} WHERE o_orderstatus IN ('F', 'O') GROUP BY ALL")
+    q["orders_no_status"] = _orders(f"{by_status} WHERE false GROUP BY ALL")
+    q["orders_one_status"] = _orders(f"{by_status} WHERE o_orderstatus = 'F' GROUP BY ALL")
+    q["orders_loosely_bound"] = _orders("""
+SELECT year AS year_int, o_orderpriority, o_orderstatus AS order_status, count(*) AS n_crimes
+FROM od GROUP BY ALL""")
+    q["yearly_tables_union"] = """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year_int, count(*) AS n_crimes, 'orders' AS source
+FROM orders WHERE o_orderdate IS NOT NULL GROUP BY ALL
+UNION ALL
+SELECT CAST(year(ts) AS INTEGER), count(*), 'events' FROM events WHERE ts IS NOT NULL GROUP BY ALL"""
+    q["orders_iso_dates"] = "SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n_rows FROM orders GROUP BY ALL"
+    q["brand_numbers"] = """
+SELECT p_type, round(avg(TRY_CAST(substring(p_brand, 7) AS DOUBLE)), 6) AS mean_no,
+       CAST(sum(CAST(substring(p_brand, 7) AS BIGINT)) AS BIGINT) AS sum_no,
+       count(TRY_CAST(p_name AS DOUBLE)) AS named_by_number
+FROM part GROUP BY p_type"""
+    q["equal_counts_scores"] = """
+WITH c AS (SELECT n_regionkey, count(*) AS n_crimes FROM nation GROUP BY n_regionkey),
+s AS (SELECT avg(n_crimes) AS mean_n, coalesce(nullif(stddev_pop(n_crimes), 0), 1.0) AS std_n,
+             CAST(sum(n_crimes) AS DOUBLE) AS total_n FROM c),
+z AS (SELECT c.*, (n_crimes - mean_n) / std_n AS z, total_n FROM c, s)
+SELECT n_regionkey, n_crimes, round(z, 6) AS z_score,
+       CASE WHEN z >= 3.0 THEN 'Tres eleve' WHEN z >= 2.0 THEN 'Eleve' ELSE 'Normal' END AS risk_level,
+       round(n_crimes / total_n * 100.0, 6) AS crime_share_percent,
+       round(least(greatest(z / 5.0 * 10.0, 0.0), 10.0), 6) AS risk_score_10
+FROM z"""
+    q["orders_share_labels"] = _orders("""
+, n AS (SELECT year AS year_int, o_orderstatus, count(*) AS n_crimes FROM od GROUP BY ALL),
+p AS (SELECT *, n_crimes / sum(n_crimes) OVER (PARTITION BY year_int) * 100.0 AS share FROM n)
+SELECT year_int, o_orderstatus, n_crimes, round(share, 6) AS share_percent,
+       printf('%.2f %%', share) AS share_label FROM p""")
+    q["long_place_labels"] = """
+SELECT doc_id, lang || ' | ' || source || ' | ' || substring(text, 1, 25) || '...' AS context FROM documents"""
     return q

@@ -8,6 +8,7 @@ or on any table with an entity column and a date column.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, replace
 
 from pyspark.sql.types import DataType, DoubleType, IntegerType
@@ -19,8 +20,8 @@ from pyspark.sql.types import DataType, DoubleType, IntegerType
 
 #: Pattern of the raw incident date text.
 RAW_DATE_FORMAT = "MM/dd/yyyy hh:mm:ss a"
-#: Last year kept by the clean job unless told otherwise.
-DEFAULT_MAX_YEAR = 2023
+#: Last year the clean job of the incident export keeps.
+REFERENCE_MAX_YEAR = 2023
 
 #: Label used for every "cannot classify" case.
 UNKNOWN = "Inconnu"
@@ -100,7 +101,9 @@ class IncidentProfile:
     weapon: str | None = "Weapon Desc"
     lat: str | None = "LAT"
     lon: str | None = "LON"
-    max_year: int | None = DEFAULT_MAX_YEAR
+    max_year: int | None = None
+    #: Types of raw columns that arrive as text (matched by normalised name).
+    raw_types: Mapping[str, DataType] | None = None
     # Curated output names.
     ts_out: str = "date_occ_ts"
     date_out: str = "date_occ"
@@ -124,11 +127,8 @@ class IncidentProfile:
         return None if self.severity is None else self.severity_out
 
 
-#: Binding for the reference's incident export.
-REFERENCE_PROFILE = IncidentProfile()
-
-#: Types for the raw export's numeric columns (everything else stays text, and
-#: ``Vict Age`` is converted where it is used, so a bad value only becomes NULL).
+#: Types of the incident export's numeric columns. Everything else stays text;
+#: ``Vict Age`` is converted where it is used, so a bad value only becomes NULL.
 REFERENCE_RAW_TYPES: dict[str, DataType] = {
     "TIME OCC": IntegerType(),
     "Part 1-2": IntegerType(),
@@ -136,6 +136,9 @@ REFERENCE_RAW_TYPES: dict[str, DataType] = {
     "LON": DoubleType(),
 }
 
+#: Binding for the incident export: its column names, types and last year.
+REFERENCE_PROFILE = IncidentProfile(max_year=REFERENCE_MAX_YEAR, raw_types=REFERENCE_RAW_TYPES)
+
 #: Binding for the adapter view built from the driver's ``lineitem`` table
 #: (see ``blotter.sources.fixture``); cutoff 2000 so that it removes rows.
 ADAPTER_PROFILE = IncidentProfile(

@@ -16,21 +16,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DoubleType, FloatType, StringType
 
 from blotter import profile as P
 from blotter.functions.classify import age_range, sex_norm, time_slot, victim_type
-from blotter.functions.labels import month_name
-from blotter.functions.time import hour_from_hhmm, to_int
+from blotter.functions.labels import context_label, month_name, percent_label
+from blotter.functions.time import hour_from_hhmm, to_date_col, to_int, to_number, to_whole
 from blotter.operators import aggregate as agg
 from blotter.operators import derived as drv
 from blotter.operators import explore as ex
 from blotter.operators.clean import clean_incidents, curated_view
+from blotter.operators.columns import resolve_profile
 from blotter.operators.cube import daily_cube
 from blotter.operators.risk import context_risk_scores, high_risk_contexts, score_counts
 from blotter.profile import ADAPTER_PROFILE, IncidentProfile
 from blotter.sources.fixture import raw_incidents
-from blotter.sources.zones import read_table
+from blotter.sources.zones import read_table, union_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,6 +50,10 @@ ORDERS_PROFILE = IncidentProfile(entity="o_orderpriority", date_raw="o_orderdate
                                  victim_age=None, victim_sex=None, premises=None, weapon=None,
                                  lat=None, lon=None, max_year=None, normalize_text=False)
 
+#: The same binding with the names spelled as a person might, and severity renamed.
+LOOSE_ORDERS_PROFILE = ORDERS_PROFILE.with_(entity="O OrderPriority", date_raw="O ORDERDATE",
+                                            severity="O_Order_Status", severity_out="order_status")
+
 #: Example selections used by the exploration queries.
 EXAMPLE_AGE_RANGES = ("18-29", "30-44")
 HOTSPOT_TOP_K = 10
@@ -56,8 +61,9 @@ CHRONIC_TOP_K = 5
 
 
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every floating-point column (presentation for cross-engine comparison)."""
+    """Round every floating-point measure (presentation for cross-engine comparison); coordinates are keys."""
     dbl = {f.name for f in df.schema.fields if isinstance(f.dataType, (DoubleType, FloatType))}
+    dbl -= {PROF.lat, PROF.lon}
     if not dbl:
         return df
     return df.select(*[F.round(F.col(c), digits).alias(c) if c in dbl else F.col(c)
@@ -123,10 +129,10 @@ def _queries() -> dict[str, Query]:
         curated(s, d), E, D, "week")
     q["total_by_area"] = _total
     q["top5_areas"] = lambda s, d: ex.top_entities(_total(s, d), E, "n_crimes_total", P.TOP_AREAS)
-    q["avg_day_default_zones"] = lambda s, d: ex.filter_default_zones(
-        _avg("day")(s, d), E, P.DEFAULT_ZONES_AVERAGES).orderBy(F.col("avg_crimes_per_day").desc())
+    q["avg_day_default_zones"] = lambda s, d: ex.first_k_rows(
+        _avg("day")(s, d), E, P.DEFAULT_ZONES_AVERAGES).orderBy(F.col("avg_crimes_per_day").desc(), E)
     q["per_year_area_default_zones"] = lambda s, d: ex.filter_default_zones(
-        _yearly(E)(s, d), E, P.DEFAULT_ZONES_EVOLUTION).orderBy(E, "year_int")
+        _yearly(E)(s, d), E, P.DEFAULT_ZONES_EVOLUTION, measured="n_crimes").orderBy(E, "year_int")
 
     # Yearly counts.
     q["per_year"] = _yearly()
@@ -138,9 +144,10 @@ def _queries() -> dict[str, Query]:
 
     # Spatial density and weapons.
     q["heatmap_monthly"] = _heat
-    q["heatmap_points_month"] = lambda s, d: ex.heatmap_points(_heat(s, d), E, PROF.lat, PROF.lon)
+    q["heatmap_points_month"] = lambda s, d: ex.heatmap_points(
+        _heat(s, d), E, PROF.lat, PROF.lon, computed=True)
     q["heatmap_point_count"] = lambda s, d: ex.heatmap_points(
-        _heat(s, d), E, PROF.lat, PROF.lon).agg(F.count(F.lit(1)).alias("n_points"))
+        _heat(s, d), E, PROF.lat, PROF.lon, computed=True).agg(F.count(F.lit(1)).alias("n_points"))
     q["weapon_usage_per_year"] = lambda s, d: agg.weapon_usage_per_year(
         curated(s, d), D, PROF.weapon, year_col=Y)
 
@@ -156,7 +163,7 @@ def _queries() -> dict[str, Query]:
     q["context_risk_scores"] = _scores
     q["high_risk_contexts"] = lambda s, d: _high_risk(s, d, sort=True)
     q["high_risk_filtered"] = lambda s, d: ex.explore_high_risk(
-        _high_risk(s, d), age_ranges=EXAMPLE_AGE_RANGES, entity=E)
+        _high_risk(s, d), age_ranges=EXAMPLE_AGE_RANGES, entity=E, measured="n_crimes")
     q["high_risk_summary"] = lambda s, d: ex.risk_summary(
         ex.explore_high_risk(_high_risk(s, d), entity=E))
     q["high_risk_top20_labels"] = lambda s, d: ex.top_contexts_labelled(
@@ -172,10 +179,10 @@ def _queries() -> dict[str, Query]:
     # Derived answers.
     q["area_concentration"] = lambda s, d: drv.area_concentration(_total(s, d), E)
     q["year_over_year"] = lambda s, d: drv.year_over_year(_yearly()(s, d))
-    q["area_vs_city_trend"] = lambda s, d: drv.area_vs_city_trend(_yearly(E)(s, d), _yearly()(s, d), E)
+    q["area_vs_city_trend"] = lambda s, d: drv.area_vs_city_trend(_yearly(E)(s, d), E)
     q["severity_share"] = lambda s, d: drv.severity_share(_yearly(SEV)(s, d), SEV)
     q["chronic_areas"] = lambda s, d: drv.chronic_areas(
-        _avg("day")(s, d), _avg("week")(s, d), _avg("month")(s, d), E, CHRONIC_TOP_K)
+        agg.count_by(curated(s, d), [E, D], name="n"), E, D, CHRONIC_TOP_K)
     q["recurrent_hotspots"] = lambda s, d: drv.recurrent_hotspots(
         _heat(s, d), PROF.lat, PROF.lon, HOTSPOT_TOP_K)
     q["seasonality_index"] = lambda s, d: drv.seasonality_index(curated(s, d), E, D, year_col=Y)
@@ -201,6 +208,42 @@ def _queries() -> dict[str, Query]:
         orders_clean(s, d), "o_orderpriority", "date_occ", "month")
     q["orders_context_scores"] = lambda s, d: score_counts(agg.yearly_counts(
         orders_clean(s, d), "date_occ", ["o_orderpriority", "o_orderstatus"]))
+
+    # Selections, bindings and conversions that the incident queries do not reach.
+    def by_status(s, d):
+        return agg.yearly_counts(orders_clean(s, d), "date_occ", ["o_orderstatus"])
+
+    def loosely_bound(s, d):
+        orders = read_table(s, d, "orders")
+        prof = resolve_profile(orders, LOOSE_ORDERS_PROFILE)
+        return agg.yearly_counts(curated_view(clean_incidents(orders, prof), prof), prof.date_out,
+                                 [prof.entity, prof.severity_out])
+
+    def yearly_tables(s, d):
+        return union_tables(agg.yearly_counts(orders_clean(s, d), "date_occ").withColumn("source", F.lit("orders")),
+                            agg.yearly_counts(events_clean(s, d), "date_occ").withColumn("source", F.lit("events")))
+
+    def iso_dates(s, d):
+        text = read_table(s, d, "orders").select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
+        return text.groupBy(to_date_col("day", StringType()).alias("day")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+    def brand_numbers(s, d):
+        parts = read_table(s, d, "part").select("p_type", "p_name", F.substring("p_brand", 7, 9).alias("no"))
+        return parts.groupBy("p_type").agg(F.avg(to_number("no")).alias("mean_no"), F.sum(to_whole("no")).alias("sum_no"),
+                                           F.count(to_number("p_name")).alias("named_by_number"))
+
+    q["orders_two_statuses"] = lambda s, d: ex.filter_in(by_status(s, d), "o_orderstatus", ["F", "O"])
+    q["orders_no_status"] = lambda s, d: ex.filter_in(by_status(s, d), "o_orderstatus", [])
+    q["orders_one_status"] = lambda s, d: ex.filter_equal(by_status(s, d), o_orderstatus="F")
+    q["orders_loosely_bound"] = loosely_bound
+    q["yearly_tables_union"] = yearly_tables
+    q["orders_iso_dates"] = iso_dates
+    q["brand_numbers"] = brand_numbers
+    q["equal_counts_scores"] = lambda s, d: score_counts(agg.count_by(read_table(s, d, "nation"), ["n_regionkey"]))
+    q["orders_share_labels"] = lambda s, d: drv.severity_share(by_status(s, d), "o_orderstatus").withColumn(
+        "share_label", percent_label("share_percent"))
+    q["long_place_labels"] = lambda s, d: read_table(s, d, "documents").select(
+        "doc_id", context_label("lang", "source", "text").alias("context"))
     return q
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -17,7 +18,6 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -39,8 +39,9 @@ def local_session(cores: int | str = "*", *, shuffle_partitions: int = 8, app: s
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) is a fresh
-    scratch folder created and registered.
+    Read from the session; only a purely local session without one (tests) gets
+    a fresh scratch folder. A cluster without the setting is refused: a folder
+    on the driver alone would be lost to everyone else.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -48,27 +49,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    path = tempfile.mkdtemp(prefix="blotter-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the whole cluster shares")
+    path = tempfile.mkdtemp(prefix="blotter-ckpt-")
     sc.setCheckpointDir(path)
     return path
 
 
-def cluster_settings(input_bytes: int, *, target_partition_bytes: int = 256 << 20,
-                     max_initial_partitions: int = 200_000) -> dict[str, str]:
-    """Settings for a large cluster run, sized from the input volume.
+def cluster_settings(input_bytes: int, *, cores: int, shuffle_bytes: int | None = None,
+                     split_bytes: int = 256 << 20, reducer_bytes: int = 1 << 30) -> dict[str, str]:
+    """Settings for a large cluster run.
 
-    Scan splits and shuffle partitions aim at ``target_partition_bytes`` each,
-    so a task's working set stays well inside executor memory whatever the
-    data size; adaptive execution then coalesces the (much smaller) aggregate
-    shuffles and splits skewed ones.
+    Scan splits follow the input. Shuffle partitions follow what is shuffled:
+    ``shuffle_bytes`` defaults to a fiftieth of the input, a generous bound for
+    counts that were combined before the shuffle. They are never fewer than
+    two per core, and adaptive execution coalesces small ones and splits large
+    ones (also those of the rebalanced clean write, the only full shuffle), so
+    a few thousand serve 100 TB without a map status per split and reducer
+    that the driver could not hold.
     """
-    initial = max(200, min(max_initial_partitions, -(-input_bytes // target_partition_bytes)))
+    shuffled = input_bytes // 50 if shuffle_bytes is None else shuffle_bytes
+    partitions = str(max(2 * cores, -(-shuffled // reducer_bytes)))
     return {
         **{k: v for k, v in RECOMMENDED_CONF.items() if not k.startswith("spark.ui.")},
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.shuffle.partitions": str(initial),
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.shuffle.partitions": partitions,
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": partitions,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(split_bytes),
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
     }

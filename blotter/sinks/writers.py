@@ -15,32 +15,29 @@ from pyspark.sql import DataFrame
 
 
 def write_curated(df: DataFrame, path: str, *, partition_col: str = "year",
-                  mode: str = "overwrite", rebalance: bool = False,
+                  mode: str = "overwrite", rebalance: bool = True,
                   max_records_per_file: int | None = None, fmt: str = "parquet",
                   cluster_by: Sequence[str] = ()) -> None:
-    """Write incidents as Parquet partitioned by ``partition_col``.
+    """Write incidents partitioned by ``partition_col``.
 
-    Default: narrow write, no shuffle; each task sorts its rows by partition
-    value and writes one file per value it holds. ``rebalance=True`` trades one
-    shuffle for well-sized files: ``REBALANCE(partition_col)`` lets adaptive
-    execution coalesce small partitions and split a year that holds most rows
-    into chunks of ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` (split by
-    map output ranges, so a retried task rewrites the same rows).
-
-    ``mode="overwrite"`` with ``spark.sql.sources.partitionOverwriteMode=dynamic``
-    replaces only the years present in ``df``. ``fmt="csv"`` keeps the
-    reference's text layout (header row); Parquet is the default.
-
-    ``cluster_by`` sorts each task's rows by the partition column and then these
-    columns before writing (a local, spillable sort; no shuffle, and the
-    writer's own ordering by partition column is a prefix of it). Each file's
-    row groups then cover narrow ranges of those columns, so Parquet min/max
-    statistics let later filters on them skip row groups.
+    * ``mode="overwrite"`` replaces the whole zone, whatever the session's
+      partition overwrite setting; ``mode="years"`` replaces only the partitions
+      present in ``df`` and keeps the others. Other modes are Spark's own.
+    * ``rebalance`` (default) shuffles once with ``REBALANCE(partition_col)``:
+      adaptive execution coalesces small partitions and splits a year that holds
+      most rows into files of about
+      ``spark.sql.adaptive.advisoryPartitionSizeInBytes``. Without it every input
+      split writes a file per year it holds, which at many splits means
+      splits x years small files; use it only for a few splits.
+    * ``cluster_by`` sorts each task's rows by the partition column and these
+      columns before writing (local and spillable), so that Parquet statistics
+      let later filters skip row groups.
     """
     writer_df = df.hint("rebalance", partition_col) if rebalance else df
     if cluster_by:
         writer_df = writer_df.sortWithinPartitions(partition_col, *cluster_by)
-    w = writer_df.write.mode(mode).partitionBy(partition_col)
+    w = writer_df.write.mode("overwrite" if mode == "years" else mode).partitionBy(partition_col)
+    w = w.option("partitionOverwriteMode", "dynamic" if mode == "years" else "static")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     if fmt == "csv":
@@ -52,7 +49,7 @@ def write_result(df: DataFrame, base: str, name: str, *, mode: str = "ignore",
                  fmt: str = "parquet", partition_by: str | None = None) -> str:
     """Write one ANALYTICS table to ``{base}/{name}``; returns the path."""
     path = f"{base.rstrip('/')}/{name}"
-    w = df.write.mode(mode)
+    w = df.write.mode(mode).option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(partition_by)
     if fmt == "csv":

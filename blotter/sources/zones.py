@@ -7,11 +7,11 @@ from collections.abc import Mapping
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType, StructType
+from pyspark.sql.types import DataType, IntegerType, StringType, StructType
 
-from blotter.functions.time import to_date_col
-
-from blotter.operators.columns import resolve_alias, strip_column_names
+from blotter.functions.time import to_date_col, to_int
+from blotter.operators.columns import normalize_name, resolve_alias, strip_column_names
+from blotter.results import result_schema
 
 
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
@@ -24,18 +24,38 @@ def read_raw_csv(spark: SparkSession, path: str, *, types: Mapping[str, DataType
     """Raw incident CSV with a header.
 
     No ``inferSchema``: inference is a full extra pass over the file. Either an
-    explicit ``schema`` is given (columns by position), or every column is read
-    as text and the columns in ``types`` are converted by name with ``try_cast``
-    (a bad value becomes NULL; ANSI mode never aborts the job). Column names are
-    stripped of blanks.
+    explicit ``schema`` is given, or every column is read as text and the columns
+    in ``types`` are converted by their normalised name (a bad value becomes
+    NULL; ANSI mode never aborts the job). Column names are stripped of blanks.
+    The header of every file must agree with the first one's (or the schema's):
+    a file with other or reordered columns stops the read instead of filling
+    columns with another one's values.
     """
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    if schema is not None:
-        return strip_column_names(reader.schema(schema).csv(path))
-    df = strip_column_names(reader.csv(path))
-    if types:
-        df = df.withColumns({c: F.col(c).try_cast(t) for c, t in types.items() if c in df.columns})
-    return df
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False)
+    df = strip_column_names((reader.schema(schema) if schema is not None else reader).csv(path))
+    return with_types(df, types or {})
+
+
+def with_types(df: DataFrame, types: Mapping[str, DataType]) -> DataFrame:
+    """Text columns that ``types`` names (by normalised name) converted; bad values become NULL."""
+    by_name = {normalize_name(c): t for c, t in types.items()}
+    made = {}
+    for f in df.schema.fields:
+        kind = by_name.get(normalize_name(f.name))
+        if kind is not None and isinstance(f.dataType, StringType):
+            made[f.name] = to_int(f.name) if isinstance(kind, IntegerType) else F.col(f.name).try_cast(kind)
+    return df.withColumns(made) if made else df
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is there, even as an empty folder (no Spark job)."""
+    try:
+        spark.read.text(path).schema
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc):
+            return False
+        raise
+    return True
 
 
 def read_curated(spark: SparkSession, path: str, *, fmt: str = "parquet",
@@ -66,27 +86,29 @@ def union_tables(*tables: DataFrame) -> DataFrame:
 
 def read_result(spark: SparkSession, base: str, name: str, *, schema: StructType | None = None,
                 fmt: str = "parquet", entity: str | None = None) -> DataFrame:
-    """One ANALYTICS result table; a missing table gives an empty one.
+    """One ANALYTICS result table; a missing or empty one gives an empty frame of ``schema``.
 
     All part files of the directory are read as one table. Column names are
     stripped and, when ``entity`` is given, a loosely matching column is renamed
-    to it (``area name`` -> ``AREA NAME``). CSV tables get their column types
-    inferred unless ``schema`` is given. Without ``schema`` a missing table is
-    an empty frame with no columns.
+    to it (``area name`` -> ``AREA NAME``). CSV tables are read as text and their
+    columns converted by name to the types of ``schema``, which defaults to the
+    published table's (:mod:`blotter.results`); columns it does not name stay
+    text. Types are never guessed, so ``01`` stays ``01``.
     """
-    path = f"{base.rstrip('/')}/{name}"
-    reader = spark.read
-    if fmt == "csv":
-        # Result tables are small aggregates: one inference pass is cheap and
-        # gives numeric columns numeric types (sorting by value needs it).
-        reader = reader.option("header", True).option("inferSchema", schema is None)
-    if schema is not None:
-        reader = reader.schema(schema)
+    schema = schema or result_schema(name, **({"entity": entity} if entity else {}))
+    reader = spark.read.option("header", True) if fmt == "csv" else spark.read
     try:
-        df = reader.format(fmt).load(path)
+        df = reader.format(fmt).load(f"{base.rstrip('/')}/{name}")
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
             raise
         return spark.createDataFrame([], schema or StructType([]))
+    if not df.columns:
+        return spark.createDataFrame([], schema or StructType([]))
     df = strip_column_names(df)
-    return resolve_alias(df, entity) if entity else df
+    df = resolve_alias(df, entity) if entity else df
+    if fmt == "csv" and schema is not None:
+        kinds = {f.name: f.dataType for f in schema.fields}
+        df = df.select(*[F.col(f"`{c}`").try_cast(kinds[c]).alias(c) if c in kinds else F.col(f"`{c}`")
+                         for c in df.columns])
+    return df

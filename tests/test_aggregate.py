@@ -9,7 +9,7 @@ from blotter.operators.cube import CUBE_COUNT, daily_cube, results_from_counts
 from blotter.plans.inspect import count_nodes
 from blotter.profile import ADAPTER_PROFILE as P
 from conftest import SF_SMALL
-from queries_helpers import adapter_curated
+from blotter.queries import curated as adapter_curated
 
 
 def _collect_sorted(df):

@@ -3,6 +3,7 @@
 import pytest
 
 from blotter.operators.columns import (
+    AmbiguousColumnError,
     MissingColumnsError,
     find_col,
     has_columns,
@@ -14,10 +15,12 @@ from blotter.operators.columns import (
 )
 
 
-def test_normalised_lookup_first_match_wins(spark):
+def test_normalised_lookup(spark):
     df = spark.createDataFrame([], "`Vict Age` string, vict_age string, `AREA NAME` string")
     assert normalize_name("AREA NAME") == "areaname"
-    assert find_col(df, "victage") == "Vict Age"
+    assert find_col(df, "vict_age") == "vict_age"  # an exact name needs no guess
+    with pytest.raises(AmbiguousColumnError):  # two columns answer to it
+        find_col(df, "victage")
     assert find_col(df, "area_name") == "AREA NAME"
     assert find_col(df, "nothing") is None
 

@@ -101,10 +101,14 @@ def test_area_concentration_cumulative(spark):
 
 
 def test_chronic_areas_need_all_three_horizons(spark):
-    d = spark.createDataFrame([("A", 9.0), ("B", 8.0), ("C", 1.0)], "e string, avg_crimes_per_day double")
-    w = spark.createDataFrame([("A", 9.0), ("B", 1.0), ("C", 8.0)], "e string, avg_crimes_per_week double")
-    m = spark.createDataFrame([("A", 9.0), ("B", 8.0), ("C", 8.0)], "e string, avg_crimes_per_month double")
-    assert [r["e"] for r in drv.chronic_areas(d, w, m, "e", k=2).collect()] == ["A"]
+    import datetime as dt
+    jan = [dt.date(2020, 1, d) for d in range(6, 13)]  # one ISO week
+    rows = ([("A", d, 9) for d in jan]  # day 9, week 63, month 63
+            + [("B", jan[0], 8)]  # one busy day: day 8, week 8, month 8
+            + [("C", d, 2) for d in jan]  # day 2, week 14, month 14
+            + [("D", jan[0], 1)])
+    daily = spark.createDataFrame(rows, "e string, d date, n long")
+    assert [r["e"] for r in drv.chronic_areas(daily, "e", "d", k=2).collect()] == ["A"]
 
 
 def test_recurrent_hotspots_counts_months_in_top_k_with_ties(spark):
@@ -149,7 +153,7 @@ def test_join_keys_matches_null_entity_and_keeps_one_key_copy(spark):
 def test_self_join_of_one_aggregate_reuses_its_exchange(spark):
     from blotter.plans.inspect import plan_text
     from conftest import SF_SMALL
-    from queries_helpers import adapter_curated
+    from blotter.queries import curated as adapter_curated
     from blotter.operators.aggregate import yearly_counts
     df = drv.year_over_year(yearly_counts(adapter_curated(spark, SF_SMALL), "date_occ"))
     df.collect()

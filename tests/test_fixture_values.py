@@ -8,7 +8,7 @@ from blotter.operators import aggregate as agg
 from blotter.operators.risk import context_risk_scores, high_risk_contexts
 from blotter.profile import ADAPTER_PROFILE as P
 from conftest import SF_MID, SF_SMALL
-from queries_helpers import adapter_curated
+from blotter.queries import curated as adapter_curated
 
 
 def _area(df, col, area="AREA_00"):

@@ -9,16 +9,17 @@ def test_checkpoint_dir_is_read_from_the_session(spark):
     assert spark.sparkContext.getCheckpointDir() is not None
 
 
-def test_cluster_settings_scale_with_input():
-    small = cluster_settings(10 << 30)
-    mid = cluster_settings(1 << 40)
-    big = cluster_settings(100 << 40)
-    assert int(small["spark.sql.shuffle.partitions"]) == 200
-    assert int(mid["spark.sql.shuffle.partitions"]) == 4096  # 1 TB / 256 MB
-    # 100 TB / 256 MB = 409,600 scan splits; shuffles start at the cap and AQE coalesces.
-    assert int(big["spark.sql.shuffle.partitions"]) == 200_000
+def test_cluster_settings_follow_cores_and_shuffled_bytes():
+    small = cluster_settings(10 << 30, cores=40)
+    big = cluster_settings(100 << 40, cores=1000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 80  # two per core
+    # 100 TB: 2 TB of counts at 1 GB a reducer, not a reducer per input split.
+    assert int(big["spark.sql.shuffle.partitions"]) == 2048
+    assert int(cluster_settings(100 << 40, cores=4000)["spark.sql.shuffle.partitions"]) == 8000
+    more = cluster_settings(100 << 40, cores=1000, shuffle_bytes=50 << 40)
+    assert int(more["spark.sql.shuffle.partitions"]) == 51_200  # no cap
     assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
     assert big["spark.sql.adaptive.enabled"] == "true"
     assert big["spark.sql.codegen.hugeMethodLimit"] == RECOMMENDED_CONF["spark.sql.codegen.hugeMethodLimit"]
     assert "spark.ui.enabled" not in big
-    assert int(cluster_settings(10 << 50)["spark.sql.shuffle.partitions"]) == 200_000
+    assert "spark.sql.sources.partitionOverwriteMode" not in big
