@@ -112,8 +112,8 @@ ORACLE_SQL: dict[str, str] = {
         FROM p LEFT JOIN g ON p.html = g.html""",
     "op10_pstable_embeddings": """
         WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
-        ok AS (SELECT * FROM v WHERE e IS NOT NULL AND len(e) > 0 AND list_count(e) = len(e)
-               AND list_bool_and(list_transform(e, x -> isfinite(x))) AND list_dot_product(e, e) > 0),
+        ok AS (SELECT * FROM v WHERE CASE WHEN e IS NULL OR len(e) = 0 OR list_count(e) < len(e) THEN false
+               ELSE isfinite(list_dot_product(e, e)) AND list_dot_product(e, e) > 0 END),
         links AS (SELECT a.vec_id AS src, b.vec_id AS dst FROM ok a JOIN ok b ON a.vec_id <> b.vec_id
                   AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
         reach(src, dst) AS (SELECT src, dst FROM links UNION
