@@ -1,12 +1,12 @@
-"""Token ids of texts with the ``tokenizers`` library, piece by piece.
+"""Token ids of texts with the ``tokenizers`` library, part by part.
 
 A byte-level BPE vocabulary splits a text into pieces before it merges
-anything, and a run of blanks always starts a new piece. So a text may be cut
-before each run of blanks, the parts encoded apart, and the ids joined: the
-result is the same as for the whole text. Words repeat, hence each worker
-keeps the ids of the parts it has met (up to ``CACHE_PARTS``, then it starts
-afresh; that bounds memory and changes no result) and calls the library for new
-parts only.
+anything. A run of blanks always starts a new piece, and so does punctuation
+right after letters. A text may be cut at such places, the parts encoded apart,
+and the ids joined: the result is the same as for the whole text. Words repeat,
+hence each worker keeps the ids of the parts it has met (up to ``CACHE_PARTS``,
+then it starts afresh; that bounds memory and changes no result) and calls the
+library for new parts only.
 
 Texts with other white space than blank, tab, CR and LF are encoded whole.
 """
@@ -18,9 +18,12 @@ import re
 from array import array
 from functools import lru_cache
 
-PARTS = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
-OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
-CACHE_PARTS = 500_000
+#: Blanks and Latin letters before ASCII punctuation, or blanks and what follows up to the next blank.
+PARTS = re.compile(r"[ \t\n\r]*[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u02af]++(?=[!-/:-@\[-`{-~])"
+                   r"|[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
+OTHER_SPACE = "".join(map(chr, (0x0B, 0x0C, 0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                                0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+CACHE_PARTS = 1_000_000
 #: Longer parts are encoded but not kept, so that the cache stays small.
 CACHE_CHARS = 64
 
@@ -50,7 +53,7 @@ class Encoder:
         cache = self.cache
         if len(cache) > CACHE_PARTS:
             cache.clear()
-        parts = [None if OTHER_SPACE.search(t) else PARTS.findall(t) for t in texts]
+        parts = [None if any(c in t for c in OTHER_SPACE) else PARTS.findall(t) for t in texts]
         wanted = set()
         for p in parts:
             if p:
