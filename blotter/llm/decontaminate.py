@@ -19,10 +19,13 @@ passage; shingles have five words (fewer for an item shorter than that).
    The default radius of 18 bits is what windows at similarity 0.8 stay within.
 4. *Exact check.* The weighted similarity of each candidate decides.
 
-DataFrame functions only. Documents are read once per portion of the benchmark
-(a portion has at most ``portion`` anchors; normally there is one) and never
-shuffled: the anchors, block keys and items of a portion are broadcast, and
-bounded by ``portion``. Only found pairs are shuffled, to keep the best window
+DataFrame functions only. Documents are read twice per portion of the benchmark
+(a portion has at most ``portion`` anchors; normally there is one): to find the
+anchors' places, which are written as a table by a hash of the text, and to lay
+windows in the texts that have some. (Two texts with one hash only get windows
+to check in vain.) Anchors, block keys and items of a portion are broadcast, and
+bounded by ``portion``. The places are joined to the documents as Spark sees
+fit for their size; else only found pairs are shuffled, to keep the best window
 of each (document, item).
 
 Nulls and edges: null or empty texts have no windows; an item without words
@@ -117,18 +120,38 @@ def benchmark_items(benchmark: DataFrame, id_col: str, text_col: str, threshold:
     return items.select("item_id", "size", "m", "hashes", "anchors", simhash_of("hashes").alias("item_fp"))
 
 
-def _windows(docs: DataFrame, anchors: DataFrame, size: int) -> DataFrame:
-    """(doc_id, m, start, hashes): windows of m shingles around every anchor hit."""
-    shingled = docs.select("doc_id", shingle_hashes(words("text"), size).alias("all"))
+def anchor_spots(texts: DataFrame, anchors: DataFrame, size: int) -> DataFrame:
+    """(key, m, spots): where the anchors of items with m shingles stand in the texts with this key.
+
+    Rows are exploded without their text or its other shingles, so long texts
+    cost no more per word than short ones; copies of a text are one entry.
+    """
     # the outer form keeps Spark from testing the array for emptiness in a filter, which would make it twice
-    placed = shingled.select("doc_id", "all", F.posexplode_outer("all").alias("pos", "h"))
-    m, n = F.col("m"), F.size("all")
-    first = F.greatest(F.lit(0), F.col("pos") - m + 1)
-    last = F.least(F.col("pos"), F.greatest(F.lit(0), n - m))
-    hits = (placed.join(F.broadcast(anchors), "h")
-            .select("doc_id", "m", first.alias("first"), last.alias("last"), F.slice("all", first + 1, 2 * m - 1).alias("near")))
-    return (hits.select("doc_id", "m", "first", "near", F.explode(F.sequence("first", "last")).alias("start"))
-            .select("doc_id", "m", "start", F.slice("near", F.col("start") - F.col("first") + 1, F.col("m")).alias("hashes")))
+    placed = texts.select("key", F.posexplode_outer(shingle_hashes(words("text"), size)).alias("pos", "h"))
+    return (placed.join(F.broadcast(anchors), "h").groupBy("key", "m")
+            .agg(F.sort_array(F.collect_set("pos")).alias("spots")))
+
+
+def _windows(texts: DataFrame, spots: DataFrame, size: int) -> DataFrame:
+    """(doc_id, m, start, hashes): every window of m shingles that holds an anchor, once.
+
+    A window belongs to the first anchor in it, so an anchor's windows start
+    after the anchor before it.
+    """
+    found = texts.join(spots, "key").select("doc_id", "m", "spots", shingle_hashes(words("text"), size).alias("all"))
+    m, n, at = F.col("m"), F.size("all"), F.col("spots")
+
+    def starts(i: Column) -> Column:
+        pos = F.get(at, i)
+        after = F.coalesce(F.get(at, i - 1) + 1, F.lit(0))  # there is none before the first
+        first = F.greatest(after, pos - m + 1)
+        last = F.least(pos, F.greatest(F.lit(0), n - m))
+        return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+
+    every = F.flatten(F.transform(F.sequence(F.lit(0), F.size("spots") - 1), starts))
+    windows = F.transform(every, lambda s: F.struct(s.alias("start"), F.slice("all", s + 1, m).alias("hashes")))
+    return (found.select("doc_id", "m", F.explode_outer(windows).alias("w"))
+            .select("doc_id", "m", "w.start", "w.hashes").filter(F.col("start").isNotNull()))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -137,7 +160,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
     """(doc_id, item_id, similarity, start_word, window_words, distance): the best window of every contaminated pair."""
     items = stored(benchmark_items(benchmark, item_id_col, item_text_col, threshold), "benchmark-items")
     longest, anchors = items.agg(F.max("m"), F.sum(F.size("anchors"))).first()
-    texts = pick(docs, doc_id=id_col, text=text_col)
+    texts = pick(docs, doc_id=id_col, text=text_col).withColumn("key", F.xxhash64("text"))
     if (longest or 0) > MOST:
         raise ValueError(f"an item has more than {MOST} shingles: split it first")
     sizes = sorted(r[0] for r in items.select("size").distinct().collect())  # at most five values
@@ -151,7 +174,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
                                            F.explode(block_values("item_fp", radius + 1)).alias("k"))
                                .select("item_id", "m", "item_fp", "item_hashes", "k.block", "k.value"))
             places = some.select("m", F.explode("anchors").alias("h")).distinct()
-            windows = _windows(texts, places, size).withColumn("fp", simhash_of("hashes"))
+            spots = stored(anchor_spots(texts, places, size), "anchor-spots")
+            windows = _windows(texts, spots, size).withColumn("fp", simhash_of("hashes"))
             blocked = (windows.withColumn("k", F.explode(block_values("fp", radius + 1)))
                        .select("doc_id", "m", "start", "hashes", "fp", "k.block", "k.value"))
             edges = [64 * i // (radius + 1) for i in range(radius + 2)]
