@@ -30,9 +30,10 @@ from blotter.sources.fixture import raw_incidents  # noqa: E402
 from blotter.sources.zones import read_curated  # noqa: E402
 
 NOTES = {
-    "clean_for_write": "The clean job's plan before the file writer: parsing, filter and a "
-                       "per-task sort by (year, area, date); no exchange, so no shuffle of "
-                       "the incident table.",
+    "clean_for_write": "The clean job's plan before the file writer: parsing and filter, one "
+                       "rebalancing exchange by year (which adaptive execution splits and "
+                       "coalesces to the advisory size), and a per-task sort by (year, area, "
+                       "date). The date is parsed in the filter and again in the output.",
     "daily_cube": "One scan reading 4 columns (+ the `year` partition column); partial "
                   "count before the only exchange, so a hot area is combined map-side.",
     "shared_counts": "Cube and context counts from one scan: `Expand` emits each row once per "
@@ -54,7 +55,7 @@ def main(argv: list[str]) -> None:
     run_clean(spark, raw_incidents(spark, sf_dir), f"{scratch}/curated", P)
     cur = curated_view(read_curated(spark, f"{scratch}/curated"), P)
     frames = {
-        "clean_for_write": clean_incidents(raw_incidents(spark, sf_dir), P)
+        "clean_for_write": clean_incidents(raw_incidents(spark, sf_dir), P).hint("rebalance", "year")
         .sortWithinPartitions("year", P.entity, P.date_out),
         "daily_cube": daily_cube(cur, P),
         "shared_counts": shared_counts(cur, P),
