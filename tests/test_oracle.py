@@ -2,7 +2,9 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from blotter.oracle import oracle_sql
+from blotter.queries import queries
 from conftest import SF_MID, SF_SMALL
 from oracle_compare import compare, duck_connection
 
