@@ -1,12 +1,13 @@
 """Embedding near-duplicates by Euclidean p-stable hashing and exact cosines.
 
 Vectors are scaled to length one, where a cosine of c is a distance of
-sqrt(2 - 2c). A hash table quantises ``projections`` random Gaussian projections
-with cell ``width``; vectors equal in all cells share a bucket. With the default
-6 tables of 8 projections and width 3 a pair exactly at cosine 0.9 meets in some
-table with probability 0.92, one at 0.95 with 0.98, and unrelated directions
-share a table's bucket with probability 0.03 (Datar et al., 2004). More data
-asks for more projections and tables: both are parameters.
+sqrt(2 - 2c). A hash table quantises random Gaussian projections with cell
+``width``; vectors equal in all cells of a table share a bucket there. Datar et
+al. (2004) give the probability p(d) that two vectors at distance d fall into
+one cell. From it follow the defaults, the same rule at every size: so many
+projections that a vector shares a bucket with about ``strangers`` unrelated
+ones (at right angles), and so many tables that a pair exactly at the threshold
+meets in one of them with probability ``recall``; closer pairs meet more surely.
 
 * *Classes first.* Rows with the same components are one class (hot vectors
   cost one entry); a class counts for all its rows.
@@ -31,20 +32,35 @@ ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import FloatType
 
 from .common import pick, stored
 from .components import connected_components
 
 
-def _unit(raw: bytes) -> np.ndarray | None:
+def cell_probability(distance: float, width: float) -> float:
+    """Probability that one projection puts two vectors at ``distance`` into the same cell."""
+    r = width / distance
+    return 1 - math.erfc(r / math.sqrt(2)) - 2 / (math.sqrt(2 * math.pi) * r) * (1 - math.exp(-r * r / 2))
+
+
+def table_shape(vectors: int, threshold: float, width: float, strangers: int, recall: float) -> tuple[int, int]:
+    """(tables, projections per table) for so many vectors."""
+    near = cell_probability(math.sqrt(2 - 2 * threshold), width)
+    far = cell_probability(math.sqrt(2), width)
+    projections = max(1, math.ceil(math.log(max(1, vectors / strangers)) / -math.log(far)))
+    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - near**projections))), projections
+
+
+def _unit(raw: bytes, kind: str) -> np.ndarray | None:
     """The vector scaled to length one in double precision; None if it has no direction."""
-    v = np.frombuffer(raw, "<f8")
+    v = np.frombuffer(raw, kind).astype(np.float64)
     largest = np.abs(v).max() if len(v) else 0.0
     if not np.isfinite(largest) or largest == 0.0:
         return None
@@ -52,12 +68,16 @@ def _unit(raw: bytes) -> np.ndarray | None:
     return v / np.sqrt(v @ v)
 
 
+def component_kind(vectors: DataFrame, vector_col: str) -> str:
+    """How a component is kept: as the 4-byte float it is, or else as 8 bytes."""
+    return "<f4" if vectors.schema[vector_col].dataType.elementType == FloatType() else "<f8"
+
+
 def vector_rows(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(vec_id, key, vec): vec is the components as doubles, key their digest; both null if it links with nothing."""
-    kind = vectors.schema[vector_col].dataType
-    rows = pick(vectors, vec_id=id_col, vec=vector_col).withColumn("vec_id", F.col("vec_id").cast("long"))
-    if kind.elementType != DoubleType():
-        rows = rows.withColumn("vec", F.col("vec").cast("array<double>"))
+    """(vec_id, key, vec): vec is the components' bytes, key their digest; both null if it links with nothing."""
+    kind = component_kind(vectors, vector_col)
+    rows = pick(vectors, vec_id=id_col, vec=vector_col).select(
+        F.col("vec_id").cast("long").alias("vec_id"), F.col("vec").cast("array<float>" if kind == "<f4" else "array<double>").alias("vec"))
 
     def read(batches):
         for batch in batches:
@@ -69,8 +89,8 @@ def vector_rows(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
             keys, raws = [], []
             for i, ok in enumerate(valid):
                 a, b = ends[i], ends[i + 1]
-                raw = (data[a:b] + 0.0).astype("<f8").tobytes() if ok and not null[a:b].any() else b""
-                raw = raw if raw and _unit(raw) is not None else None
+                raw = (data[a:b] + data.dtype.type(0)).astype(kind).tobytes() if ok and not null[a:b].any() else b""
+                raw = raw if raw and _unit(raw, kind) is not None else None
                 raws.append(raw)
                 keys.append(raw and hashlib.sha256(raw).digest())
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(keys, pa.binary()), pa.array(raws, pa.binary())],
@@ -79,13 +99,12 @@ def vector_rows(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.mapInArrow(read, "vec_id long, key binary, vec binary")
 
 
-def bucket_rows(classes: DataFrame, tables: int, projections: int, width: float, seed: int) -> DataFrame:
-    """(bucket, tab, node, n, buckets, vec): each class once per table; ``buckets`` holds its buckets in all tables."""
+def hashed(classes: DataFrame, kind: str, tables: int, projections: int, width: float, seed: int) -> DataFrame:
+    """(node, buckets): the bucket of each class in every table."""
     def make(batches):
         drawn: dict[int, tuple] = {}
         for batch in batches:
-            raws = batch.column("vec").to_pylist()
-            units = [_unit(r) for r in raws]
+            units = [_unit(r, kind) for r in batch.column("vec").to_pylist()]
             sizes = np.array([len(u) for u in units])
             keys = np.zeros((len(units), tables), "<i8")
             for d in np.unique(sizes):
@@ -100,24 +119,22 @@ def bucket_rows(classes: DataFrame, tables: int, projections: int, width: float,
                 cells = cells.reshape(len(at), tables, projections)
                 with np.errstate(over="ignore"):  # a bucket's name; vectors in it are compared whatever it holds
                     keys[at] = (cells * mix).sum(axis=2) * 31 + int(d)
-            for t in range(tables):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[:, t], pa.int64()), pa.array(np.full(len(raws), t), pa.int32()), batch.column("node"),
-                     batch.column("n"), pa.array([k.tobytes() for k in keys], pa.binary()), batch.column("vec")],
-                    names=["bucket", "tab", "node", "n", "buckets", "vec"])
+            offsets = np.arange(0, keys.size + 1, tables, dtype=np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel(), pa.int64()))],
+                names=["node", "buckets"])
 
-    return classes.select("node", "n", "vec").mapInArrow(
-        make, "bucket long, tab int, node long, n long, buckets binary, vec binary")
+    return classes.select("node", "vec").mapInArrow(make, "node long, buckets array<long>")
 
 
-def _compare(rows, tab: int, mates: tuple[int, int], threshold: float):
+def _compare(rows, tab: int, mates: tuple[int, int], threshold: float, kind: str):
     """Links of one bucket (or pair of its blocks): (node, linked rows) sums and star links."""
-    units = [_unit(r) for r in rows["vec"]]
+    units = [_unit(r, kind) for r in rows["vec"]]
     width = len(units[0])
     same = [i for i, u in enumerate(units) if len(u) == width]
     node, n, block = (np.array([rows[c][i] for i in same]) for c in ("node", "n", "block"))
     x = np.stack([units[i] for i in same])
-    buckets = np.stack([np.frombuffer(rows["buckets"][i], "<i8") for i in same])
+    buckets = np.array([rows["buckets"][i] for i in same], np.int64)
     left = np.flatnonzero(block == mates[0])
     right = np.flatnonzero(block == mates[1]) if mates[0] != mates[1] else left
     sums, parent = np.zeros(len(node), np.int64), np.arange(len(node))
@@ -147,16 +164,24 @@ def _compare(rows, tab: int, mates: tuple[int, int], threshold: float):
     return [(int(node[k]), int(sums[k]), int(node[root(k)])) for k in range(len(node)) if sums[k] or root(k) != k]
 
 
-def bucket_links(buckets: DataFrame, *, threshold: float, block: int) -> DataFrame:
-    """(node, linked, root): what each bucket adds to a class, and a link towards its group there."""
-    sizes = (buckets.groupBy("tab", "bucket").agg(F.count("*").alias("entries"))
-             .filter(F.col("entries") > 1)
+def bucket_links(classes: DataFrame, hashes: DataFrame, *, threshold: float, block: int, kind: str) -> DataFrame:
+    """(node, linked, root): what each bucket adds to a class, and a link towards its group there.
+
+    Buckets are counted, and lone ones dropped, on their names; vectors are then
+    sent out once per bucket that they share.
+    """
+    named = hashes.select("node", F.posexplode("buckets").alias("tab", "bucket"))
+    sizes = (named.groupBy("tab", "bucket").agg(F.count("*").alias("entries")).filter(F.col("entries") > 1)
              .select("tab", "bucket", F.ceil(F.col("entries") / block).cast("int").alias("blocks")))
+    shared = named.join(sizes, ["tab", "bucket"]).groupBy("node").agg(  # at most one entry per table
+        F.collect_list(F.struct("tab", "bucket", "blocks")).alias("places"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     mates = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
                         lambda b: F.struct(F.least(b, own).alias("i"), F.greatest(b, own).alias("j")))
-    dealt = (buckets.join(sizes, ["tab", "bucket"])
-             .select("tab", "bucket", "node", "n", "buckets", "vec", own.alias("block"), F.explode(mates).alias("m"))
+    sent = (classes.join(hashes, "node").join(shared, "node")
+            .select("node", "n", "vec", "buckets", F.explode("places").alias("p"))
+            .select("node", "n", "vec", "buckets", "p.tab", "p.bucket", "p.blocks"))
+    dealt = (sent.select("tab", "bucket", "node", "n", "buckets", "vec", own.alias("block"), F.explode(mates).alias("m"))
              .select("tab", "bucket", "m.i", "m.j", "block", "node", "n", "buckets", "vec")
              .repartition("tab", "bucket", "i", "j").sortWithinPartitions("tab", "bucket", "i", "j"))
     columns = ("node", "n", "block", "buckets", "vec")
@@ -165,7 +190,7 @@ def bucket_links(buckets: DataFrame, *, threshold: float, block: int) -> DataFra
         last, held = None, None
 
         def close():
-            rows = _compare(held, last[0], last[2:], threshold) if last is not None and len(held["node"]) > 1 else []
+            rows = _compare(held, last[0], last[2:], threshold, kind) if last is not None and len(held["node"]) > 1 else []
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)],
                                                  names=["node", "linked", "root"])
@@ -185,16 +210,22 @@ def bucket_links(buckets: DataFrame, *, threshold: float, block: int) -> DataFra
 
 
 def embedding_groups(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding",
-                     threshold: float = 0.9, tables: int = 6, projections: int = 8, width: float = 3.0,
-                     block: int = 2048, seed: int = 7) -> DataFrame:
+                     threshold: float = 0.9, tables: int | None = None, projections: int | None = None,
+                     width: float = 3.0, strangers: int = 256, recall: float = 0.95, block: int = 2048,
+                     seed: int = 7) -> DataFrame:
     """(vec_id, n_links, component_id, kept) per row; links are cosines of at least ``threshold``."""
+    kind = component_kind(vectors, vector_col)
     rows = stored(vector_rows(vectors, id_col, vector_col), "vectors")
     usable = F.col("key").isNotNull() & F.col("vec_id").isNotNull()
     classes = stored(rows.filter(usable).groupBy("key").agg(
         F.min("vec_id").alias("node"), F.count("*").alias("n"), F.min("vec").alias("vec")), "vector-classes")
+    if tables is None or projections is None:
+        shape = table_shape(classes.count(), threshold, width, strangers, recall)
+        tables, projections = tables or shape[0], projections or shape[1]
     # repeated ids may stand for several classes; a class is then named by its own number
-    found = stored(bucket_links(bucket_rows(classes.withColumn("node", F.xxhash64("key")), tables, projections, width, seed),
-                                threshold=threshold, block=block), "vector-links")
+    nodes = classes.withColumn("node", F.xxhash64("key"))
+    hashes = stored(hashed(nodes, kind, tables, projections, width, seed), "vector-buckets")
+    found = stored(bucket_links(nodes, hashes, threshold=threshold, block=block, kind=kind), "vector-links")
     roots = connected_components(found.select(F.col("node").alias("src"), F.col("root").alias("dst")))
     linked = found.groupBy("node").agg(F.sum("linked").alias("linked"))
     named = (classes.select("key", F.xxhash64("key").alias("c"), F.col("node").alias("first_id"), "n")
