@@ -42,7 +42,7 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.withColumn("similarity", F.round("similarity", 6))
+    return found.withColumn("similarity", F.round("similarity", 6)).drop("distance")
 
 
 def op3_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,6 +102,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    # all windows of an item's length in every document that shares a shingle with it
+    "op2_benchmark_decontamination": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents),
+        b AS (SELECT item_id, w, least(len(w), 5) AS k FROM
+              (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark) WHERE len(w) > 0),
+        i AS (SELECT item_id, k, len(w) - k + 1 AS m, [array_to_string(w[j:j + k - 1], ' ') for j in range(1, len(w) - k + 2)] AS s FROM b),
+        t AS (SELECT doc_id, k, [array_to_string(w[j:j + k - 1], ' ') for j in range(1, len(w) - k + 2)] AS s
+              FROM d, (SELECT DISTINCT k FROM b) WHERE len(w) >= k),
+        th AS (SELECT DISTINCT doc_id, k, unnest(s) AS h FROM t),
+        ih AS (SELECT item_id, k, h, count(*) AS n FROM (SELECT item_id, k, unnest(s) AS h FROM i) GROUP BY ALL),
+        near AS (SELECT DISTINCT doc_id, item_id, k FROM th JOIN ih USING (k, h)),
+        win AS (SELECT doc_id, item_id, k, m, r.start, t.s[r.start + 1:r.start + m] AS s
+                FROM near JOIN t USING (doc_id, k) JOIN i USING (item_id, k),
+                     LATERAL (SELECT unnest(range(0, greatest(0, len(t.s) - m) + 1)) AS start) r),
+        wh AS (SELECT doc_id, item_id, k, m, start, h, count(*) AS n, any_value(size) AS size
+               FROM (SELECT doc_id, item_id, k, m, start, len(s) AS size, unnest(s) AS h FROM win) GROUP BY doc_id, item_id, k, m, start, h),
+        sim AS (SELECT doc_id, item_id, k, m, start, sum(least(wh.n, ih.n)) / (any_value(size) + m - sum(least(wh.n, ih.n))) AS similarity
+                FROM wh JOIN ih USING (item_id, k, h) GROUP BY doc_id, item_id, k, m, start),
+        best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) AS place
+                 FROM sim WHERE similarity >= 0.8)
+        SELECT doc_id, item_id, round(similarity, 6) AS similarity, start::INTEGER AS start_word, (m + k - 1)::INTEGER AS window_words
+        FROM best WHERE place = 1""",
     "op7_warc_normaliser": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
         g AS (SELECT html, max(page_id) AS newest FROM p
