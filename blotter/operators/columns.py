@@ -97,13 +97,14 @@ def resolve_profile(df: DataFrame, profile: IncidentProfile) -> IncidentProfile:
     reported by the operator that needs it).
     """
     changes = {}
+    source = df.drop(profile.ts_out, profile.date_out, profile.year_out)  # the clean job's own columns play no role
     for f in fields(profile):
         if f.name not in ROLE_FIELDS:
             continue
         name = getattr(profile, f.name)
         if name is None or name in df.columns:
             continue
-        found = find_col(df, name)
+        found = find_col(source, name)
         if found is not None:
             changes[f.name] = found
     return profile.with_(**changes) if changes else profile

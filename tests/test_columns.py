@@ -11,8 +11,10 @@ from blotter.operators.columns import (
     rename_if_present,
     require_columns,
     resolve_alias,
+    resolve_profile,
     strip_column_names,
 )
+from blotter.profile import REFERENCE_PROFILE
 
 
 def test_normalised_lookup(spark):
@@ -41,3 +43,9 @@ def test_header_cleanup_and_renames(spark):
     assert rename_if_present(clean, "absent", "y").columns == clean.columns
     loose = spark.createDataFrame([], "area_name string")
     assert resolve_alias(loose, "AREA NAME").columns == ["AREA NAME"]
+
+
+def test_roles_are_found_beside_the_derived_date(spark):
+    df = spark.createDataFrame([], "`date occ` string, date_occ date, `area name` string, year int")
+    prof = resolve_profile(df, REFERENCE_PROFILE)
+    assert (prof.date_raw, prof.entity) == ("date occ", "area name")
