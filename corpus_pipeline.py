@@ -10,9 +10,10 @@
 5. ``pack``: the texts become pieces of packed sequences.
 
 Each stage works on all that its predecessor kept, written as Parquet in the
-shared folder and read again. Decisions are tied to a document by its id and
-its text's digest, so null and repeated ids are handled row by row; repeated
-rows get the same decision, and stage 2 keeps one of them.
+shared folder and read again. Decisions are tied to a document by a digest of
+its id and text, so null and repeated ids are handled row by row; repeated rows
+get the same decision, and stage 2 keeps one of them. A stage that drops
+documents shuffles the texts once, by that digest.
 
 Nulls and edges: a null text is judged as an empty one; an empty table passes
 through every stage as an empty table; extra columns of ``documents`` are kept
@@ -38,11 +39,9 @@ ROW = "__row"
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn(KEY, F.coalesce(F.sha2("text", 256), F.lit("")))
-
-
-def _same_document(left: DataFrame, right: DataFrame):
-    return left["doc_id"].eqNullSafe(right["doc_id"]) & (left[KEY] == right["key"])
+    doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))
+    text = F.coalesce(F.concat(F.lit(":"), F.col("text")), F.lit(""))  # a null text is not an empty one
+    return docs.withColumn(KEY, F.sha2(F.concat(doc_id, text), 256))
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,16 +52,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keyed = _keyed(docs)
     train = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) != 0
     scores = score_quality(keyed, _table(spark, sf_dir, "labels"), train=train, key_col=KEY)
-    good = scores.filter(F.col("score") >= QUALITY_LEAST).select("doc_id", "key")
-    return keyed.join(good, _same_document(keyed, good), "left_semi").drop(KEY)
+    good = scores.filter(F.col("score") >= QUALITY_LEAST).select(F.col("key").alias(KEY))
+    return keyed.join(good, KEY, "left_semi").select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keyed = _keyed(docs)
-    winners = keep_one_each(simhash_groups(keyed, key_col=KEY))
-    left = keyed.join(winners, _same_document(keyed, winners), "left_semi")
-    one = Window.partitionBy("doc_id", KEY).orderBy("doc_id")  # more than one only where a row is repeated
-    return left.withColumn(ROW, F.row_number().over(one)).filter(F.col(ROW) == 1).drop(ROW, KEY)
+    winners = keep_one_each(simhash_groups(keyed, key_col=KEY)).select(F.col("key").alias(KEY))
+    one = Window.partitionBy(KEY).orderBy(KEY)  # more than one only where a row is repeated; shuffled by KEY already
+    left = keyed.join(winners, KEY, "left_semi").withColumn(ROW, F.row_number().over(one))
+    return left.filter(F.col(ROW) == 1).select(docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
