@@ -18,12 +18,16 @@ import re
 from array import array
 from functools import lru_cache
 
+import numpy as np
+
 #: Blanks and Latin letters before ASCII punctuation, or blanks and what follows up to the next blank.
 PARTS = re.compile(r"[ \t\n\r]*[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u02af]++(?=[!-/:-@\[-`{-~])"
                    r"|[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
+BLANKS = " \t\n\r"
 OTHER_SPACE = "".join(map(chr, (0x0B, 0x0C, 0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
                                 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 CACHE_PARTS = 1_000_000
+WORDS_IN_A_ROW = 2000
 #: Longer parts are encoded but not kept, so that the cache stays small.
 CACHE_CHARS = 64
 
@@ -42,27 +46,55 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
         self.vocabulary = self.tokenizer.get_vocab_size()
+        # a byte-level token is spelled with one character per byte
+        self.token_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.token_bytes[i] = len(token)
         self.cache: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words that begin with a blank and end without one: encoded in rows, cut by their bytes.
+
+        One call for many words costs half as much as a call for each.
+        """
+        out = []
+        for at in range(0, len(words), WORDS_IN_A_ROW):
+            row = words[at:at + WORDS_IN_A_ROW]
+            data = self._encode(["".join(row)])[0]
+            ends = np.cumsum(self.token_bytes[np.frombuffer(data, "<u4")])
+            stops = np.cumsum(np.fromiter((len(w.encode()) for w in row), np.int64, len(row)))
+            cuts = np.searchsorted(ends, stops) + 1
+            if not np.array_equal(ends[cuts - 1], stops):  # no cut there after all: each by itself
+                out += self._encode(row)
+                continue
+            cuts = (4 * cuts).tolist()
+            out += [data[i:j] for i, j in zip([0, *cuts], cuts)]
+        return out
+
+    def _encode_parts(self, parts: list[str]) -> dict[str, bytes]:
+        words, others = [], []
+        for p in parts:
+            (words if p[0] in BLANKS and p[-1] not in BLANKS else others).append(p)
+        return dict(zip(words, self._encode_words(words))) | dict(zip(others, self._encode(others)))
+
     def ids(self, texts: list[str]) -> list[bytes]:
         cache = self.cache
         if len(cache) > CACHE_PARTS:
             cache.clear()
         parts = [None if any(c in t for c in OTHER_SPACE) else PARTS.findall(t) for t in texts]
-        wanted = set()
-        for p in parts:
-            if p:
-                wanted.update(p)
-        new = [p for p in wanted if p not in cache]
+        coded = [p and list(map(cache.get, p)) for p in parts]
+        new = list({x for p, ids in zip(parts, coded) if p and None in ids for x, i in zip(p, ids) if i is None})
         if new:
-            cache.update(zip(new, self._encode(new)))
+            cache.update(self._encode_parts(new))
         whole = iter(self._encode([t for t, p in zip(texts, parts) if p is None]))
-        out = [next(whole) if p is None else b"".join([cache[x] for x in p]) for p in parts]
+        out = [next(whole) if p is None else b"".join(map(cache.__getitem__, p) if None in ids else ids)
+               for p, ids in zip(parts, coded)]
         for p in new:
             if len(p) > CACHE_CHARS:
                 del cache[p]
