@@ -6,7 +6,9 @@ around its smallest node, in a number of rounds that grows with the logarithm
 of its size. Each round is aggregations and joins on the link table alone; it
 is written to the shared folder, so lineage stays short and a lost executor
 costs one round's tasks at most. Joins are plain equi-joins of links with one
-row per node, which adaptive execution splits when a node has very many links.
+row per node. Those rows are a written table too: adaptive execution splits the
+links of a node that has very many only where both sides come from a shuffle or
+a scan, not where one is an aggregate.
 """
 
 from __future__ import annotations
@@ -35,10 +37,10 @@ def connected_components(links: DataFrame) -> DataFrame:
     while content[0]:
         both = now.select(F.col("src").alias("u"), F.col("dst").alias("v")).unionByName(
             now.select(F.col("dst").alias("u"), F.col("src").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = (both.join(least, "u").filter(F.col("v") > F.col("u"))
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = stored(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = (large.join(least, "u").filter(F.col("v") != F.col("m")).select(F.col("v").alias("src"), F.col("m").alias("dst"))
                  .unionByName(least.select(F.col("u").alias("src"), F.col("m").alias("dst"))).distinct())
         after = stored(small, "links")

@@ -101,8 +101,8 @@ def shard_rows(entries: DataFrame, radius: int, crowded: int) -> DataFrame:
         keys.append(F.struct(F.lit(i).alias("pair"), value.alias("value"), F.array(*parts).alias("parts")))
         rests.append(width)
     rows = entries.select("fp", F.explode(F.array(*keys)).alias("k")).select("fp", "k.pair", "k.value", "k.parts")
-    hot = (rows.groupBy("pair", "value").agg(F.count("*").alias("entries"))
-           .filter(F.col("entries") > crowded).withColumn("hot", F.lit(True)).drop("entries"))
+    hot = stored(rows.groupBy("pair", "value").agg(F.count("*").alias("entries"))
+                 .filter(F.col("entries") > crowded).withColumn("hot", F.lit(True)).drop("entries"), "crowded-shards")
     alone = F.array(F.lit(-1).cast("long"))
     return (rows.join(hot, ["pair", "value"], "left")
             .select("fp", "pair", "value", F.explode(F.when(F.col("hot"), F.col("parts")).otherwise(alone)).alias("part")))
