@@ -171,8 +171,8 @@ def bucket_links(classes: DataFrame, hashes: DataFrame, *, threshold: float, blo
     sent out once per bucket that they share.
     """
     named = hashes.select("node", F.posexplode("buckets").alias("tab", "bucket"))
-    sizes = (named.groupBy("tab", "bucket").agg(F.count("*").alias("entries")).filter(F.col("entries") > 1)
-             .select("tab", "bucket", F.ceil(F.col("entries") / block).cast("int").alias("blocks")))
+    sizes = stored(named.groupBy("tab", "bucket").agg(F.count("*").alias("entries")).filter(F.col("entries") > 1)
+                   .select("tab", "bucket", F.ceil(F.col("entries") / block).cast("int").alias("blocks")), "bucket-sizes")
     shared = named.join(sizes, ["tab", "bucket"]).groupBy("node").agg(  # at most one entry per table
         F.collect_list(F.struct("tab", "bucket", "blocks")).alias("places"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
