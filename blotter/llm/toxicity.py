@@ -4,21 +4,26 @@ One dictionary is trained on toxic text, one on ordinary text; a window that
 toxic text explains better compresses shorter with the first.
 
 1. *Sample.* A bounded number of labelled training rows per class (``Sample``),
-   chosen by a hash of the id; two thirds of them train the dictionaries, the
-   rest calibrates.
+   chosen by a hash of the id, with their whole texts, written as a table; two
+   thirds of the ids train the dictionaries, the rest calibrates.
 2. *Dictionaries.* The ordinary one is trained on windows of ordinary texts. The
    toxic one is trained on what toxic texts have beyond ordinary ones: the
    stretches covered by character 5-grams that are in significantly more toxic
-   than ordinary texts. Windows are compressed with the ordinary dictionary and
-   with both in a row, so the difference of the lengths is what the toxic one saves.
+   than ordinary texts. Tasks count the 5-grams and cut the stretches over whole
+   texts; of the windows and of the stretches' pieces, ``Sample.pieces`` each,
+   chosen by a hash of their place, reach the driver. Windows are compressed
+   with the ordinary dictionary and with both in a row, so the difference of the
+   lengths is what the toxic one saves.
 3. *Thresholds and score.* Per document: mean and largest saving over all
    windows, and the shares of windows above thresholds that few ordinary
    calibration windows reach. A logistic fit on the calibration rows maps them to
    a score from 0 to 1, moved to the share of toxic rows among all training labels.
+   Tasks compress the whole calibration texts; a row's counts of each saving
+   reach the driver, which hold all that thresholds and fit need.
 
-Scoring reads whole texts, window by window, and no column but the text; the
-model (two dictionaries of a few kilobytes and a dozen numbers) goes along with
-the tasks.
+Calibration and scoring read whole texts alike, window by window, and no column
+but the text; the model (two dictionaries of a few kilobytes and a dozen numbers)
+goes along with the tasks.
 
 Nulls and edges: a null text is an empty one; texts without words have no
 savings and get the score of none; a null id is kept and never used for
@@ -31,7 +36,6 @@ gives no rows. Other columns are ignored.
 from __future__ import annotations
 
 import math
-import random
 import re
 from collections import Counter
 from dataclasses import dataclass
@@ -41,19 +45,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, text_or_empty
+from .common import pick, stored, text_or_empty
 
 GRAM = 5
 NOT_WORD = re.compile(r"[\W_]+")
 SCORES = "doc_id long, score double"
+#: Distinct grams that a task counts before it hands them on.
+GRAMS_HELD = 500_000
+#: Partitions of the sample's table.
+SAMPLE_PARTS = 48
 
 
 @dataclass(frozen=True)
 class Sample:
-    """Bounds of the labelled sample that reaches the driver."""
+    """Bounds of the labelled sample: its rows, and the pieces of their texts that train each dictionary."""
 
     rows_per_class: int = 6000
-    chars_per_row: int = 5000
+    pieces: int = 30_000
 
 
 @dataclass(frozen=True)
@@ -80,32 +88,19 @@ def _grams(text: str) -> set[str]:
     return {text[i:i + GRAM] for i in range(len(text) - GRAM + 1)}
 
 
-def toxic_stretches(toxic: list[str], ordinary: list[str], significance: float) -> list[bytes]:
-    """Per toxic text what 5-grams typical of toxic texts cover."""
-    in_toxic, in_ordinary = Counter(), Counter()
-    for counts, texts in ((in_toxic, toxic), (in_ordinary, ordinary)):
-        for t in texts:
-            counts.update(_grams(t))
-    typical = set()
-    for gram, seen in in_toxic.items():
-        expected = len(toxic) * (in_ordinary[gram] + 0.5) / (len(ordinary) + 1)
-        if seen > expected + significance * math.sqrt(expected + 1):
-            typical.add(gram)
-    out = []
-    for t in toxic:
-        t, runs, start, end = f" {t} ", [], 0, -1
-        for i in range(len(t) - GRAM + 1):
-            if t[i:i + GRAM] in typical:
-                if i > end:
-                    if end > 0:
-                        runs.append(t[start:end])
-                    start = i
-                end = i + GRAM
-        if end > 0:
-            runs.append(t[start:end])
-        if runs:
-            out.append("".join(runs).encode())
-    return out
+def stretches(text: str, typical: set[str]) -> bytes:
+    """What ``typical`` 5-grams cover of a normal text."""
+    t, runs, start, end = f" {text} ", [], 0, -1
+    for i in range(len(t) - GRAM + 1):
+        if t[i:i + GRAM] in typical:
+            if i > end:
+                if end > 0:
+                    runs.append(t[start:end])
+                start = i
+            end = i + GRAM
+    if end > 0:
+        runs.append(t[start:end])
+    return "".join(runs).encode()
 
 
 def _dictionary(samples: list[bytes], size: int) -> bytes:
@@ -145,17 +140,18 @@ class Model:
         parts = windows(normal(text).encode(), self.settings.window)
         return np.array([len(plain(p)) - len(toxic(p)) for p in parts] or [0], float)
 
-    def features(self, savings: np.ndarray) -> list[float]:
+    def features(self, savings: np.ndarray, counts: np.ndarray) -> list[float]:
+        """Of a text whose windows have these savings so many times."""
         low, high = self.thresholds
-        return [savings.mean(), savings.max(), (savings >= low).mean(), (savings >= high).mean(),
-                np.log1p((savings >= high).sum()), np.log1p(len(savings))]
-
-    def fit(self, texts: list[str], toxic: np.ndarray) -> None:
-        savings = [self.savings(t) for t in texts]
-        clean = np.concatenate([s for s, y in zip(savings, toxic) if not y])
-        low, high = np.quantile(clean, self.settings.quantiles)
-        self.thresholds = (max(1.0, float(low)), max(2.0, float(high), float(low) + 1))
-        x = np.array([self.features(s) for s in savings])
+        n, over, far = counts.sum(), counts[savings >= low].sum(), counts[savings >= high].sum()
+        return [savings @ counts / n, savings.max(), over / n, far / n, np.log1p(far), np.log1p(n)]
+
+    def fit(self, rows: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray) -> None:
+        """``rows``: (savings, counts) of whole texts."""
+        clean = [r for r, y in zip(rows, toxic) if not y]
+        low, high = quantiles(np.concatenate([s for s, _ in clean]), np.concatenate([n for _, n in clean]), self.settings.quantiles)
+        self.thresholds = (max(1.0, low), max(2.0, high, low + 1))
+        x = np.array([self.features(*r) for r in rows])
         self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-9
         x = np.column_stack([np.ones(len(x)), (x - self.mean) / self.scale])
         w = np.zeros(x.shape[1])
@@ -171,35 +167,29 @@ class Model:
         self.weights = w
 
     def score(self, text: str) -> float:
-        x = (np.array(self.features(self.savings(text))) - self.mean) / self.scale
+        savings = self.savings(text)
+        x = (np.array(self.features(savings, np.ones(len(savings)))) - self.mean) / self.scale
         return float(1 / (1 + np.exp(-np.clip(self.weights[0] + x @ self.weights[1:], -30, 30))))
 
 
-def train_model(texts: list[str], toxic: list[int], share: float, settings: Settings) -> Model | None:
-    """The model of a labelled sample; None without both classes in both parts."""
-    parts = [([], []), ([], [])]
-    for cls in (0, 1):
-        mine = [t for t, y in zip(texts, toxic) if y == cls]
-        for i, t in enumerate(mine):
-            parts[i % 3 == 2][cls].append(t)
-    (plain, bad), (plain2, bad2) = parts
-    if not (plain and bad and plain2 and bad2):
-        return None
-    plain_n = [normal(t) for t in plain]
-    cut = [w for t in plain_n for w in windows(t.encode(), 256)]
-    random.Random(0).shuffle(cut)
-    ordinary = _dictionary(cut[:30_000], settings.ordinary_bytes)
-    toxic_part = _dictionary(toxic_stretches([normal(t) for t in bad], plain_n, settings.significance),
-                             settings.toxic_bytes)
-    model = Model(ordinary, toxic_part + ordinary, settings)
-    model.fit(plain2 + bad2, np.array([0] * len(plain2) + [1] * len(bad2)))
-    if 0 < share < 1:
-        model.weights[0] += math.log(share / (1 - share)) - math.log(len(bad2) / len(plain2))
-    return model
+def quantiles(values: np.ndarray, counts: np.ndarray, shares) -> list[float]:
+    """As ``np.quantile`` of every value so many times."""
+    values, at = np.unique(values, return_inverse=True)
+    ends = np.cumsum(np.bincount(at, counts))
+    out = []
+    for share in shares:
+        place = (ends[-1] - 1) * share
+        below, above = (values[np.searchsorted(ends, p, side="right")] for p in (math.floor(place), math.ceil(place)))
+        out.append(float(below + (above - below) * (place - math.floor(place))))
+    return out
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Column, sample: Sample, label_id: str):
-    """(texts, labels) of at most ``rows_per_class`` training rows per class; the share of label 1 among all of them."""
+    """A table (doc_id, plain, bad, text) and the share of label 1 among all training rows.
+
+    At most ``rows_per_class`` label rows per class are in it; ``plain`` and
+    ``bad`` say how many of each an id has.
+    """
     known = (pick(labels, doc_id=label_id, y=label).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("y").cast("int").alias("y"))
              .filter(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & train))
     order = F.xxhash64("doc_id")
@@ -207,12 +197,93 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Colum
     for cls in (0, 1):
         some = known.filter(F.col("y") == cls).orderBy(order, "doc_id").limit(sample.rows_per_class)
         chosen = some if chosen is None else chosen.unionByName(some)
-    rows = (docs.join(F.broadcast(chosen), "doc_id")  # at most 2 x rows_per_class rows
-            .select("doc_id", "y", F.substring("text", 1, sample.chars_per_row).alias("text"))
-            .collect())
-    rows.sort(key=lambda r: (hash(r.doc_id * 0x9E3779B97F4A7C15 & (1 << 61) - 1), r.text))
+    ids = chosen.groupBy("doc_id").agg(F.sum(1 - F.col("y")).cast("int").alias("plain"), F.sum("y").cast("int").alias("bad"))
+    rows = docs.join(F.broadcast(ids), "doc_id").select("doc_id", "plain", "bad", "text")  # at most 2 x rows_per_class ids
     share = known.agg(F.avg("y")).first()[0] or 0.0
-    return [r.text for r in rows], [r.y for r in rows], share
+    return stored(rows.repartition(SAMPLE_PARTS, "doc_id"), "toxicity-sample"), float(share)
+
+
+def _texts(batch):
+    return zip(*[batch.column(c).to_pylist() for c in ("doc_id", "plain", "bad", "text")])
+
+
+def typical_grams(rows: DataFrame, plain: int, bad: int, significance: float) -> set[str]:
+    """The 5-grams that are in significantly more toxic than ordinary texts."""
+    def count(batches):
+        counts = Counter(), Counter()
+
+        def made():
+            grams = list(counts[0].keys() | counts[1].keys())
+            return pa.RecordBatch.from_arrays([pa.array(grams, pa.string()), *[pa.array([c[g] for g in grams], pa.int64()) for c in counts]],
+                                              names=["gram", "plain", "bad"])
+
+        for batch in batches:
+            for _, *times, text in _texts(batch):
+                grams = _grams(normal(text))
+                for c, n in zip(counts, times):
+                    for _ in range(n):
+                        c.update(grams)
+                if len(counts[0]) + len(counts[1]) > GRAMS_HELD:
+                    yield made()
+                    counts = Counter(), Counter()
+        yield made()
+
+    expected = F.lit(float(bad)) * (F.col("plain") + 0.5) / (plain + 1)
+    seen = (rows.mapInArrow(count, "gram string, plain long, bad long")
+            .groupBy("gram").agg(F.sum("plain").alias("plain"), F.sum("bad").alias("bad")))
+    return {r.gram for r in seen.filter(F.col("bad") > expected + significance * F.sqrt(expected + 1)).select("gram").collect()}
+
+
+def dictionary_pieces(rows: DataFrame, cls: str, made, size: int, limit: int) -> list[bytes]:
+    """At most ``limit`` pieces of what ``made`` gives of the whole normal texts of a class, by a hash of their place."""
+    from xxhash import xxh64_intdigest
+
+    def cut(batches):
+        for batch in batches:
+            out = [(xxh64_intdigest(f"{doc_id}:{i}:{k}") >> 1, piece) for doc_id, plain, bad, text in _texts(batch)
+                   for i, piece in enumerate(windows(made(normal(text)), size)) for k in range(plain if cls == "plain" else bad)]
+            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary())],
+                                             names=["place", "piece"])
+
+    some = rows.filter(F.col(cls) > 0).mapInArrow(cut, "place long, piece binary").orderBy("place", "piece").limit(limit)
+    return [bytes(r.piece) for r in some.collect()]
+
+
+def calibration_rows(rows: DataFrame, model: Model) -> list:
+    """Per row: doc_id, plain, bad, and how many windows of the whole text have each saving."""
+    def measure(batches):
+        for batch in batches:
+            made = [np.unique(model.savings(t), return_counts=True) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in ("doc_id", "plain", "bad")], pa.array([v.tolist() for v, _ in made], pa.list_(pa.float64())),
+                 pa.array([n.tolist() for _, n in made], pa.list_(pa.int64()))], names=["doc_id", "plain", "bad", "savings", "counts"])
+
+    return rows.mapInArrow(measure, "doc_id long, plain int, bad int, savings array<double>, counts array<long>").collect()
+
+
+def train_model(rows: DataFrame, share: float, settings: Settings, sample: Sample) -> Model | None:
+    """The model of a labelled sample; None without both classes in both parts."""
+    held = rows.select("doc_id", "plain", "bad").collect()
+    ids = sorted({(hash(r.doc_id * 0x9E3779B97F4A7C15 & (1 << 61) - 1), r.doc_id, r.bad > 0) for r in held})
+    parts: dict[int, bool] = {}  # whether an id calibrates
+    for cls in (False, True):
+        parts |= {doc_id: i % 3 == 2 for i, (_, doc_id, _) in enumerate(x for x in ids if x[2] == cls)}
+    plain, bad = ([sum(r[cls] for r in held if parts[r.doc_id] == later) for later in (False, True)] for cls in ("plain", "bad"))
+    if not all(plain + bad):
+        return None
+    later = F.broadcast(rows.sparkSession.createDataFrame([(d,) for d, p in parts.items() if p], "doc_id long"))
+    trains, calibrates = (rows.join(later, "doc_id", how) for how in ("left_anti", "left_semi"))
+    ordinary = _dictionary(dictionary_pieces(trains, "plain", str.encode, 256, sample.pieces), settings.ordinary_bytes)
+    typical = typical_grams(trains, plain[0], bad[0], settings.significance)
+    toxic_part = _dictionary(dictionary_pieces(trains, "bad", lambda t: stretches(t, typical), 1024, sample.pieces), settings.toxic_bytes)
+    model = Model(ordinary, toxic_part + ordinary, settings)
+    found = sorted(calibration_rows(calibrates, model))
+    x = [(np.array(r.savings), np.array(r.counts)) for r in found]
+    model.fit([v for cls in ("plain", "bad") for v, r in zip(x, found) for _ in range(r[cls])],
+              np.repeat([0, 1], [plain[1], bad[1]]))
+    if 0 < share < 1:
+        model.weights[0] += math.log(share / (1 - share)) - math.log(bad[1] / plain[1])
+    return model
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, *, train: Column, id_col: str = "doc_id", text_col: str = "text",
@@ -220,10 +291,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, train: Column, id_col:
                    settings: Settings = Settings()) -> DataFrame:
     """(doc_id, score) per row. ``train`` is a condition on ``doc_id``: labels of other rows are not looked at."""
     rows = pick(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    texts, known, share = labelled_sample(rows, labels, label_col, train, sample, label_id)
-    model = train_model(texts, known, float(share), settings)
+    some, share = labelled_sample(rows, labels, label_col, train, sample, label_id)
+    model = train_model(some, share, settings, sample)
     if model is None:
-        return rows.select("doc_id", F.lit(float(share)).alias("score"))
+        return rows.select("doc_id", F.lit(share).alias("score"))
 
     def score(batches):
         for batch in batches:

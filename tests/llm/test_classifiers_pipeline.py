@@ -64,6 +64,28 @@ def test_toxicity_learns_planted_words_and_ignores_other_rows_labels(spark):
     assert again == scores
 
 
+def test_toxicity_learns_passages_late_in_long_texts(spark):
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefghilmnorstu") for _ in range(rng.randrange(2, 9))) for _ in range(300)]
+    rows = []
+    for i in range(240):
+        text = [rng.choice(words) for _ in range(1300)]  # over 6,000 characters before the passage
+        if i % 4 == 0:
+            text += [w for _ in range(6) for w in (rng.choice(["nincompoop", "scoundrel", "blackguard"]), rng.choice(words))]
+        rows.append((i, " ".join(text), int(i % 4 == 0)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    scores = {r.doc_id: r.score for r in T.score_toxicity(df, df, train=F.pmod(F.floor(F.col("doc_id") / 4), F.lit(3)) != 0).collect()}
+    held = [(scores[i], y) for i, _, y in rows if i // 4 % 3 == 0]
+    assert np.mean([(s >= 0.5) == y for s, y in held]) > 0.95
+
+
+def test_quantiles_of_counted_values():
+    rng = np.random.default_rng(1)
+    values, counts = rng.integers(-3, 9, 40).astype(float), rng.integers(1, 6, 40)
+    shares = (0.0, 0.31, 0.97, 0.995, 1.0)
+    assert T.quantiles(values, counts, shares) == pytest.approx(np.quantile(np.repeat(values, counts), shares))
+
+
 EDGES = [(1, None), (2, ""), (None, "some text here"), (3, "   \n "), (4, "word " * 60_000), (5, "same"), (5, "same"), (6, "日本語\n\n日本語")]
 
 
