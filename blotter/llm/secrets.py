@@ -6,8 +6,12 @@ non-overlapping: ``assign`` (a key word, a separator and a value), ``access``
 
 * percent escapes and Unicode escapes (backslash u/x forms, numeric character
   references) are decoded over the whole layer;
-* base64 runs (either alphabet) are decoded each by itself, when they hold text
-  or a known compressed stream;
+* base64 runs (either alphabet; also wrapped, with any line length and indent)
+  are decoded each by itself, when they hold text or a known compressed stream.
+  What adjoins a run may belong to its alphabet (``path/to/<base64>``), so a run
+  that isn't text as a whole is decoded at each of its four alignments, which
+  meet every place where base64 can start; readable stretches of the bytes and
+  streams anywhere in them count;
 * gzip, zlib, bzip2, xz and zstandard streams are inflated.
 
 Each result is a new layer on the worklist; it is scanned and unwrapped again
@@ -15,7 +19,7 @@ until nothing new appears. A layer seen before at the same place (by digest) is
 not followed again, which ends cycles such as streams that inflate to
 themselves. Hits are mapped back to code points of the original text: through
 escapes character by character, through base64 and compression to the whole
-encoded run.
+encoded run, or to the characters of it that hold the stretch or stream.
 
 A stream that inflates to more than ``max_inflated`` bytes (64 MiB unless given)
 is refused as a bomb and counted in ``unread``; nothing else is ever skipped.
@@ -52,8 +56,11 @@ PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|(?:\\u|%u)([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})"
                     r"|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
-WRAPPED64 = re.compile(r"(?<![A-Za-z0-9+/])(?:[A-Za-z0-9+/]{60,76}\r?\n)+[A-Za-z0-9+/]+={0,2}")
+WRAPPED64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[\x20\t]*+\r?\n[\x20\t]*+[A-Za-z0-9+/_-]++)+={0,2}")
+LEAST_RUN = 16
 LEAST_TEXT = 10
+READABLE = re.compile(rb"(?:[\t\n\r\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}){%d,}" % LEAST_TEXT)
+STREAM = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
 MAX_INFLATED = 64 << 20
 
 SPANS = "doc_id long, spans array<struct<kind:string,start:int,end:int,layers:string>>, redacted string, unread int"
@@ -144,7 +151,7 @@ class Bomb(ValueError):
     """A stream inflates beyond the limit."""
 
 
-def _limited(decoder, data: bytes, limit: int) -> bytes:
+def _limited(decoder, data, limit: int) -> bytes:
     out = decoder.decompress(data, limit + 1)
     if len(out) > limit:
         raise Bomb
@@ -185,36 +192,70 @@ def _as_text(data: bytes) -> str | None:
     return text if text and odd * 20 <= len(text) else None
 
 
-def _decoded_runs(text: str, limit: int):
-    """(start, end, steps, text or None for a refused bomb) of each base64 run that holds text or a stream of text."""
-    runs = [(m.start(), m.end(), m[0]) for m in BASE64.finditer(text)]
-    if any(len(r[2]) >= 60 for r in runs):
-        runs += [(m.start(), m.end(), re.sub(r"[\r\n]", "", m[0])) for m in WRAPPED64.finditer(text)]
-    for start, end, run in runs:
-        body = run.rstrip("=")
-        if len(body) % 4 == 1:
-            body = body[:-1]
+def _streams(data: bytes, limit: int):
+    """(start, end, content or None for a refused bomb) of the compressed streams anywhere in ``data``."""
+    at = 0
+    while m := STREAM.search(data, at):
+        start = m.start()
         try:
-            data = binascii.a2b_base64(body.translate(_TO_STANDARD) + "=" * (-len(body) % 4))
-        except binascii.Error:
+            content = _inflate(data[start:], limit)
+        except Bomb:
+            yield start, len(data), None
+            at = m.end()
             continue
-        steps = "base64"
-        seen = set()
-        while data is not None:
-            content = _as_text(data) if len(data) >= LEAST_TEXT else None
-            if content is not None:
-                yield start, end, steps, content
-                break
-            mark = hashlib.sha256(data).digest()
-            if mark in seen:
-                break
-            seen.add(mark)
-            try:
-                data = _inflate(data, limit)
-            except Bomb:
-                yield start, end, steps, None
+        if content:
+            yield start, len(data), content
+            return
+        at = start + 1
+
+
+def _layers(data: bytes, limit: int, steps: str):
+    """(start, end, steps, text or None for a refused bomb): what ``data`` holds, through nested streams.
+
+    It is the text that all of it is, or else the content of its streams and its readable stretches.
+    """
+    work, seen = [(data, None, steps)], set()
+    while work:
+        data, about, steps = work.pop()
+        mark = hashlib.sha256(data).digest()
+        if mark in seen:
+            continue
+        seen.add(mark)
+        text = _as_text(data) if len(data) >= LEAST_TEXT else None
+        if text is not None:
+            yield *(about or (0, len(data))), steps, text
+            continue
+        for start, end, content in _streams(data, limit):
+            if content is None:
+                yield *(about or (start, end)), steps, None
+            else:
+                work.append((content, about or (start, end), steps + ">inflate"))
+        for m in READABLE.finditer(data):
+            yield *(about or m.span()), steps, m[0].decode("utf-8", "replace")
+
+
+def _decoded_runs(text: str, limit: int):
+    """(start, end, steps, text or None for a refused bomb) of what each base64 run holds."""
+    runs = [(m.start(), m.end(), m[0], None) for m in BASE64.finditer(text)]
+    for m in WRAPPED64.finditer(text):
+        kept = [i for i in range(m.start(), m.end()) if not text[i].isspace()]
+        if len(kept) >= LEAST_RUN:
+            runs.append((m.start(), m.end(), "".join(m[0].split()), kept))
+    for first, last, run, places in runs:
+        body = run.rstrip("=").translate(_TO_STANDARD)
+        for skip in range(4):
+            part = body[skip:]
+            if len(part) % 4 == 1:
+                part = part[:-1]
+            data = binascii.a2b_base64(part + "=" * (-len(part) % 4))
+            whole = False
+            for a, b, steps, content in _layers(data, limit, "base64"):
+                whole |= skip == 0 and (a, b) == (0, len(data))
+                start, end = skip + a * 4 // 3, min(len(body), skip - (-b * 4 // 3))
+                yield (first if a == skip == 0 else places[start] if places else first + start,
+                       last if b == len(data) else places[end - 1] + 1 if places else first + end, steps, content)
+            if whole:
                 break
-            steps += ">inflate"
 
 
 def scan_text(text: str, limit: int = MAX_INFLATED) -> tuple[list[tuple[str, int, int, str]], int]:

@@ -72,6 +72,27 @@ def test_every_layer_and_nesting(wrap):
     assert found("nothing <" + wrap("a plain sentence of words") + "> here") == []
 
 
+@pytest.mark.parametrize("before", ["https://x.com/", "id-", "path/to/", "a_", "x/y-z_", "data\n"])
+@pytest.mark.parametrize("coded", [b64(SECRET), base64.urlsafe_b64encode(SECRET.encode() + b"?>~" * 3).decode().rstrip("="),
+                                   b64(gzip.compress(SECRET.encode())), b64(zstandard.ZstdCompressor().compress(SECRET.encode()))])
+@pytest.mark.parametrize("after", ["", "/more", " end"])
+def test_base64_beside_letters_of_its_alphabet(before, coded, after):
+    text = f"see {before}{coded}" + (after if "=" not in coded else " end")
+    spans = found(text)
+    assert any(k == "assign" for k, _, _ in spans)
+    assert not any(k == "assign" for k, _, _ in found(S.redact(text, S.scan_text(text)[0])))
+
+
+@pytest.mark.parametrize("width, indent, coder", [(64, "", base64.b64encode), (20, "", base64.b64encode), (100, "", base64.b64encode),
+                                                  (76, "    ", base64.b64encode), (48, "\t", base64.urlsafe_b64encode)])
+def test_wrapped_base64_of_any_shape(width, indent, coder):
+    noise = hashlib.sha512(b"1").digest() + hashlib.sha512(b"2").digest()
+    for payload in (gzip.compress(noise.hex().replace("a", " z").encode() + b" " + SECRET.encode()), noise * 2 + SECRET.encode()):
+        coded = coder(payload).decode()
+        text = "key:\n" + "\n".join(indent + coded[i:i + width] for i in range(0, len(coded), width)) + "\n\nend"
+        assert any(k == "assign" for k, _, _ in found(text))
+
+
 def test_spans_map_through_escapes_character_by_character():
     text = "x %70assword%3Dhunter2 y"
     assert found(text) == [("assign", 2, text.index(" y"))]
