@@ -12,7 +12,8 @@ non-overlapping: ``assign`` (a key word, a separator and a value), ``access``
   that isn't text as a whole is decoded at each of its four alignments, which
   meet every place where base64 can start; readable stretches of the bytes and
   streams anywhere in them count;
-* gzip, zlib, bzip2, xz and zstandard streams are inflated.
+* gzip, zlib, bzip2, xz and zstandard streams are inflated, all members of them;
+  they are sought in base64 and in bytes written as escapes (``%1f%8b``, ``\\x1f``).
 
 Each result is a new layer on the worklist; it is scanned and unwrapped again
 until nothing new appears. A layer seen before at the same place (by digest) is
@@ -21,8 +22,11 @@ themselves. Hits are mapped back to code points of the original text: through
 escapes character by character, through base64 and compression to the whole
 encoded run, or to the characters of it that hold the stretch or stream.
 
-A stream that inflates to more than ``max_inflated`` bytes (64 MiB unless given)
-is refused as a bomb and counted in ``unread``; nothing else is ever skipped.
+A stream that inflates to more than ``max_inflated`` bytes (64 MiB unless given;
+its members together) is refused from the member on that exceeds them, as a bomb,
+and counted in ``unread``. Damaged members aren't read, and decoded bytes that
+aren't readable text are passed over between readable stretches (of ten
+characters at least); neither is counted.
 
 Nulls and edges: a null text is an empty one (no spans); a null id is kept;
 repeated rows are scanned each; very long texts are scanned whole, in one task's
@@ -37,7 +41,9 @@ import hashlib
 import lzma
 import re
 import zlib
+from array import array
 from bisect import bisect_right
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -57,6 +63,12 @@ ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|(?:\\u|%u)([0-9A-Fa-f]{4})|\\U([
                     r"|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
 WRAPPED64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[\x20\t]*+\r?\n[\x20\t]*+[A-Za-z0-9+/_-]++)+={0,2}")
+URL_RUN = re.compile(r"[!$-;=?-Z\[\]_a-z~]{6,}")
+ODD_PERCENT = re.compile(r"%[0189A-Fa-f][0-9A-Fa-f]")
+PERCENT_BYTE = re.compile(r"(?P<hex>%[0-9A-Fa-f]{2})|.")
+LINE = re.compile(r"[\t\x20-\x7e]{6,}")
+BYTE = re.compile(r"(?P<hex>\\x[0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|%u[0-9A-Fa-f]{4}"
+                  r"|&#[xX][0-9A-Fa-f]{1,6};)|(?P<decimal>&#[0-9]{1,7};)|(?P<short>\\[abfnrtv0\\'\"])|.")
 LEAST_RUN = 16
 LEAST_TEXT = 10
 READABLE = re.compile(rb"(?:[\t\n\r\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}){%d,}" % LEAST_TEXT)
@@ -151,36 +163,44 @@ class Bomb(ValueError):
     """A stream inflates beyond the limit."""
 
 
-def _limited(decoder, data, limit: int) -> bytes:
-    out = decoder.decompress(data, limit + 1)
-    if len(out) > limit:
-        raise Bomb
-    return out
+#: Input that a zstandard frame is fed at a time, which bounds what comes out at once.
+STEP = 256
 
 
-def _inflate(data: bytes, limit: int) -> bytes | None:
-    """The content of a compressed stream; None if ``data`` isn't one."""
+def _member(data, limit: int) -> tuple[bytes, int, bool] | None:
+    """Content, length and completeness of the compressed member at the start of ``data``; None if there isn't one."""
+    head = bytes(data[:6])
     try:
-        if data[:2] == b"\x1f\x8b":
-            return _limited(zlib.decompressobj(31), data, limit)
-        if data[:1] == b"\x78" and len(data) > 2 and (data[0] << 8 | data[1]) % 31 == 0:
-            return _limited(zlib.decompressobj(), data, limit)
-        if data[:3] == b"BZh":
-            return _limited(bz2.BZ2Decompressor(), data, limit)
-        if data[:6] == b"\xfd7zXZ\x00":
-            return _limited(lzma.LZMADecompressor(), data, limit)
-        if data[:4] == b"\x28\xb5\x2f\xfd":
+        if head[:4] == b"\x28\xb5\x2f\xfd":
             import zstandard
 
-            out = zstandard.ZstdDecompressor().stream_reader(data).read(limit + 1)
-            if len(out) > limit:
-                raise Bomb
-            return out
+            decoder, out, size = zstandard.ZstdDecompressor().decompressobj(), [], 0
+            for at in range(0, len(data), STEP):
+                out.append(decoder.decompress(data[at:at + STEP]))
+                size += len(out[-1])
+                if size > limit:
+                    raise Bomb
+                if decoder.eof:
+                    return b"".join(out), min(at + STEP, len(data)) - len(decoder.unused_data), True
+            return b"".join(out), len(data), False
+        if head[:2] == b"\x1f\x8b":
+            decoder = zlib.decompressobj(31)
+        elif head[:1] == b"\x78" and len(head) > 2 and (head[0] << 8 | head[1]) % 31 == 0:
+            decoder = zlib.decompressobj()
+        elif head[:3] == b"BZh":
+            decoder = bz2.BZ2Decompressor()
+        elif head == b"\xfd7zXZ\x00":
+            decoder = lzma.LZMADecompressor()
+        else:
+            return None
+        out = decoder.decompress(data, limit + 1)
+        if len(out) > limit:
+            raise Bomb
+        return out, len(data) - len(decoder.unused_data) if decoder.eof else len(data), decoder.eof
     except Bomb:
         raise
     except Exception:  # a run of letters may look like a stream's first bytes
         return None
-    return None
 
 
 def _as_text(data: bytes) -> str | None:
@@ -193,20 +213,27 @@ def _as_text(data: bytes) -> str | None:
 
 
 def _streams(data: bytes, limit: int):
-    """(start, end, content or None for a refused bomb) of the compressed streams anywhere in ``data``."""
-    at = 0
+    """(start, end, content or None for a refused bomb) of the compressed streams anywhere in ``data``.
+
+    Members that follow each other are one stream.
+    """
+    view, at = memoryview(data), 0
     while m := STREAM.search(data, at):
-        start = m.start()
+        start = end = m.start()
+        out, size, bomb, read = [], 0, False, start + 1
         try:
-            content = _inflate(data[start:], limit)
+            while made := _member(view[end:], limit - size):
+                out.append(made[0])
+                size, end = size + len(made[0]), end + made[1]
+                if made[2]:  # one that is cut off, or only looks like a stream, hides nothing after its first byte
+                    read = end
         except Bomb:
+            bomb, read = True, max(read, end + 1)
+        if size:
+            yield start, end, b"".join(out)
+        if bomb:
             yield start, len(data), None
-            at = m.end()
-            continue
-        if content:
-            yield start, len(data), content
-            return
-        at = start + 1
+        at = read
 
 
 def _layers(data: bytes, limit: int, steps: str):
@@ -258,6 +285,48 @@ def _decoded_runs(text: str, limit: int):
                 break
 
 
+def _escaped_streams(text: str, limit: int):
+    """(start, end, steps, text or None for a refused bomb) of streams whose bytes are written as escapes."""
+    runs = []
+    if "%" in text:
+        for m in URL_RUN.finditer(text):
+            if ODD_PERCENT.search(m[0]):
+                runs.append(("url", m, PERCENT_BYTE))
+    if "\\" in text or "&#" in text:
+        for m in LINE.finditer(text):
+            if ESCAPE.search(m[0]):
+                runs.append(("unicode", m, BYTE))
+    for name, run, pattern in runs:
+        data, places = bytearray(), array("q")
+        for t in pattern.finditer(run[0]):
+            data.append(_byte(t))
+            places.append(t.start())
+        places.append(len(run[0]))
+        versions = [bytes(data)]
+        if name == "url" and "+" in run[0]:  # a blank, where a form was encoded
+            versions.append(bytes(0x20 if c == 0x2B and run[0][p] == "+" else c for c, p in zip(data, places)))
+        for made in versions:
+            for a, b, content in _streams(made, limit):
+                start, end = run.start() + places[a], run.start() + places[b]
+                if content is None:
+                    yield start, end, name, None
+                else:
+                    for *_, steps, inner in _layers(content, limit, f"{name}>inflate"):
+                        yield start, end, steps, inner
+
+
+def _byte(token) -> int:
+    """The byte that an escape or a character stands for; 0 for what is no byte."""
+    kind, t = token.lastgroup, token[0]
+    if kind == "hex":
+        return int(re.sub(r"[^0-9A-Fa-f]", "", t[2 if t[0] in "\\&" else 1:]) or "0", 16) & 0xFF
+    if kind == "decimal":
+        return int(t[2:-1]) & 0xFF
+    if kind == "short":
+        return b"\a\b\f\n\r\t\v\0\\'\""["abfnrtv0\\'\"".index(t[1])]
+    return ord(t) & 0xFF
+
+
 def scan_text(text: str, limit: int = MAX_INFLATED) -> tuple[list[tuple[str, int, int, str]], int]:
     """All spans (kind, start, end, layers) in order of start, kind and end; number of refused streams."""
     found: dict[tuple[str, int, int], str] = {}
@@ -276,7 +345,7 @@ def scan_text(text: str, limit: int = MAX_INFLATED) -> tuple[list[tuple[str, int
             if any(c in layer for c in hint) and (at := list(spots(layer))):
                 inner, pieces = _replaced(layer, at)
                 work.append((inner, _Map(place, pieces), f"{steps}>{name}" if steps else name, about))
-        for start, end, how, inner in _decoded_runs(layer, limit):
+        for start, end, how, inner in chain(_decoded_runs(layer, limit), _escaped_streams(layer, limit)):
             whole = place.span(start, end)
             if inner is None:
                 unread += 1

@@ -93,6 +93,26 @@ def test_wrapped_base64_of_any_shape(width, indent, coder):
         assert any(k == "assign" for k, _, _ in found(text))
 
 
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.ZstdCompressor().compress])
+def test_every_member_and_escaped_bytes_are_read(pack):
+    first, second = pack(b"a plain sentence of words"), pack(SECRET.encode())
+    for data in (first + second, first + b"\0\0-" + second):
+        escaped = "".join(f"%{c:02x}" for c in data)
+        for coded in (b64(data), escaped, urllib.parse.quote(data, safe=""), urllib.parse.quote_plus(data), repr(data)[2:-1],
+                      escaped.replace("%", "\\x"), "".join(f"\\u{c:04x}" for c in data), "".join(f"&#{c};" for c in data)):
+            text = f"see <{coded}> end"
+            assert any(k == "assign" for k, _, _ in found(text)), coded
+            assert all(4 < a < b <= 5 + len(coded) for _, a, b in found(text) if b - a > 10)
+    assert S.scan_text(b64(pack(b"a b " * 2000) + pack(b"c d " * 2000)), limit=10_000)[1] == 1
+    spans, unread = S.scan_text(b64(second + pack(b"c d " * 20_000)), limit=10_000)
+    assert spans and unread == 1
+
+
+def test_damaged_and_unprintable_layers_are_scanned():
+    for data in (SECRET.encode() + b" \xff", b"\xff" + SECRET.encode(), b"\0" * 40 + SECRET.encode() + b"\1" * 9, gzip.compress(b"\xfe\0" + SECRET.encode())):
+        assert any(k == "assign" for k, _, _ in found("x <" + b64(data) + "> y"))
+
+
 def test_spans_map_through_escapes_character_by_character():
     text = "x %70assword%3Dhunter2 y"
     assert found(text) == [("assign", 2, text.index(" y"))]
