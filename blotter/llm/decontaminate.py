@@ -30,6 +30,7 @@ of each (document, item).
 
 Nulls and edges: null or empty texts have no windows; an item without words
 never matches; a document shorter than an item is compared as one window; items
+of any length are compared (over ``MOST`` shingles with wider counters); items
 with a null id still count, with a null ``item_id``; documents with a null id,
 and rows that repeat an id, share one row per item; empty tables give no rows.
 Other columns are ignored.
@@ -48,6 +49,8 @@ SHINGLE = 5
 WORD_BREAK = r"[^\p{L}\p{N}]+"
 LANE_BITS = 16
 MOST = (1 << LANE_BITS - 2) - 1
+#: Shingles of a window above which shared ones are counted in linear time.
+LONG = 512
 
 
 def words(text: str) -> Column:
@@ -68,25 +71,35 @@ def shingle_hashes(words_of_text: Column, size: int) -> Column:
     return F.get(F.transform(F.array(words_of_text), hashes), F.lit(0))
 
 
-def simhash_of(hashes: str) -> Column:
-    """The 64-bit SimHash of an array of at most ``MOST`` hashes: a bit is set if it is in over half of them.
-
-    Sixteen sums hold the 64 counts: sum b adds up bits b, b + 16, b + 32 and
-    b + 48 of every hash in four lanes of 16 bits. In each lane, twice the count
-    minus n plus 2^14 - 1 has bit 14 set exactly if the count is over n / 2.
-    """
-    ones = sum(1 << lane for lane in range(0, 64, LANE_BITS))
-    offset = (F.lit(MOST) - F.size(hashes)).cast("long") * F.lit(ones)
+def _simhash(hashes: str, lane_bits: int) -> Column:
+    most = (1 << lane_bits - 2) - 1
+    ones = sum(1 << lane for lane in range(0, 64, lane_bits))
+    offset = (F.lit(most) - F.size(hashes)).cast("long") * F.lit(ones)
 
     def lanes(b: int) -> Column:
         return F.aggregate(hashes, F.lit(0).cast("long"),
                            lambda a, h: a + F.shiftrightunsigned(h, b).bitwiseAND(F.lit(ones)))
 
     def bits(b: int) -> Column:
-        over = F.shiftrightunsigned(F.shiftleft(lanes(b), 1) + offset, LANE_BITS - 2).bitwiseAND(F.lit(ones))
+        over = F.shiftrightunsigned(F.shiftleft(lanes(b), 1) + offset, lane_bits - 2).bitwiseAND(F.lit(ones))
         return F.shiftleft(over, b)
 
-    return reduce(lambda x, y: x.bitwiseOR(y), [bits(b) for b in range(LANE_BITS)])
+    return reduce(lambda x, y: x.bitwiseOR(y), [bits(b) for b in range(lane_bits)])
+
+
+def simhash_of(hashes: str, longest: int | None = None) -> Column:
+    """The 64-bit SimHash of an array of hashes (``longest`` at most, if given): a bit is set if it is in over half of them.
+
+    Sixteen sums hold the 64 counts: sum b adds up bits b, b + 16, b + 32 and
+    b + 48 of every hash in four lanes of 16 bits. In each lane, twice the count
+    minus n plus 2^14 - 1 has bit 14 set exactly if the count is over n / 2. For
+    over ``MOST`` hashes, 32 sums of two lanes of 32 bits do the same up to 2^30 - 1,
+    which is more than an array of a row can hold.
+    """
+    short = _simhash(hashes, LANE_BITS)
+    if longest is not None and longest <= MOST:
+        return short
+    return F.when(F.size(hashes) <= MOST, short).otherwise(_simhash(hashes, 2 * LANE_BITS))
 
 
 def block_values(fingerprint: str, blocks: int) -> Column:
@@ -97,13 +110,32 @@ def block_values(fingerprint: str, blocks: int) -> Column:
                      for i, (a, b) in enumerate(zip(edges, edges[1:]))])
 
 
-def weighted_similarity(left: str, right: str) -> Column:
-    """Sum of the smaller over sum of the larger multiplicity of every shingle."""
-    def count(array: str, h: Column) -> Column:
+def _shared(left, right, levels: int) -> Column:
+    """Sum of the smaller multiplicity of every shingle.
+
+    Of long arrays, the distinct shared ones count first, which is linear, and
+    then in the same way what is left when one of each is taken away.
+    """
+    def count(array, h: Column) -> Column:
         return F.size(F.filter(array, lambda x: x == h))
 
-    shared = F.aggregate(F.array_distinct(left), F.lit(0),
-                         lambda a, h: a + F.least(count(left, h), count(right, h)))
+    plain = F.aggregate(F.array_distinct(left), F.lit(0),
+                        lambda a, h: a + F.least(count(left, h), count(right, h)))
+    if not levels:
+        return plain
+
+    def repeats(array) -> Column:
+        again = F.transform(F.array(F.sort_array(array)), lambda a: F.filter(a, lambda x, i: x.eqNullSafe(F.get(a, i - 1))))
+        return F.get(again, F.lit(0))
+
+    rest = F.get(F.transform(F.array(F.struct(repeats(left).alias("l"), repeats(right).alias("r"))),
+                             lambda s: _shared(s["l"], s["r"], levels - 1)), F.lit(0))
+    return F.when(F.greatest(F.size(left), F.size(right)) <= LONG, plain).otherwise(F.size(F.array_intersect(left, right)) + rest)
+
+
+def weighted_similarity(left: str, right: str, longest: int | None = None) -> Column:
+    """Sum of the smaller over sum of the larger multiplicity of every shingle."""
+    shared = _shared(F.col(left), F.col(right), 0 if longest is not None and longest <= LONG else 3)
     both = F.size(left) + F.size(right)
     return F.get(F.transform(F.array(shared), lambda s: s / (both - s)), F.lit(0))  # counted once
 
@@ -161,8 +193,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
     items = stored(benchmark_items(benchmark, item_id_col, item_text_col, threshold), "benchmark-items")
     longest, anchors = items.agg(F.max("m"), F.sum(F.size("anchors"))).first()
     texts = pick(docs, doc_id=id_col, text=text_col).withColumn("key", F.xxhash64("text"))
-    if (longest or 0) > MOST:
-        raise ValueError(f"an item has more than {MOST} shingles: split it first")
     sizes = sorted(r[0] for r in items.select("size").distinct().collect())  # at most five values
     portions = max(1, -(-(anchors or 0) // portion))
     found = []
@@ -175,7 +205,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
                                .select("item_id", "m", "item_fp", "item_hashes", "k.block", "k.value"))
             places = some.select("m", F.explode("anchors").alias("h")).distinct()
             spots = stored(anchor_spots(texts, places, size), "anchor-spots")
-            windows = _windows(texts, spots, size).withColumn("fp", simhash_of("hashes"))
+            windows = _windows(texts, spots, size).withColumn("fp", simhash_of("hashes", longest))
             blocked = (windows.withColumn("k", F.explode(block_values("fp", radius + 1)))
                        .select("doc_id", "m", "start", "hashes", "fp", "k.block", "k.value"))
             edges = [64 * i // (radius + 1) for i in range(radius + 2)]
@@ -186,7 +216,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
             # met once, at the first equal block; the costly check only for what the distance admits
             admitted = (F.bit_count(diff) <= radius) & ~equal_before
             near = (blocked.join(keys, ["m", "block", "value"]).withColumn("distance", F.bit_count(diff))
-                    .withColumn("similarity", F.when(admitted, weighted_similarity("item_hashes", "hashes")))
+                    .withColumn("similarity", F.when(admitted, weighted_similarity("item_hashes", "hashes", longest)))
                     .filter(F.col("similarity") >= threshold))
             found.append(near.select("doc_id", "item_id", F.struct(
                 "similarity", (-F.col("start")).alias("back"), (F.col("m") + size - 1).alias("words"), "distance").alias("best")))

@@ -244,3 +244,30 @@ def test_query_columns(spark):
     df = op7_warc_normaliser(spark, SF_SMALL)
     assert df.columns == ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     assert df.count() == spark.read.parquet(f"{SF_SMALL}/pages.parquet").count()
+
+
+def test_items_of_twenty_thousand_words(spark):
+    rng = random.Random(6)
+    words = [f"w{rng.randrange(4000)}" for _ in range(20_000)]
+    item = " ".join(words)
+    changed = " ".join(w if i % 100 else "other" for i, w in enumerate(words))
+    docs = spark.createDataFrame([(1, "some words before " + item + " and after"), (2, changed), (3, " ".join(reversed(words)))], "doc_id long, text string")
+    items = spark.createDataFrame([(9, item), (8, "some words before this one here")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in D.contaminated(docs, items).collect()}
+    assert got.keys() == {(1, 9), (2, 9)}
+    assert (got[(1, 9)].similarity, got[(1, 9)].start_word, got[(1, 9)].window_words) == (1.0, 3, 20_000)
+    assert 0.85 < got[(2, 9)].similarity < 0.95
+
+
+def test_long_windows_are_hashed_and_compared_alike(spark):
+    rng = random.Random(7)
+    hashes = lambda n, kinds: [rng.choice(kinds) for _ in range(n)]
+    some = [rng.getrandbits(64) - (1 << 63) for _ in range(300)]
+    rows = [(hashes(n, some[:k]), hashes(n + 5, some[k // 3:])) for n, k in ((20_000, 300), (16_384, 3), (900, 290), (600, 4), (40, 9))]
+    df = spark.createDataFrame(rows, "a array<long>, b array<long>")
+    got = df.select(D.simhash_of("a").alias("fp"), D.weighted_similarity("a", "b").alias("s"), "a", "b").collect()
+    for r in got:
+        n, (x, y) = len(r.a), (Counter(r.a), Counter(r.b))
+        bits = sum(1 << b for b in range(64) if 2 * sum(c for h, c in x.items() if h >> b & 1) > n)
+        assert r.fp & (1 << 64) - 1 == bits
+        assert r.s == pytest.approx(sum((x & y).values()) / sum((x | y).values()))
