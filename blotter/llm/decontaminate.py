@@ -49,6 +49,8 @@ SHINGLE = 5
 WORD_BREAK = r"[^\p{L}\p{N}]+"
 LANE_BITS = 16
 MOST = (1 << LANE_BITS - 2) - 1
+#: Hashes that a row of windows holds before they are cut out singly.
+ROW_HASHES = 1 << 18
 #: Shingles of a window above which shared ones are counted in linear time.
 LONG = 512
 
@@ -164,11 +166,26 @@ def anchor_spots(texts: DataFrame, anchors: DataFrame, size: int) -> DataFrame:
             .agg(F.sort_array(F.collect_set("pos")).alias("spots")))
 
 
+def _dealt(rows: DataFrame, size: Column) -> DataFrame:
+    """(doc_id, m, low, starts, hashes) again, with at most ``size`` starts a row and only the hashes that their windows need."""
+    def block(k: Column) -> Column:
+        some = F.slice("starts", k * size + 1, size)
+        first, last = F.element_at(some, 1), F.element_at(some, -1)
+        return F.struct(first.alias("low"), some.alias("starts"),
+                        F.slice("hashes", first - F.col("low") + 1, last - first + F.col("m")).alias("hashes"))
+
+    blocks = F.when(F.size("starts") > 0, F.transform(
+        F.sequence(F.lit(0), F.ceil(F.size("starts") / size).cast("int") - 1), block))
+    return rows.select("doc_id", "m", F.explode_outer(blocks).alias("b")).select("doc_id", "m", "b.low", "b.starts", "b.hashes")
+
+
 def _windows(texts: DataFrame, spots: DataFrame, size: int) -> DataFrame:
     """(doc_id, m, start, hashes): every window of m shingles that holds an anchor, once.
 
     A window belongs to the first anchor in it, so an anchor's windows start
-    after the anchor before it.
+    after the anchor before it. Rows are cut into blocks of starts, first of about
+    a window's length and then of ``ROW_HASHES`` hashes in all windows (or one
+    window), so none holds more than twice its text's hashes or one such block.
     """
     found = texts.join(spots, "key").select("doc_id", "m", "spots", shingle_hashes(words("text"), size).alias("all"))
     m, n, at = F.col("m"), F.size("all"), F.col("spots")
@@ -181,8 +198,10 @@ def _windows(texts: DataFrame, spots: DataFrame, size: int) -> DataFrame:
         return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
 
     every = F.flatten(F.transform(F.sequence(F.lit(0), F.size("spots") - 1), starts))
-    windows = F.transform(every, lambda s: F.struct(s.alias("start"), F.slice("all", s + 1, m).alias("hashes")))
-    return (found.select("doc_id", "m", F.explode_outer(windows).alias("w"))
+    rows = found.select("doc_id", "m", F.lit(0).alias("low"), every.alias("starts"), F.col("all").alias("hashes"))
+    rows = _dealt(_dealt(rows, F.greatest(F.lit(1000), "m")), F.greatest(F.lit(1), F.least(F.lit(1000), F.floor(F.lit(ROW_HASHES) / F.col("m")).cast("int"))))
+    windows = F.transform("starts", lambda s: F.struct(s.alias("start"), F.slice("hashes", s - F.col("low") + 1, F.col("m")).alias("hashes")))
+    return (rows.select("doc_id", "m", F.explode_outer(windows).alias("w"))
             .select("doc_id", "m", "w.start", "w.hashes").filter(F.col("start").isNotNull()))
 
 
