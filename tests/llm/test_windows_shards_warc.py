@@ -271,28 +271,3 @@ def test_long_windows_are_hashed_and_compared_alike(spark):
         bits = sum(1 << b for b in range(64) if 2 * sum(c for h, c in x.items() if h >> b & 1) > n)
         assert r.fp & (1 << 64) - 1 == bits
         assert r.s == pytest.approx(sum((x & y).values()) / sum((x | y).values()))
-
-
-def test_windows_are_cut_from_bounded_rows(spark, monkeypatch):
-    texts = spark.createDataFrame([(1, "a b c d e f " * 600), (2, "one two three"), (3, "x y z a b c d e f x y z")], "doc_id long, text string")
-    texts = texts.withColumn("key", F.xxhash64("text"))
-    spots = texts.select("key", F.explode(F.array(F.lit(4), F.lit(50), F.lit(1500))).alias("m"),
-                         F.when(F.col("doc_id") == 1, F.sequence(F.lit(0), F.lit(3590), F.lit(3))).otherwise(F.array(F.lit(0), F.lit(5))).alias("spots"))
-    sizes = []
-    dealt = D._dealt
-    monkeypatch.setattr(D, "_dealt", lambda rows, size: sizes.append(dealt(rows, size)) or sizes[-1])
-    got = D._windows(texts, spots, 5)
-    assert len(sizes) == 2
-    for rows in sizes:
-        assert rows.agg(F.max(F.size("starts"))).first()[0] <= 1500
-    largest = sizes[-1].agg(F.max(F.when(F.size("starts") > 1, F.size("starts") * F.col("m")))).first()[0]
-    assert largest <= D.ROW_HASHES
-    rows = got.select("doc_id", "m", "start", F.size("hashes").alias("n"), F.get("hashes", 0).alias("first"), F.get("hashes", F.size("hashes") - 1).alias("last")).collect()
-    whole = {r.doc_id: r.h for r in texts.select("doc_id", D.shingle_hashes(D.words("text"), 5).alias("h")).collect()}
-    assert len({(r.doc_id, r.m, r.start) for r in rows}) == len(rows)
-    for m in (4, 50, 1500):
-        n = len(whole[1])
-        assert {r.start for r in rows if r.doc_id == 1 and r.m == m} == set(range(0, min(n - m, 3588) + 1))  # 3,588 is the last spot
-    for r in rows:
-        part = whole[r.doc_id][r.start:r.start + r.m]
-        assert (r.n, r.first, r.last) == (len(part), part[0] if part else None, part[-1] if part else None)
