@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import hashlib
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .ball_codes import ball_codes, with_label_errors
 from .common import shared_folder
 from .decontaminate import contaminated
 from .embeddings import embedding_groups
+from .manifest import folded, leaf_digest, merkle_manifest, siblings
+from .oracle_sql import ball_codes_sql, merkle_sql
 from .packing import pack_documents
 from .quality_rules import score_quality
 from .secrets import scan_secrets
+from .sentence_pieces import sentence_pieces
 from .sharding import minimax_shards
 from .simhash import simhash_groups
 from .token_files import read_token_files, write_token_files
@@ -81,6 +87,32 @@ def op10_pstable_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_groups(table(spark, sf_dir, "embeddings"))
 
 
+def op11_ball_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = ball_codes(table(spark, sf_dir, "embeddings"))
+    numbers = ",".join(str(c) for book in books for entry in book for c in entry)
+    return with_label_errors(codes).select(
+        F.col("id").alias("vec_id"), F.lower(F.hex("code")).alias("code"), "error", "label_error",
+        F.lit(hashlib.sha256(numbers.encode()).hexdigest()).alias("codebooks_sha256"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.lit(False))
+    other = F.when(tampered, leaf_digest(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), lowered))
+    proofs = merkle_manifest(docs, carry={"tampered": other})
+    return (proofs.withColumn("folded_root", folded(F.coalesce("tampered", "leaf"), F.col("path")))
+            .select("doc_id", "leaf", "subroot", "root", F.sha2(siblings(F.col("path")), 256).alias("proof_sha256"),
+                    "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")))
+
+
+def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = sentence_pieces(table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+                         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def _fold():
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5))
 
@@ -98,7 +130,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_secret_scan, op2_benchmark_decontamination, op3_hierarchical_packing, op4_simhash_bk_trees,
         op5_compression_toxicity, op6_token_files, op7_warc_normaliser, op8_rule_ensemble, op9_minimax_sharding,
-        op10_pstable_embeddings)
+        op10_pstable_embeddings, op11_ball_codes, op12_merkle_manifest,
+        op13_sentence_pieces)
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -145,4 +178,6 @@ ORACLE_SQL: dict[str, str] = {
         SELECT v.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, least(v.vec_id, coalesce(least.dst, v.vec_id)) AS component_id,
                v.vec_id = least(v.vec_id, coalesce(least.dst, v.vec_id)) AS kept
         FROM v LEFT JOIN n ON n.src = v.vec_id LEFT JOIN least ON least.src = v.vec_id""",
+    "op11_ball_codes": ball_codes_sql(),
+    "op12_merkle_manifest": merkle_sql(),
 }
