@@ -12,11 +12,12 @@ groups, prefix sums inside hash buckets of the order (the buckets' totals, a
 fixed number of rows, are summed once more), and one join back. A greedy step
 asks "which group covers byte v of the ordered bytes?" for all capacities at
 once: the groups are filtered to the asked range and equi-joined on a coarse
-cell of the byte axis with the broadcast queries (at most 255 rows). So no
-prefix table is ever collected or put into one task.
+cell of the byte axis with the broadcast queries (at most 255 rows). The groups
+are stored in the order of that axis, so a step reads only the files and pages of
+its range. No prefix table is ever collected or put into one task.
 
-A group may hold any share of the rows: its rows are counted and numbered in
-``salts`` portions before they meet.
+A group may hold any share of the rows, also of rows with one id: its rows are
+dealt to ``salts`` portions in turn, which are counted and numbered apart.
 
 Nulls and edges: a null text has size 1 (no bytes plus 1), checksum 0 and forms
 a group of its own, apart from the empty text; rows with a null id are rows like
@@ -72,7 +73,8 @@ class _Line:
         if not places:
             return {}
         spark, cell = self.groups.sparkSession, self.cell
-        asked = spark.createDataFrame([(int(v), int(v) // cell) for v in places], "v long, cell long")
+        values = F.array(*[F.lit(int(v)).cast("long") for v in sorted(places)])
+        asked = spark.range(1).select(F.explode(values).alias("v")).select("v", F.expr(f"v div {cell}").alias("cell"))
         near = (self.groups.filter((F.col("stop") > min(places)) & (F.col("start") <= max(places)))
                 .select("start", "stop", F.explode(F.sequence(F.floor(F.col("start") / cell).cast("long"),
                                                               F.floor((F.col("stop") - 1) / cell).cast("long"))).alias("cell")))
@@ -140,9 +142,10 @@ def minimax_shards(docs: DataFrame, shards: int = 8, *, id_col: str = "doc_id",
         (F.octet_length(text_or_empty()) + 1).cast("long").alias("size"),
         F.crc32(text_or_empty()).alias("text_crc32"),
         F.unhex(F.coalesce(F.sha2("text", 256), F.lit(""))).alias("digest"),
-        F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int").alias("salt")), "shard-rows")
+        F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int").alias("salt")), "shard-rows")
     portions = rows.groupBy("digest", "salt").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
-    groups = stored(ordered_groups(portions, buckets), "shard-groups")
+    line = stored(ordered_groups(portions, buckets), "shard-line")
+    groups = stored(line.repartitionByRange("start").sortWithinPartitions("start"), "shard-groups")
     total, largest = groups.agg(F.sum("bytes"), F.max("bytes")).first()
     cuts: list[int] = []
     if total and shards > 1:
