@@ -22,6 +22,7 @@ from blotter import profile as P
 from blotter.functions.classify import age_range, sex_norm, time_slot, victim_type
 from blotter.functions.labels import context_label, month_name, percent_label
 from blotter.functions.time import hour_from_hhmm, to_date_col, to_int, to_number, to_whole
+from blotter.lake_queries import LAKE_QUERIES
 from blotter.operators import aggregate as agg
 from blotter.operators import derived as drv
 from blotter.operators import explore as ex
@@ -251,4 +252,4 @@ def queries() -> dict[str, Query]:
     """All queries, with floating-point outputs rounded to 6 decimals."""
     def rounded(fn: Query) -> Query:
         return lambda spark, sf_dir: round_doubles(fn(spark, sf_dir))
-    return {name: rounded(fn) for name, fn in _queries().items()}
+    return {name: rounded(fn) for name, fn in (_queries() | LAKE_QUERIES).items()}

@@ -1,13 +1,16 @@
-"""Session helpers: local sessions for tests/bench, and the shared checkpoint folder."""
+"""Session helpers: local sessions for tests/bench, and the folder that a cluster shares."""
 
 from __future__ import annotations
 
 import os
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
+_LOCAL_ROOT: list[str] = []
+
 #: Settings the library relies on. AQE coalesces shuffle partitions and splits
 #: skewed ones at run time; ANSI stays on (parsing uses ``try_*`` functions).
 #: ``hugeMethodLimit=8000`` is HotSpot's own JIT limit: a whole-stage method
@@ -36,24 +39,26 @@ def local_session(cores: int | str = "*", *, shuffle_partitions: int = 8, app: s
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
+def shared_root(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Read from the session; only a purely local session without one (tests) gets
-    a fresh scratch folder. A cluster without the setting is refused: a folder
-    on the driver alone would be lost to everyone else.
+    Only a purely local session (tests) that does not name one gets a scratch
+    folder; a cluster without the setting is refused, because its machines
+    would not see each other's files.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current
-    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that the whole cluster shares")
-    path = tempfile.mkdtemp(prefix="blotter-ckpt-")
-    sc.setCheckpointDir(path)
-    return path
+    if not _LOCAL_ROOT:
+        _LOCAL_ROOT.append("file://" + tempfile.mkdtemp(prefix="blotter-shared-"))
+    return _LOCAL_ROOT[0]
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name under the shared root; every call gives another one."""
+    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def cluster_settings(input_bytes: int, *, cores: int, shuffle_bytes: int | None = None,

@@ -3,15 +3,23 @@
 import pytest
 
 from __spark_entry__ import entry
-from blotter.oracle import oracle_sql
+from blotter.lake_oracle import lake_oracle_sql
+from blotter.oracle import oracle_sql as _oracle_sql
 from blotter.queries import queries
 from conftest import SF_MID, SF_SMALL
 from oracle_compare import compare, duck_connection
 
 NAMES = sorted(queries())
+
+
+def oracle_sql():
+    return _oracle_sql() | lake_oracle_sql()
+
+
 # A cross-section that is also checked at sf0.01 (the driver's scale).
 MID = ["context_risk_scores", "high_risk_contexts", "avg_by_area_week", "year_grouping_sets",
-       "recurrent_hotspots", "area_concentration", "chronic_areas"]
+       "recurrent_hotspots", "area_concentration", "chronic_areas", "lake_twelve_tables", "lake_raw_csv",
+       "lake_contexts_by_what_is_there", "lake_optional_columns"]
 
 
 def test_every_query_has_an_oracle():

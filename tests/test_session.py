@@ -1,12 +1,26 @@
 """Session helpers: shared checkpoint folder and cluster sizing."""
 
-from blotter.session import RECOMMENDED_CONF, checkpoint_dir, cluster_settings
+from types import SimpleNamespace
 
+import pytest
 
-def test_checkpoint_dir_is_read_from_the_session(spark):
-    first = checkpoint_dir(spark)
-    assert first and checkpoint_dir(spark) == first  # set once, then reused
-    assert spark.sparkContext.getCheckpointDir() is not None
+from blotter.session import RECOMMENDED_CONF, cluster_settings, shared_folder, shared_root
+
+
+def session(named, master):
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: named), sparkContext=SimpleNamespace(master=master))
+
+
+def test_shared_folder_is_in_the_folder_that_the_session_names(spark):
+    one, two = (shared_folder(spark, "t") for _ in range(2))
+    assert one != two and one.startswith(f"{shared_root(spark)}/t-")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert shared_root(spark) == (named.rstrip("/") if named else shared_root(spark))
+    assert shared_root(session("hdfs://x/y/", "spark://h:1")) == "hdfs://x/y"
+    assert shared_root(session(None, "local[4]")) == shared_root(session(None, "local"))  # a scratch folder, once
+    for master in ("spark://h:1", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_root(session(None, master))
 
 
 def test_cluster_settings_follow_cores_and_shuffled_bytes():
