@@ -155,16 +155,18 @@ def run_risk(spark: SparkSession, curated_path: str, analytics_base: str,
     """CURATED -> context_risk_scores and high_risk_contexts.
 
     When both are written the high-risk table is a filter of the written score
-    table, read back, so the context counts are computed once.
+    table, read back, so the context counts are computed once. In ``ignore`` mode
+    nothing is read when both are there, not even CURATED's schema.
     """
+    wanted = _wanted(spark, analytics_base, RISK_TABLES, mode)
+    if not wanted:
+        return _paths(analytics_base, RISK_TABLES)
     curated, profile = _read(spark, curated_path, curated_fmt, profile)
     missing = _missing_context_columns(curated, profile)
     if missing:
         log.warning("context columns missing, no risk tables written: %s", missing)
         return {}
-    wanted = _wanted(spark, analytics_base, RISK_TABLES, mode)
-    if wanted:
-        _write_scores(spark, context_risk_scores(curated, profile), analytics_base, profile, wanted, fmt)
+    _write_scores(spark, context_risk_scores(curated, profile), analytics_base, profile, wanted, fmt)
     return _paths(analytics_base, RISK_TABLES)
 
 
