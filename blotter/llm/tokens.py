@@ -1,14 +1,15 @@
-"""Token ids of texts with the ``tokenizers`` library, part by part.
+"""Token ids of texts with the ``tokenizers`` library, word by word.
 
 A byte-level BPE vocabulary splits a text into pieces before it merges
 anything. A run of blanks always starts a new piece, and so does punctuation
 right after letters. A text may be cut at such places, the parts encoded apart,
 and the ids joined: the result is the same as for the whole text. Words repeat,
-hence each worker keeps the ids of the parts it has met (up to ``CACHE_PARTS``,
-then it starts afresh; that bounds memory and changes no result) and calls the
-library for new parts only.
+hence each worker keeps the ids of what it has met (:mod:`blotter.llm.word_ids`)
+and calls the library for new words only, many at a time.
 
-Texts with other white space than blank, tab, CR and LF are encoded whole.
+Texts where every blank stands alone are cut before each blank first, and only
+new words are cut further; others are cut at the ends of all runs and words; texts with other white space than blank, tab, CR and
+LF are encoded whole.
 """
 
 from __future__ import annotations
@@ -20,16 +21,18 @@ from functools import lru_cache
 
 import numpy as np
 
+from .word_ids import PartIds, WordIds
+
 #: Blanks and Latin letters before ASCII punctuation, or blanks and what follows up to the next blank.
 PARTS = re.compile(r"[ \t\n\r]*[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u02af]++(?=[!-/:-@\[-`{-~])"
                    r"|[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 BLANKS = " \t\n\r"
 OTHER_SPACE = "".join(map(chr, (0x0B, 0x0C, 0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
                                 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
-CACHE_PARTS = 1_000_000
-WORDS_IN_A_ROW = 2000
-#: Longer parts are encoded but not kept, so that the cache stays small.
-CACHE_CHARS = 64
+#: A blank that may not stand alone.
+RUNS = ("  ", "\n ", "\t ", "\r ")
+#: Longer rows take longer per word.
+WORDS_IN_A_ROW = 100
 
 
 def default_vocabulary() -> str:
@@ -52,7 +55,8 @@ class Encoder:
         self.token_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
             self.token_bytes[i] = len(token)
-        self.cache: dict[str, bytes] = {}
+        self.parts = PartIds(self._encode_parts)
+        self.words = WordIds(lambda words: self.parts.ids([PARTS.findall(w) for w in words]), prefix=" ", first_prefix="")
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes()
@@ -63,41 +67,37 @@ class Encoder:
 
         One call for many words costs half as much as a call for each.
         """
-        out = []
-        for at in range(0, len(words), WORDS_IN_A_ROW):
-            row = words[at:at + WORDS_IN_A_ROW]
-            data = self._encode(["".join(row)])[0]
-            ends = np.cumsum(self.token_bytes[np.frombuffer(data, "<u4")])
-            stops = np.cumsum(np.fromiter((len(w.encode()) for w in row), np.int64, len(row)))
-            cuts = np.searchsorted(ends, stops) + 1
-            if not np.array_equal(ends[cuts - 1], stops):  # no cut there after all: each by itself
-                out += self._encode(row)
-                continue
-            cuts = (4 * cuts).tolist()
-            out += [data[i:j] for i, j in zip([0, *cuts], cuts)]
-        return out
-
-    def _encode_parts(self, parts: list[str]) -> dict[str, bytes]:
-        words, others = [], []
-        for p in parts:
-            (words if p[0] in BLANKS and p[-1] not in BLANKS else others).append(p)
-        return dict(zip(words, self._encode_words(words))) | dict(zip(others, self._encode(others)))
+        rows = ["".join(words[at:at + WORDS_IN_A_ROW]) for at in range(0, len(words), WORDS_IN_A_ROW)]
+        data = b"".join(self._encode(rows))
+        ends = np.cumsum(self.token_bytes[np.frombuffer(data, "<u4")])
+        stops = np.cumsum(np.fromiter((len(w.encode()) for w in words), np.int64, len(words)))
+        cuts = np.searchsorted(ends, stops)
+        if len(words) and not (cuts[-1] < len(ends) and np.array_equal(ends[cuts], stops)):
+            return self._encode(words)  # no cut there after all: each by itself
+        cuts = (4 * cuts + 4).tolist()
+        return [data[i:j] for i, j in zip([0, *cuts], cuts)]
+
+    def _encode_parts(self, parts: list[str]) -> list[bytes]:
+        led = [p[0] in BLANKS and p[-1] not in BLANKS for p in parts]
+        words = iter(self._encode_words([p for p, w in zip(parts, led) if w]))
+        others = iter(self._encode([p for p, w in zip(parts, led) if not w]))
+        return [next(words if w else others) for w in led]
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        cache = self.cache
-        if len(cache) > CACHE_PARTS:
-            cache.clear()
-        parts = [None if any(c in t for c in OTHER_SPACE) else PARTS.findall(t) for t in texts]
-        coded = [p and list(map(cache.get, p)) for p in parts]
-        new = list({x for p, ids in zip(parts, coded) if p and None in ids for x, i in zip(p, ids) if i is None})
-        if new:
-            cache.update(self._encode_parts(new))
-        whole = iter(self._encode([t for t, p in zip(texts, parts) if p is None]))
-        out = [next(whole) if p is None else b"".join(map(cache.__getitem__, p) if None in ids else ids)
-               for p, ids in zip(parts, coded)]
-        for p in new:
-            if len(p) > CACHE_CHARS:
-                del cache[p]
+        out: list[bytes] = [b""] * len(texts)
+        whole, parted, worded = [], [], []
+        for i, t in enumerate(texts):
+            if any(c in t for c in OTHER_SPACE):
+                whole.append(i)
+            elif any(r in t for r in RUNS):
+                parted.append(i)
+            else:
+                worded.append(i)
+        for some, ids in ((whole, self._encode([texts[i] for i in whole])),
+                          (parted, self.parts.ids([PARTS.findall(texts[i]) for i in parted])),
+                          (worded, self.words.ids([texts[i] for i in worded]))):
+            for i, x in zip(some, ids):
+                out[i] = x
         return out
 
 
