@@ -7,13 +7,13 @@ to another: the ids of a text are the ids of its marked words, one after another
 
 1. The marked words of all texts are counted: tasks count what they read, Spark
    adds the counts per word.
-2. The ``table_words`` most frequent ones of at most ``table_chars`` characters
-   are segmented once, by Spark tasks, and written: the table that every worker
-   gets. Those two parameters bound its size, whatever the input.
+2. The most frequent ones, ``table_words`` at most and of at most ``table_chars``
+   characters, are segmented once, by Spark tasks, and written: the table that
+   every worker gets. Those two parameters bound its size, whatever the input.
 3. Texts are read again in batches. The distinct words of a batch that the table
    lacks are segmented once and kept in the worker's own table (up to
-   ``worker_words``, then only the common table stays), and every text gets its
-   words' ids joined by position.
+   ``worker_words``, then it starts afresh from the common one), and every text
+   gets its words' ids joined by position (:mod:`blotter.llm.word_ids`).
 
 Words in the table or not, their ids come from the same call, so the bounds
 change no result. Texts do not move; the shuffle holds one row per task and
@@ -35,15 +35,17 @@ from __future__ import annotations
 
 import re
 import uuid
+from array import array
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import pick, stored, text_or_empty
 from .tokens import text_batches
+from .word_ids import PartIds, WordIds
 
 MARKER = "▁"
 WORDS = re.compile(" +[^ ]*")
@@ -69,16 +71,17 @@ def marked_words(text: str) -> list[str]:
 
 
 class Segmenter:
-    """A worker's model, and ids (as little-endian unsigned 32-bit bytes) of marked words."""
+    """A worker's model and the tables of what it has segmented; ids are little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, model: str, table: dict[str, bytes], worker_words: int):
+    def __init__(self, model: str, table: dict[str, bytes] | None = None, worker_words: int = 1_500_000):
         from sentencepiece import SentencePieceProcessor
 
         self.model = SentencePieceProcessor(model_file=model)
-        self.table, self.worker_words = table, worker_words
-        self.known = dict(table)
+        self.table, self.worker_words = table or {}, worker_words
         self.lead = len(self.model.encode(BEFORE, num_threads=1))
         self.apart = self._apart()
+        self.words = WordIds(self._known, kept=len(self.table) + worker_words)
+        self.parts = PartIds(self.segment, kept=worker_words)
 
     def _apart(self) -> bool:
         """Whether marked words can be segmented one by one."""
@@ -93,19 +96,26 @@ class Segmenter:
 
     def segment(self, words: list[str]) -> list[bytes]:
         coded = self.model.encode([f"{BEFORE} {w}" for w in words], num_threads=1)
-        return [np.array(ids[self.lead:], "<u4").tobytes() for ids in coded]
+        return [array("I", ids[self.lead:]).tobytes() for ids in coded]
+
+    def _known(self, words: list[str]) -> list[bytes]:
+        new = [w for w in words if w not in self.table]
+        made = dict(zip(new, self.segment(new)))
+        return [made[w] if w in made else self.table[w] for w in words]
 
     def ids(self, texts: list[str]) -> list[bytes]:
+        out: list[bytes] = [b""] * len(texts)
         if not self.apart:
-            return [np.array(ids, "<u4").tobytes() for ids in self.model.encode(texts, num_threads=1)]
-        if len(self.known) > len(self.table) + self.worker_words:
-            self.known = dict(self.table)
-        known = self.known
-        words = [marked_words(t) for t in texts]
-        found = [list(map(known.get, ws)) for ws in words]
-        new = list({w for ws, ids in zip(words, found) if None in ids for w, i in zip(ws, ids) if i is None})
-        known.update(zip(new, self.segment(new)))
-        return [b"".join(map(known.__getitem__, ws) if None in ids else ids) for ws, ids in zip(words, found)]
+            return [array("I", ids).tobytes() for ids in self.model.encode(texts, num_threads=1)]
+        plain, parted = [], []
+        for i, t in enumerate(texts):
+            if t:
+                (parted if t[0] == " " or "  " in t or MARKER in t else plain).append(i)
+        for some, ids in ((plain, self.words.ids([texts[i] for i in plain])),
+                          (parted, self.parts.ids([marked_words(texts[i]) for i in parted]))):
+            for i, x in zip(some, ids):
+                out[i] = x
+        return out
 
     def text(self, ids: bytes) -> str:
         return self.model.decode(np.frombuffer(ids, "<u4").tolist())
@@ -114,12 +124,12 @@ class Segmenter:
 _WORKER: dict[tuple, Segmenter] = {}
 
 
-def segmenter(model: str, name: str = "", table=None, worker_words: int = 0) -> Segmenter:
+def segmenter(model: str, name: str = "", table=None, worker_words: int = 1_500_000) -> Segmenter:
     """One segmenter per worker process, model and table; ``table`` is a broadcast of (word, ids)."""
     key = (model, name, worker_words)
     if key not in _WORKER:
         _WORKER.clear()  # a worker serves one table at a time
-        _WORKER[key] = Segmenter(model, dict(table.value) if table else {}, worker_words)
+        _WORKER[key] = Segmenter(model, dict(table.value) if table else None, worker_words)
     return _WORKER[key]
 
 
@@ -147,8 +157,11 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 def word_table(docs: DataFrame, model: str, *, text_col: str = "text", table_words: int = 100_000,
                table_chars: int = 64) -> DataFrame:
     """(word, n, ids): the most frequent marked words, each segmented once; ids as bytes."""
-    counts = word_counts(docs, text_col).filter((F.col("n") > 1) & (F.char_length("word") <= table_chars))
-    frequent = counts.orderBy(F.desc("n"), "word").limit(table_words)
+    counts = stored(word_counts(docs, text_col).filter((F.col("n") > 1) & (F.char_length("word") <= table_chars)), "word-counts")
+    often = counts.groupBy("n").agg(F.count("*").alias("words"))  # as many rows as there are different counts
+    up_to = F.sum("words").over(Window.orderBy(F.desc("n")))
+    least = often.select("n", up_to.alias("up_to")).filter(F.col("up_to") <= table_words).agg(F.min("n")).first()[0]
+    frequent = counts.filter(F.col("n") >= F.lit(least).cast("long"))
 
     def code(batches):
         own = segmenter(model)
@@ -160,7 +173,7 @@ def word_table(docs: DataFrame, model: str, *, text_col: str = "text", table_wor
 
 
 def sentence_pieces(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", model: str | None = None,
-                    table_words: int = 100_000, table_chars: int = 64, worker_words: int = 300_000) -> DataFrame:
+                    table_words: int = 100_000, table_chars: int = 64, worker_words: int = 1_500_000) -> DataFrame:
     """(doc_id, ids array<int>, decoded string) of every row, as the library's encode and decode give them."""
     model = model or default_model()
     rows = pick(docs, doc_id=id_col, text=text_col).select("doc_id", text_or_empty().alias("text"))
