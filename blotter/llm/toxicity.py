@@ -1,33 +1,38 @@
 """Toxicity by compression distance with two zstandard dictionaries.
 
-One dictionary is trained on toxic text, one on ordinary text; a window that
-toxic text explains better compresses shorter with the first.
+One dictionary is trained on ordinary text, one on what toxic text has beyond it;
+a window that the second helps to compress shorter speaks for toxicity.
 
 1. *Sample.* A bounded number of labelled training rows per class (``Sample``),
    chosen by a hash of the id, with their whole texts, written as a table; two
    thirds of the ids train the dictionaries, the rest calibrates.
-2. *Dictionaries.* The ordinary one is trained on windows of ordinary texts. The
-   toxic one is trained on what toxic texts have beyond ordinary ones: the
-   stretches covered by character 5-grams that are in significantly more toxic
-   than ordinary texts. Tasks count the 5-grams and cut the stretches over whole
-   texts; of the windows and of the stretches' pieces, ``Sample.pieces`` each,
-   chosen by a hash of their place, reach the driver. Windows are compressed
-   with the ordinary dictionary and with both in a row, so the difference of the
-   lengths is what the toxic one saves.
-3. *Thresholds and score.* Per document: mean and largest saving over all
-   windows, and the shares of windows above thresholds that few ordinary
-   calibration windows reach. A logistic fit on the calibration rows maps them to
-   a score from 0 to 1, moved to the share of toxic rows among all training labels.
-   Tasks compress the whole calibration texts; a row's counts of each saving
-   reach the driver, which hold all that thresholds and fit need.
-
-Calibration and scoring read whole texts alike, window by window, and no column
-but the text; the model (two dictionaries of a few kilobytes and a dozen numbers)
-goes along with the tasks.
+2. *Dictionaries.* For the ordinary one, every task trains a dictionary on all
+   ordinary windows that it holds, and the driver trains the final one on theirs.
+   The toxic one holds stretches of words: Spark counts in how many toxic and
+   ordinary texts (copies once) each run of 6 to 8 characters of a word stands,
+   with the blanks around the word; those that are more frequent in toxic texts
+   by a likelihood ratio are typical, and the dictionary is what they cover of
+   toxic words, most frequent last. Words of a language with few toxic rows pass
+   that test as soon as they are telling, whatever is frequent elsewhere.
+3. *Windows.* A window of the normal text that holds a typical run is compressed
+   with the ordinary dictionary and with both in a row; the difference is what
+   the toxic one saves. Other windows have nothing that it could save and count
+   as 0; an automaton finds the runs, so most text is never compressed.
+4. *Thresholds and score.* Thresholds are the savings that small shares of the
+   ordinary calibration windows reach (``Settings.reached``). Per document: how
+   many windows and what share of them lie above each, the mean and the largest
+   saving. A logistic fit on the calibration rows maps them to a score from 0 to
+   1, moved to the share of toxic rows among all training labels. Tasks compress
+   the whole calibration texts; a row's counts of each saving reach the driver.
+
+Training, calibration and scoring read whole texts alike, and no column but the
+text; the model (dictionaries of some 40 kilobytes, a few thousand runs and a
+dozen numbers) goes along with the tasks.
 
 Nulls and edges: a null text is an empty one; texts without words have no
 savings and get the score of none; a null id is kept and never used for
-training, and repeated rows are scored each; label rows with a null label or id
+training, and repeated rows are scored each; of rows that share a sampled id, the
+text with the smallest hash is the sample's; label rows with a null label or id
 are left out, repeated labels count as they stand; without labels of both
 classes every score is the share of toxic labels (0 without any); an empty table
 gives no rows. Other columns are ignored.
@@ -47,32 +52,34 @@ from pyspark.sql import functions as F
 
 from .common import pick, stored, text_or_empty
 
-GRAM = 5
+#: Characters of a run, with the blanks around its word.
+RUN = (6, 8)
 NOT_WORD = re.compile(r"[\W_]+")
 SCORES = "doc_id long, score double"
-#: Distinct grams that a task counts before it hands them on.
-GRAMS_HELD = 500_000
+#: Distinct runs that a task counts before it hands them on.
+RUNS_HELD = 500_000
 #: Partitions of the sample's table.
 SAMPLE_PARTS = 48
 
 
 @dataclass(frozen=True)
 class Sample:
-    """Bounds of the labelled sample: its rows, and the pieces of their texts that train each dictionary."""
+    """Bound of the labelled sample, whose texts are read whole."""
 
     rows_per_class: int = 6000
-    pieces: int = 30_000
 
 
 @dataclass(frozen=True)
 class Settings:
-    window: int = 96
-    level: int = 6
-    ordinary_bytes: int = 8192
-    toxic_bytes: int = 2048
-    significance: float = 10.0
-    #: Shares of ordinary windows that may reach the two thresholds.
-    quantiles: tuple[float, float] = (0.97, 0.995)
+    window: int = 64
+    level: int = 12
+    ordinary_bytes: int = 32768
+    toxic_bytes: int = 8192
+    #: Likelihood ratio (chi-square, one degree) above which a run is typical, and texts that must hold it.
+    ratio: float = 20.0
+    least_texts: int = 3
+    #: Shares of ordinary windows that may reach the thresholds.
+    reached: tuple[float, ...] = (0.01, 0.005, 0.002, 0.0005)
 
 
 def normal(text: str) -> str:
@@ -83,24 +90,31 @@ def windows(data: bytes, size: int) -> list[bytes]:
     return [data[i:i + size] for i in range(0, len(data), size)]
 
 
-def _grams(text: str) -> set[str]:
-    text = f" {text} "
-    return {text[i:i + GRAM] for i in range(len(text) - GRAM + 1)}
+def runs(text: str) -> set[str]:
+    """The runs of all words of a normal text."""
+    out = set()
+    for word in set(text.split()):
+        word = f" {word} "
+        for n in range(RUN[0], RUN[1] + 1):
+            out.update(word[i:i + n] for i in range(len(word) - n + 1))
+    return out
 
 
-def stretches(text: str, typical: set[str]) -> bytes:
-    """What ``typical`` 5-grams cover of a normal text."""
-    t, runs, start, end = f" {text} ", [], 0, -1
-    for i in range(len(t) - GRAM + 1):
-        if t[i:i + GRAM] in typical:
-            if i > end:
-                if end > 0:
-                    runs.append(t[start:end])
+def stretches(text: str, typical: set[str]) -> set[str]:
+    """What ``typical`` runs cover of the words of a normal text."""
+    out = set()
+    for word in set(text.split()):
+        word, start, end = f" {word} ", 0, 0
+        for i in range(len(word)):
+            reach = max((i + n for n in range(RUN[0], RUN[1] + 1) if word[i:i + n] in typical), default=0)
+            if reach and i > end:
+                if end:
+                    out.add(word[start:end])
                 start = i
-            end = i + GRAM
-    if end > 0:
-        runs.append(t[start:end])
-    return "".join(runs).encode()
+            end = max(end, reach)
+        if end:
+            out.add(word[start:end])
+    return out
 
 
 def _dictionary(samples: list[bytes], size: int) -> bytes:
@@ -115,42 +129,64 @@ def _dictionary(samples: list[bytes], size: int) -> bytes:
 
 
 class Model:
-    """Dictionaries, thresholds and weights; ``score(text)`` is all that tasks need."""
+    """Dictionaries, typical runs, thresholds and weights; ``score(text)`` is all that tasks need."""
 
-    def __init__(self, ordinary: bytes, both: bytes, settings: Settings):
-        self.ordinary, self.both, self.settings = ordinary, both, settings
-        self.thresholds = (1.0, 2.0)
+    def __init__(self, ordinary: bytes, toxic: bytes, typical: list[str], settings: Settings):
+        self.ordinary, self.both, self.typical, self.settings = ordinary, ordinary + toxic, typical, settings
+        self.thresholds: tuple[float, ...] = (1.0,)
         self.mean = self.scale = self.weights = None
         self._made = None
 
     def __getstate__(self):
         return self.__dict__ | {"_made": None}
 
-    def savings(self, text: str) -> np.ndarray:
+    def _tools(self):
+        import ahocorasick
         import zstandard as z
 
-        if self._made is None:
-            self._made = []
-            for content in (self.ordinary, self.both):
-                d = z.ZstdCompressionDict(content, dict_type=z.DICT_TYPE_RAWCONTENT)
-                d.precompute_compress(level=self.settings.level)
-                self._made.append(z.ZstdCompressor(level=self.settings.level, dict_data=d, write_content_size=False,
-                                                   write_checksum=False, write_dict_id=False).compress)
-        plain, toxic = self._made
-        parts = windows(normal(text).encode(), self.settings.window)
-        return np.array([len(plain(p)) - len(toxic(p)) for p in parts] or [0], float)
+        automaton = ahocorasick.Automaton()
+        for run in self.typical:
+            automaton.add_word(run, len(run))
+        automaton.make_automaton()
+        compress = []
+        for content in (self.ordinary, self.both):
+            d = z.ZstdCompressionDict(content, dict_type=z.DICT_TYPE_RAWCONTENT)
+            d.precompute_compress(level=self.settings.level)
+            compress.append(z.ZstdCompressor(level=self.settings.level, dict_data=d, write_content_size=False,
+                                             write_checksum=False, write_dict_id=False).compress)
+        return automaton, *compress
+
+    def savings(self, text: str) -> np.ndarray:
+        """What the toxic dictionary saves in each window."""
+        self._made = self._made or self._tools()
+        automaton, plain, both = self._made
+        text, size = f" {normal(text)} ", self.settings.window
+        out = np.zeros(-(-len(text) // size))
+        held = set()
+        if self.typical:
+            for last, n in automaton.iter(text):
+                held.update((last // size, (last - n + 1) // size))
+        for i in held:
+            part = text[i * size:(i + 1) * size].encode()
+            out[i] = len(plain(part)) - len(both(part))
+        return out
 
     def features(self, savings: np.ndarray, counts: np.ndarray) -> list[float]:
         """Of a text whose windows have these savings so many times."""
-        low, high = self.thresholds
-        n, over, far = counts.sum(), counts[savings >= low].sum(), counts[savings >= high].sum()
-        return [savings @ counts / n, savings.max(), over / n, far / n, np.log1p(far), np.log1p(n)]
+        n = counts.sum()
+        over = [counts[savings >= t].sum() for t in self.thresholds]
+        return [savings @ counts / n, savings.max(), np.log1p(n), *[k / n for k in over], *[np.log1p(k) for k in over]]
 
     def fit(self, rows: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray) -> None:
         """``rows``: (savings, counts) of whole texts."""
         clean = [r for r, y in zip(rows, toxic) if not y]
-        low, high = quantiles(np.concatenate([s for s, _ in clean]), np.concatenate([n for _, n in clean]), self.settings.quantiles)
-        self.thresholds = (max(1.0, low), max(2.0, high, low + 1))
+        at = quantiles(np.concatenate([s for s, _ in clean]), np.concatenate([n for _, n in clean]),
+                       [1 - share for share in self.settings.reached])
+        # one above the one before at least, so that each says something of its own
+        steps: list[float] = []
+        for value in at:
+            steps.append(max(math.floor(value) + 1.0, steps[-1] + 1 if steps else 1.0))
+        self.thresholds = tuple(steps)
         x = np.array([self.features(*r) for r in rows])
         self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-9
         x = np.column_stack([np.ones(len(x)), (x - self.mean) / self.scale])
@@ -167,8 +203,8 @@ class Model:
         self.weights = w
 
     def score(self, text: str) -> float:
-        savings = self.savings(text)
-        x = (np.array(self.features(savings, np.ones(len(savings)))) - self.mean) / self.scale
+        savings, counts = np.unique(self.savings(text), return_counts=True)
+        x = (np.array(self.features(savings, counts)) - self.mean) / self.scale
         return float(1 / (1 + np.exp(-np.clip(self.weights[0] + x @ self.weights[1:], -30, 30))))
 
 
@@ -198,55 +234,75 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Colum
         some = known.filter(F.col("y") == cls).orderBy(order, "doc_id").limit(sample.rows_per_class)
         chosen = some if chosen is None else chosen.unionByName(some)
     ids = chosen.groupBy("doc_id").agg(F.sum(1 - F.col("y")).cast("int").alias("plain"), F.sum("y").cast("int").alias("bad"))
-    rows = docs.join(F.broadcast(ids), "doc_id").select("doc_id", "plain", "bad", "text")  # at most 2 x rows_per_class ids
+    # at most 2 x rows_per_class ids, and one text of each
+    rows = (docs.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "plain", "bad")
+            .agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")))
     share = known.agg(F.avg("y")).first()[0] or 0.0
-    return stored(rows.repartition(SAMPLE_PARTS, "doc_id"), "toxicity-sample"), float(share)
-
+    # sorted, so that training does not depend on the order in which shuffled rows arrive
+    return stored(rows.repartition(SAMPLE_PARTS, "doc_id").sortWithinPartitions("doc_id"), "toxicity-sample"), float(share)
 
-def _texts(batch):
-    return zip(*[batch.column(c).to_pylist() for c in ("doc_id", "plain", "bad", "text")])
 
-
-def typical_grams(rows: DataFrame, plain: int, bad: int, significance: float) -> set[str]:
-    """The 5-grams that are in significantly more toxic than ordinary texts."""
+def _counted(rows: DataFrame, made) -> DataFrame:
+    """(item, plain, bad): in how many distinct ordinary and toxic texts each item of ``made(normal text)`` is."""
     def count(batches):
         counts = Counter(), Counter()
 
-        def made():
-            grams = list(counts[0].keys() | counts[1].keys())
-            return pa.RecordBatch.from_arrays([pa.array(grams, pa.string()), *[pa.array([c[g] for g in grams], pa.int64()) for c in counts]],
-                                              names=["gram", "plain", "bad"])
+        def out():
+            items = list(counts[0].keys() | counts[1].keys())
+            return pa.RecordBatch.from_arrays([pa.array(items, pa.string()), *[pa.array([c[g] for g in items], pa.int64()) for c in counts]],
+                                              names=["item", "plain", "bad"])
 
         for batch in batches:
-            for _, *times, text in _texts(batch):
-                grams = _grams(normal(text))
-                for c, n in zip(counts, times):
-                    for _ in range(n):
-                        c.update(grams)
-                if len(counts[0]) + len(counts[1]) > GRAMS_HELD:
-                    yield made()
+            for plain, bad, text in zip(*[batch.column(c).to_pylist() for c in ("plain", "bad", "text")]):
+                items = made(normal(text))
+                for c, there in zip(counts, (plain, bad)):
+                    if there:
+                        c.update(items)
+                if len(counts[0]) + len(counts[1]) > RUNS_HELD:
+                    yield out()
                     counts = Counter(), Counter()
-        yield made()
+        yield out()
 
-    expected = F.lit(float(bad)) * (F.col("plain") + 0.5) / (plain + 1)
-    seen = (rows.mapInArrow(count, "gram string, plain long, bad long")
-            .groupBy("gram").agg(F.sum("plain").alias("plain"), F.sum("bad").alias("bad")))
-    return {r.gram for r in seen.filter(F.col("bad") > expected + significance * F.sqrt(expected + 1)).select("gram").collect()}
+    return (rows.mapInArrow(count, "item string, plain long, bad long")
+            .groupBy("item").agg(F.sum("plain").alias("plain"), F.sum("bad").alias("bad")))
 
 
-def dictionary_pieces(rows: DataFrame, cls: str, made, size: int, limit: int) -> list[bytes]:
-    """At most ``limit`` pieces of what ``made`` gives of the whole normal texts of a class, by a hash of their place."""
-    from xxhash import xxh64_intdigest
+def typical_runs(texts: DataFrame, settings: Settings) -> list[str]:
+    """The runs that are more frequent in toxic than in ordinary texts, by their likelihood ratio.
 
-    def cut(batches):
-        for batch in batches:
-            out = [(xxh64_intdigest(f"{doc_id}:{i}:{k}") >> 1, piece) for doc_id, plain, bad, text in _texts(batch)
-                   for i, piece in enumerate(windows(made(normal(text)), size)) for k in range(plain if cls == "plain" else bad)]
-            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary())],
-                                             names=["place", "piece"])
+    Best first, and no more than the dictionary has bytes, which they would fill many times over.
+    """
+    plain, bad = (float(n or 0) for n in texts.agg(F.sum("plain"), F.sum("bad")).first())
+    if not plain or not bad:
+        return []
+
+    def term(k: Column, n, share: Column) -> Column:
+        return F.when(k > 0, k * F.log(share)).otherwise(0.0) + F.when(F.lit(n) - k > 0, (F.lit(n) - k) * F.log1p(-share)).otherwise(0.0)
+
+    k0, k1 = F.col("plain").cast("double"), F.col("bad").cast("double")
+    common = (k0 + k1) / (plain + bad)
+    ratio = 2 * (term(k1, bad, k1 / bad) + term(k0, plain, k0 / plain) - term(k1, bad, common) - term(k0, plain, common))
+    telling = (_counted(texts, runs).filter((F.col("bad") >= settings.least_texts) & (k1 * plain > k0 * bad))
+               .select("item", ratio.alias("ratio")).filter(F.col("ratio") > settings.ratio))
+    return [r.item for r in telling.orderBy(F.desc("ratio"), "item").limit(settings.toxic_bytes).collect()]
+
+
+def toxic_dictionary(texts: DataFrame, typical: list[str], size: int) -> bytes:
+    """Stretches of toxic words, the most frequent ones last, up to ``size`` bytes."""
+    known = set(typical)
+    found = _counted(texts.filter("bad > 0"), lambda t: stretches(t, known))
+    best = found.orderBy(F.desc("bad"), "item").limit(size).collect()  # each has bytes of its own
+    return "".join(r.item for r in reversed(best)).encode()[-size:]
+
+
+def ordinary_dictionary(rows: DataFrame, size: int) -> bytes:
+    """Trained on all ordinary windows: in every task on its own, and on what the tasks found in the driver."""
+    def train(batches):
+        samples = [piece for batch in batches for text in batch.column("text").to_pylist() for piece in windows(normal(text).encode(), 256)]
+        yield pa.RecordBatch.from_arrays([pa.array([_dictionary(samples, size)] if samples else [], pa.binary())], names=["found"])
 
-    some = rows.filter(F.col(cls) > 0).mapInArrow(cut, "place long, piece binary").orderBy("place", "piece").limit(limit)
-    return [bytes(r.piece) for r in some.collect()]
+    found = rows.filter("plain > 0").select("text").mapInArrow(train, "found binary").collect()  # SAMPLE_PARTS at most
+    return _dictionary([piece for r in sorted(bytes(r.found) for r in found) for piece in windows(r, 256)], size)
 
 
 def calibration_rows(rows: DataFrame, model: Model) -> list:
@@ -261,7 +317,7 @@ def calibration_rows(rows: DataFrame, model: Model) -> list:
     return rows.mapInArrow(measure, "doc_id long, plain int, bad int, savings array<double>, counts array<long>").collect()
 
 
-def train_model(rows: DataFrame, share: float, settings: Settings, sample: Sample) -> Model | None:
+def train_model(rows: DataFrame, share: float, settings: Settings) -> Model | None:
     """The model of a labelled sample; None without both classes in both parts."""
     held = rows.select("doc_id", "plain", "bad").collect()
     ids = sorted({(hash(r.doc_id * 0x9E3779B97F4A7C15 & (1 << 61) - 1), r.doc_id, r.bad > 0) for r in held})
@@ -273,10 +329,11 @@ def train_model(rows: DataFrame, share: float, settings: Settings, sample: Sampl
         return None
     later = F.broadcast(rows.sparkSession.createDataFrame([(d,) for d, p in parts.items() if p], "doc_id long"))
     trains, calibrates = (rows.join(later, "doc_id", how) for how in ("left_anti", "left_semi"))
-    ordinary = _dictionary(dictionary_pieces(trains, "plain", str.encode, 256, sample.pieces), settings.ordinary_bytes)
-    typical = typical_grams(trains, plain[0], bad[0], settings.significance)
-    toxic_part = _dictionary(dictionary_pieces(trains, "bad", lambda t: stretches(t, typical), 1024, sample.pieces), settings.toxic_bytes)
-    model = Model(ordinary, toxic_part + ordinary, settings)
+    texts = trains.groupBy("text").agg(F.max((F.col("plain") > 0).cast("int")).alias("plain"),
+                                       F.max((F.col("bad") > 0).cast("int")).alias("bad"))
+    typical = typical_runs(texts, settings)
+    model = Model(ordinary_dictionary(trains, settings.ordinary_bytes), toxic_dictionary(texts, typical, settings.toxic_bytes),
+                  typical, settings)
     found = sorted(calibration_rows(calibrates, model))
     x = [(np.array(r.savings), np.array(r.counts)) for r in found]
     model.fit([v for cls in ("plain", "bad") for v, r in zip(x, found) for _ in range(r[cls])],
@@ -292,7 +349,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, train: Column, id_col:
     """(doc_id, score) per row. ``train`` is a condition on ``doc_id``: labels of other rows are not looked at."""
     rows = pick(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     some, share = labelled_sample(rows, labels, label_col, train, sample, label_id)
-    model = train_model(some, share, settings, sample)
+    model = train_model(some, share, settings)
     if model is None:
         return rows.select("doc_id", F.lit(share).alias("score"))
 
