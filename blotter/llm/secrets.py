@@ -4,16 +4,20 @@ Three kinds of secrets are looked for in every whole text, each leftmost and
 non-overlapping: ``assign`` (a key word, a separator and a value), ``access``
 (access key ids) and ``hex`` (long hexadecimal runs). Then the text is unwrapped:
 
-* percent escapes and Unicode escapes (backslash u/x forms, numeric character
-  references) are decoded over the whole layer;
+* percent escapes and Unicode escapes (backslash u/x forms, a string's backslash
+  before quotes, slashes and control letters, numeric and named character
+  references) are decoded over the whole layer; where percent escapes stand beside
+  plus signs, the plus signs are blanks in a second reading (a form's body);
 * base64 runs (either alphabet; also wrapped, with any line length and indent)
-  are decoded each by itself, when they hold text or a known compressed stream.
+  are decoded each by itself, when they hold text (UTF-8 or UTF-16) or a known
+  compressed stream.
   What adjoins a run may belong to its alphabet (``path/to/<base64>``), so a run
   that isn't text as a whole is decoded at each of its four alignments, which
   meet every place where base64 can start; readable stretches of the bytes and
   streams anywhere in them count;
 * gzip, zlib, bzip2, xz and zstandard streams are inflated, all members of them;
   they are sought in base64 and in bytes written as escapes (``%1f%8b``, ``\\x1f``).
+  Deflate data without a header is inflated where it is all that a run holds.
 
 Each result is a new layer on the worklist; it is scanned and unwrapped again
 until nothing new appears. A layer seen before at the same place (by digest) is
@@ -43,6 +47,7 @@ import re
 import zlib
 from array import array
 from bisect import bisect_right
+from html.entities import html5
 from itertools import chain
 
 import pyarrow as pa
@@ -60,7 +65,8 @@ MIN_VALUE = 6
 
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|(?:\\u|%u)([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})"
-                    r"|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
+                    r"|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});|\\([\"'\\/bfnrt])|&([A-Za-z][A-Za-z0-9]{1,31};)")
+SHORT = {"b": "\b", "f": "\f", "n": "\n", "r": "\r", "t": "\t"}
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
 WRAPPED64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[\x20\t]*+\r?\n[\x20\t]*+[A-Za-z0-9+/_-]++)+={0,2}")
 URL_RUN = re.compile(r"[!$-;=?-Z\[\]_a-z~]{6,}")
@@ -71,6 +77,9 @@ BYTE = re.compile(r"(?P<hex>\\x[0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]
                   r"|&#[xX][0-9A-Fa-f]{1,6};)|(?P<decimal>&#[0-9]{1,7};)|(?P<short>\\[abfnrtv0\\'\"])|.")
 LEAST_RUN = 16
 LEAST_TEXT = 10
+#: ASCII characters of two bytes each, lower or higher byte first.
+WIDE = (("utf-16-le", re.compile(rb"(?:[\t\n\r\x20-\x7e]\x00){%d,}" % LEAST_TEXT)),
+        ("utf-16-be", re.compile(rb"(?:\x00[\t\n\r\x20-\x7e]){%d,}" % LEAST_TEXT)))
 READABLE = re.compile(rb"(?:[\t\n\r\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}){%d,}" % LEAST_TEXT)
 STREAM = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
 MAX_INFLATED = 64 << 20
@@ -145,9 +154,23 @@ def _percent_spots(text: str):
             i += n
 
 
+def _form_spots(text: str):
+    """Percent escapes, and plus signs as blanks in runs that have some."""
+    spots = list(_percent_spots(text)) if "+" in text else []
+    blanks = [(run.start() + i, run.start() + i + 1, " ") for run in URL_RUN.finditer(text) if PERCENT.search(run[0])
+              for i, c in enumerate(run[0]) if c == "+"] if spots else []
+    yield from sorted(spots + blanks) if blanks else []
+
+
 def _escape_spots(text: str):
     high = None  # first half of a surrogate pair
     for m in ESCAPE.finditer(text):
+        if m[7] or m[8]:
+            plain = SHORT.get(m[7], m[7]) if m[7] else html5.get(m[8])
+            if plain:
+                yield m.start(), m.end(), plain
+            high = None
+            continue
         digits = next(g for g in m.groups() if g is not None)
         code = int(digits, 10 if m[6] is not None else 16)
         if high and m.start() == high[1] and 0xDC00 <= code < 0xE000:
@@ -204,10 +227,16 @@ def _member(data, limit: int) -> tuple[bytes, int, bool] | None:
 
 
 def _as_text(data: bytes) -> str | None:
+    kind = "utf-8"
+    if b"\x00" in data and len(data) % 2 == 0:  # every other byte of Latin text
+        halves = data[::2].count(0), data[1::2].count(0)
+        if max(halves) * 4 > len(data):
+            kind = "utf-16-be" if halves[0] > halves[1] else "utf-16-le"
     try:
-        text = data.decode()
+        text = data.decode(kind)
     except UnicodeDecodeError:
         return None
+    text = text.removeprefix("\ufeff")
     odd = sum(not c.isprintable() and c not in "\t\n\r" for c in text) if not text.isprintable() else 0
     return text if text and odd * 20 <= len(text) else None
 
@@ -236,6 +265,18 @@ def _streams(data: bytes, limit: int):
         at = read
 
 
+def _headless(data: bytes, limit: int) -> str | None:
+    """The text that ``data`` is as deflate data without a header, if it is that to its end."""
+    decoder = zlib.decompressobj(-15)
+    try:
+        out = decoder.decompress(data, limit + 1)
+    except zlib.error:
+        return None
+    if len(out) > limit or not decoder.eof or decoder.unused_data or len(out) < LEAST_TEXT:
+        return None
+    return _as_text(out)
+
+
 def _layers(data: bytes, limit: int, steps: str):
     """(start, end, steps, text or None for a refused bomb): what ``data`` holds, through nested streams.
 
@@ -257,8 +298,15 @@ def _layers(data: bytes, limit: int, steps: str):
                 yield *(about or (start, end)), steps, None
             else:
                 work.append((content, about or (start, end), steps + ">inflate"))
+        plain = about is None and _headless(data, limit)
+        if plain:
+            yield 0, len(data), steps + ">inflate", plain
         for m in READABLE.finditer(data):
             yield *(about or m.span()), steps, m[0].decode("utf-8", "replace")
+        if b"\x00" in data:
+            for kind, wide in WIDE:
+                for m in wide.finditer(data):
+                    yield *(about or m.span()), steps, m[0].decode(kind)
 
 
 def _decoded_runs(text: str, limit: int):
@@ -341,7 +389,7 @@ def scan_text(text: str, limit: int = MAX_INFLATED) -> tuple[list[tuple[str, int
         seen.add(mark)
         for kind, start, end in find_secrets(layer):
             found.setdefault((kind, *place.span(start, end)), steps)
-        for name, hint, spots in (("url", "%", _percent_spots), ("unicode", "\\&%", _escape_spots)):
+        for name, hint, spots in (("url", "%", _percent_spots), ("url", "%", _form_spots), ("unicode", "\\&%", _escape_spots)):
             if any(c in layer for c in hint) and (at := list(spots(layer))):
                 inner, pieces = _replaced(layer, at)
                 work.append((inner, _Map(place, pieces), f"{steps}>{name}" if steps else name, about))

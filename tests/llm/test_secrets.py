@@ -4,6 +4,7 @@ import base64
 import bz2
 import gzip
 import hashlib
+import json
 import lzma
 import re
 import urllib.parse
@@ -72,6 +73,29 @@ def test_every_layer_and_nesting(wrap):
     assert found("nothing <" + wrap("a plain sentence of words") + "> here") == []
 
 
+QUOTED = 'the "password": "hunter2secret" is here'
+FORMS = [lambda s: json.dumps(json.dumps(s)), lambda s: s.replace('"', "&quot;"), lambda s: s.replace(":", "&colon;").replace('"', "&#34;"),
+         urllib.parse.quote_plus, lambda s: b64(s.encode("utf-16-le")), lambda s: b64(s.encode("utf-16")),
+         lambda s: b64(s.encode("utf-16-be")), lambda s: b64(b"\x07\xfe\x91" + s.encode("utf-16-le")),
+         lambda s: b64(zlib.compress(s.encode(), wbits=-15))]
+
+
+@pytest.mark.parametrize("form", FORMS)
+@pytest.mark.parametrize("outer", [lambda s: s, b64, urllib.parse.quote_plus, lambda s: json.dumps(s), lambda s: b64(gzip.compress(s.encode()))])
+def test_string_escapes_named_references_forms_and_wide_text(form, outer):
+    text = f"see <{outer(form(QUOTED))}> end"
+    assert any(k == "assign" for k, _, _ in found(text)), text
+    assert not any(k == "assign" for k, _, _ in found(S.redact(text, S.scan_text(text)[0])))
+    assert found(f"see <{outer(form('a plain sentence with words'))}> end") == []
+
+
+def test_spans_through_string_escapes_and_references_are_exact():
+    assert found('x {"a": "{\\"token\\": \\"hunter2secret\\"}"}') == [("assign", 12, 36)]
+    assert found("é password&colon;&quot;hunter2secret&quot;") == [("assign", 2, 36)]
+    assert found("a=1&q=password+%3D+hunter2secret&z=1") == [("assign", 6, 32)]
+    assert found("C:\\new\\tokens &unknown; 1 + 1 %20") == []
+
+
 @pytest.mark.parametrize("before", ["https://x.com/", "id-", "path/to/", "a_", "x/y-z_", "data\n"])
 @pytest.mark.parametrize("coded", [b64(SECRET), base64.urlsafe_b64encode(SECRET.encode() + b"?>~" * 3).decode().rstrip("="),
                                    b64(gzip.compress(SECRET.encode())), b64(zstandard.ZstdCompressor().compress(SECRET.encode()))])
