@@ -16,6 +16,6 @@ def test_query_matches_oracle(spark, name):
     assert r["cols_match"] and r["values_match"] and r["spark_rows"] > 0, r
 
 
-def test_all_ten_and_the_pipeline_are_registered():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+def test_all_operators_and_the_pipeline_are_registered():
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(queries()) and set(ORACLE_SQL) <= set(oracle_sql())
