@@ -10,23 +10,30 @@ passage; shingles have five words (fewer for an item shorter than that).
    t of the item's m shingles (t follows from threshold and m), hence it holds
    one of any m - t + 1 of them. These anchors, the first ones of every item,
    are looked up among the documents' shingles, and windows of that item's
-   length are laid at every start around a hit. No window that could pass is
-   left out, and others need no fingerprint.
+   length are laid at every start around a hit, for that item. No window that could
+   pass is left out, and others need no fingerprint.
 2. *Fingerprints.* Each window gets the 64-bit SimHash of its shingles.
 3. *Multi-index Hamming blocks.* 64 bits fall into ``radius + 1`` blocks; two
-   fingerprints within the radius agree on one whole block. Windows meet items
-   of their length by (length, block, value), then the exact distance decides.
-   The default radius of 18 bits is what windows at similarity 0.8 stay within.
-4. *Exact check.* The weighted similarity of each candidate decides.
-
-DataFrame functions only. Documents are read twice per portion of the benchmark
-(a portion has at most ``portion`` anchors; normally there is one): to find the
-anchors' places, which are written as a table by a hash of the text, and to lay
-windows in the texts that have some. (Two texts with one hash only get windows
-to check in vain.) Anchors, block keys and items of a portion are broadcast, and
-bounded by ``portion``. The places are joined to the documents as Spark sees
-fit for their size; else only found pairs are shuffled, to keep the best window
-of each (document, item).
+   fingerprints within the radius agree on one whole block. Windows meet the items
+   whose anchors they hold by (item, block, value), then the exact distance decides.
+   So short blocks, which a wide radius needs, let no window meet strangers.
+   The default radius of 18 bits is what windows at similarity 0.8 stay within
+   nearly always, and others surely; ``radius=None`` leaves fingerprints out and
+   checks every laid window, which finds all pairs.
+4. *Exact check.* The weighted similarity of each candidate decides; an item's
+   shingles are joined to what the distance admits.
+
+DataFrame functions only. For each shingle size in the benchmark (five at most,
+shorter ones only for items of under five words) and portion of its anchors,
+documents are read twice: to find the anchors' places, which are written as a
+table by a hash of the text, and to lay windows in the texts that have some. (Two
+texts with one hash only get windows to check in vain.) Anchors are dealt to
+portions one by one, by a hash, half of ``portion`` to each on average, so that no
+portion comes near ``portion`` and an item of any length is divided; a portion's
+anchors, fingerprints and block keys (``radius + 1`` an item) are broadcast. The
+places are joined to the documents as Spark sees fit for their size; else only
+found pairs are shuffled, to keep the best window of each (document, item).
+Windows are cut out of a text in rows of about ``ROW_HASHES`` shingles.
 
 Nulls and edges: null or empty texts have no windows; an item without words
 never matches; a document shorter than an item is compared as one window; items
@@ -49,6 +56,8 @@ SHINGLE = 5
 WORD_BREAK = r"[^\p{L}\p{N}]+"
 LANE_BITS = 16
 MOST = (1 << LANE_BITS - 2) - 1
+#: Shingles of the windows that one row holds, or of one window if that is more.
+ROW_HASHES = 65_536
 #: Shingles of a window above which shared ones are counted in linear time.
 LONG = 512
 
@@ -153,70 +162,90 @@ def benchmark_items(benchmark: DataFrame, id_col: str, text_col: str, threshold:
 
 
 def anchor_spots(texts: DataFrame, anchors: DataFrame, size: int) -> DataFrame:
-    """(key, m, spots): where the anchors of items with m shingles stand in the texts with this key.
+    """(key, found): per text with this key, the items (item_no, m, spots) whose anchors stand in it, and where.
 
     Rows are exploded without their text or its other shingles, so long texts
     cost no more per word than short ones; copies of a text are one entry.
     """
     # the outer form keeps Spark from testing the array for emptiness in a filter, which would make it twice
     placed = texts.select("key", F.posexplode_outer(shingle_hashes(words("text"), size)).alias("pos", "h"))
-    return (placed.join(F.broadcast(anchors), "h").groupBy("key", "m")
-            .agg(F.sort_array(F.collect_set("pos")).alias("spots")))
+    spots = (placed.join(F.broadcast(anchors), "h").groupBy("key", "item_no", "m")
+             .agg(F.sort_array(F.collect_set("pos")).alias("spots")))
+    return spots.groupBy("key").agg(F.collect_list(F.struct("item_no", "m", "spots")).alias("found"))
 
 
 def _windows(texts: DataFrame, spots: DataFrame, size: int) -> DataFrame:
-    """(doc_id, m, start, hashes): every window of m shingles that holds an anchor, once.
+    """(doc_id, item_no, m, start, hashes): every window of m shingles that holds an anchor of the item, once.
 
     A window belongs to the first anchor in it, so an anchor's windows start
     after the anchor before it.
     """
-    found = texts.join(spots, "key").select("doc_id", "m", "spots", shingle_hashes(words("text"), size).alias("all"))
+    hashed = texts.join(spots, "key").select("doc_id", "found", shingle_hashes(words("text"), size).alias("all"))
+    each = (hashed.select("doc_id", "all", F.explode_outer("found").alias("i"))
+            .select("doc_id", "all", "i.item_no", "i.m", "i.spots"))
     m, n, at = F.col("m"), F.size("all"), F.col("spots")
+    none = F.array().cast("array<int>")
 
     def starts(i: Column) -> Column:
         pos = F.get(at, i)
         after = F.coalesce(F.get(at, i - 1) + 1, F.lit(0))  # there is none before the first
         first = F.greatest(after, pos - m + 1)
         last = F.least(pos, F.greatest(F.lit(0), n - m))
-        return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+        return F.when(first <= last, F.sequence(first, last)).otherwise(none)
 
     every = F.flatten(F.transform(F.sequence(F.lit(0), F.size("spots") - 1), starts))
-    windows = F.transform(every, lambda s: F.struct(s.alias("start"), F.slice("all", s + 1, m).alias("hashes")))
-    return (found.select("doc_id", "m", F.explode_outer(windows).alias("w"))
-            .select("doc_id", "m", "w.start", "w.hashes").filter(F.col("start").isNotNull()))
+    each = each.select("doc_id", "item_no", "m", "all", every.alias("starts"),
+                       F.greatest(F.lit(1), F.expr(f"int({ROW_HASHES} div m)")).alias("step"))
+    rows = F.transform(F.sequence(F.lit(0), F.expr("int((size(starts) - 1) div step)")),
+                       lambda b: F.slice("starts", b * F.col("step") + 1, F.col("step")))
+    rows = F.when(F.size("starts") > 0, rows).otherwise(F.array().cast("array<array<int>>"))
+    part = F.slice("all", F.get("starts", F.lit(0)) + 1, F.element_at("starts", -1) - F.get("starts", F.lit(0)) + m)
+    cut = (each.select("doc_id", "item_no", "m", "all", F.explode_outer(rows).alias("starts")).filter(F.col("starts").isNotNull())
+           .select("doc_id", "item_no", "m", "starts", part.alias("part")))
+    windows = F.transform("starts", lambda s: F.struct(
+        s.alias("start"), F.slice("part", s - F.get("starts", F.lit(0)) + 1, m).alias("hashes")))
+    return (cut.select("doc_id", "item_no", "m", F.explode_outer(windows).alias("w"))
+            .select("doc_id", "item_no", "m", "w.start", "w.hashes"))
+
+
+def _candidates(windows: DataFrame, items: DataFrame, radius: int | None) -> DataFrame:
+    """(..., item_fp, distance): windows within ``radius`` bits of the item that they were laid for."""
+    diff = F.col("fp").bitwiseXOR(F.col("item_fp"))
+    if radius is None:
+        return (windows.join(F.broadcast(items.select("item_no", "item_fp")), "item_no")
+                .withColumn("distance", F.bit_count(diff)))
+    keys = items.select("item_no", "item_fp", F.explode(block_values("item_fp", radius + 1)).alias("k")).select(
+        "item_no", "item_fp", "k.block", "k.value")
+    blocked = windows.withColumn("k", F.explode(block_values("fp", radius + 1))).select("*", "k.block", "k.value").drop("k")
+    edges = [64 * i // (radius + 1) for i in range(radius + 2)]
+    equal_before = reduce(lambda x, y: x | y, [
+        (F.col("block") > i) & (diff.bitwiseAND(F.lit(_mask(a, b))) == 0) for i, (a, b) in enumerate(zip(edges, edges[1:]))])
+    # met once, at the first equal block
+    return (blocked.join(F.broadcast(keys), ["item_no", "block", "value"]).withColumn("distance", F.bit_count(diff))
+            .filter((F.col("distance") <= radius) & ~equal_before).drop("block", "value"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                  item_id_col: str = "item_id", item_text_col: str = "text", threshold: float = 0.8,
-                 radius: int = 18, portion: int = 200_000) -> DataFrame:
+                 radius: int | None = 18, portion: int = 200_000) -> DataFrame:
     """(doc_id, item_id, similarity, start_word, window_words, distance): the best window of every contaminated pair."""
-    items = stored(benchmark_items(benchmark, item_id_col, item_text_col, threshold), "benchmark-items")
+    items = benchmark_items(benchmark, item_id_col, item_text_col, threshold).withColumn("item_no", F.monotonically_increasing_id())
+    items = stored(items, "benchmark-items")
     longest, anchors = items.agg(F.max("m"), F.sum(F.size("anchors"))).first()
     texts = pick(docs, doc_id=id_col, text=text_col).withColumn("key", F.xxhash64("text"))
     sizes = sorted(r[0] for r in items.select("size").distinct().collect())  # at most five values
-    portions = max(1, -(-(anchors or 0) // portion))
+    portions = max(1, -(-2 * (anchors or 0) // portion))
     found = []
-    for p in range(portions):
-        mine = items.filter(F.pmod(F.xxhash64("item_id", "item_fp"), F.lit(portions)) == p)
-        for size in sizes:
-            some = mine.filter(F.col("size") == size)
-            keys = F.broadcast(some.select("item_id", "m", "item_fp", F.col("hashes").alias("item_hashes"),
-                                           F.explode(block_values("item_fp", radius + 1)).alias("k"))
-                               .select("item_id", "m", "item_fp", "item_hashes", "k.block", "k.value"))
-            places = some.select("m", F.explode("anchors").alias("h")).distinct()
-            spots = stored(anchor_spots(texts, places, size), "anchor-spots")
+    for size in sizes:
+        some = items.filter(F.col("size") == size)
+        placed = some.select("item_no", "m", "item_fp", F.explode("anchors").alias("h"))
+        for p in range(portions):
+            mine = placed.filter(F.pmod(F.xxhash64("item_no", "h"), F.lit(portions)) == p)
+            spots = stored(anchor_spots(texts, mine.select("item_no", "m", "h"), size), "anchor-spots")
             windows = _windows(texts, spots, size).withColumn("fp", simhash_of("hashes", longest))
-            blocked = (windows.withColumn("k", F.explode(block_values("fp", radius + 1)))
-                       .select("doc_id", "m", "start", "hashes", "fp", "k.block", "k.value"))
-            edges = [64 * i // (radius + 1) for i in range(radius + 2)]
-            diff = F.col("fp").bitwiseXOR(F.col("item_fp"))
-            equal_before = reduce(lambda x, y: x | y, [
-                (F.col("block") > i) & (diff.bitwiseAND(F.lit(_mask(a, b))) == 0)
-                for i, (a, b) in enumerate(zip(edges, edges[1:]))])
-            # met once, at the first equal block; the costly check only for what the distance admits
-            admitted = (F.bit_count(diff) <= radius) & ~equal_before
-            near = (blocked.join(keys, ["m", "block", "value"]).withColumn("distance", F.bit_count(diff))
-                    .withColumn("similarity", F.when(admitted, weighted_similarity("item_hashes", "hashes", longest)))
+            near = _candidates(windows, mine.select("item_no", "item_fp").distinct(), radius)
+            near = (near.join(some.select("item_no", "item_id", F.col("hashes").alias("item_hashes")), "item_no")
+                    .withColumn("similarity", weighted_similarity("item_hashes", "hashes", longest))
                     .filter(F.col("similarity") >= threshold))
             found.append(near.select("doc_id", "item_id", F.struct(
                 "similarity", (-F.col("start")).alias("back"), (F.col("m") + size - 1).alias("words"), "distance").alias("best")))

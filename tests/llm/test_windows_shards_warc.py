@@ -88,6 +88,54 @@ def test_contaminated_against_brute_force(spark):
     assert D.contaminated(ddf, idf.limit(0)).collect() == []
 
 
+def test_every_pair_is_found_without_fingerprints_and_nearly_all_with_them(spark):
+    """Recall by similarity: windows with some words changed, so that pairs lie between 0.8 and 1."""
+    rng = random.Random(5)
+    vocabulary = [f"v{i}" for i in range(3000)]
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range([50, 80, 120][i % 3]))) for i in range(24)]
+    docs = []
+    for d in range(240):
+        passage = rng.choice(items)[1].split()
+        for _ in range(rng.choice([0, 1, 1, 2])):
+            passage[rng.randrange(len(passage))] = rng.choice(vocabulary)
+        docs.append((d, " ".join([rng.choice(vocabulary) for _ in range(20)] + passage + [rng.choice(vocabulary) for _ in range(20)])))
+    want = best_windows(docs, items)
+    ddf, idf = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = {r: {(x.doc_id, x.item_id): round(x.similarity, 6) for x in D.contaminated(ddf, idf, radius=r, portion=p).collect()}
+             for r, p in ((None, 250), (18, 200_000))}
+    assert found[None] == want and len(want) > 120
+    for low, high, share in ((0.8, 0.85, 0.9), (0.85, 0.9, 0.97), (0.9, 1.01, 1.0)):
+        pairs = [k for k, v in want.items() if low <= v < high]
+        assert len(pairs) > 15 and sum(k in found[18] for k in pairs) >= share * len(pairs), (low, len(pairs), sum(k in found[18] for k in pairs))
+
+
+def test_a_window_meets_only_items_whose_anchors_it_holds(spark):
+    """Against thousands of items of one length, of which a document holds a passage of one."""
+    rng = random.Random(8)
+    vocabulary = [f"v{i}" for i in range(5000)]
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(40))) for i in range(3000)]
+    docs = spark.createDataFrame([(1, " ".join(rng.choice(vocabulary) for _ in range(100)) + " " + items[7][1])], "doc_id long, text string")
+    some = D.benchmark_items(spark.createDataFrame(items, "item_id long, text string"), "item_id", "text", 0.8)
+    some = some.withColumn("item_no", F.col("item_id"))
+    anchors = some.select("item_no", "m", F.explode("anchors").alias("h"))
+    texts = docs.withColumn("key", F.xxhash64("text"))
+    windows = D._windows(texts, D.anchor_spots(texts, anchors, 5), 5).withColumn("fp", D.simhash_of("hashes"))
+    assert {r.item_no for r in windows.select("item_no").distinct().collect()} == {7}
+    assert D._candidates(windows, some, 18).count() <= windows.count()
+
+
+@pytest.mark.parametrize("row_hashes", [1, 100, 65_536])
+def test_windows_are_cut_alike_from_rows_of_any_size(spark, monkeypatch, row_hashes):
+    monkeypatch.setattr(D, "ROW_HASHES", row_hashes)
+    texts = spark.createDataFrame([(1, "a b c d e f g h i j " * 6), (2, "x a b c d e f g")], "doc_id long, text string").withColumn("key", F.xxhash64("text"))
+    items = D.benchmark_items(spark.createDataFrame([(5, "b c d e f g h i")], "item_id long, text string"), "item_id", "text", 0.8)
+    anchors = items.select(F.lit(0).cast("long").alias("item_no"), "m", F.explode("anchors").alias("h"))
+    got = D._windows(texts, D.anchor_spots(texts, anchors, 5), 5).collect()
+    assert len({(r.doc_id, r.start) for r in got}) == len(got) and all(len(r.hashes) == 4 for r in got)
+    near = {s for k in range(6) for s in range(10 * k - 2, 10 * k + 2) if 0 <= s <= 52}  # the anchor stands at 10 k + 1
+    assert {r.start for r in got if r.doc_id == 1} == near and {r.start for r in got if r.doc_id == 2} == {0}
+
+
 def test_blocks_meet_every_fingerprint_within_the_radius(spark):
     rng = random.Random(2)
     pairs = []
@@ -172,6 +220,15 @@ def test_shards_of_few_null_and_no_rows(spark):
     assert minimax_shards(df.limit(0), 8).collect() == []
 
 
+@pytest.mark.parametrize("doc_id", [7, None])
+def test_rows_of_one_id_and_text_are_numbered_in_portions(spark, doc_id):
+    docs = spark.createDataFrame([(doc_id, "same")] * 2000 + [(i, f"text {i}") for i in range(50)], "doc_id long, text string").repartition(5)
+    got = minimax_shards(docs, 8, salts=16).collect()
+    for shard in {r.shard for r in got}:
+        assert sorted(r.slot for r in got if r.shard == shard) == list(range(sum(r.shard == shard for r in got)))
+    assert len({r.shard for r in got if r.size == 5}) == 1 and len(got) == 2050
+
+
 def test_one_group_with_most_bytes(spark):
     docs = [(i, "hot " * 30) for i in range(500)] + [(1000 + i, f"t{i}") for i in range(100)]
     rows = minimax_shards(spark.createDataFrame(docs, "doc_id long, text string"), 4, salts=8).collect()
@@ -240,6 +297,23 @@ def test_cut_off_streams_are_refused():
     assert b"".join(W._inflated(io.BytesIO(gzip.compress(record) + gzip.compress(record)))) == 2 * record
 
 
+def test_a_payload_of_most_pages_is_spread_over_archives(spark):
+    hot = "the same page " * 200
+    pages = spark.range(4000).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.when(F.col("id") % 3 < 2, F.lit(hot)).otherwise(
+        F.concat(F.lit("own page "), F.repeat(F.col("id").cast("string"), 500))).alias("html")).repartition(16)
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        files = W.write_monolithic(W.plan_records(pages), shared_folder(spark, "w")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert sum(r.records for r in files) == 4000 and max(r.records for r in files) < 1500
+
+
 def test_query_columns(spark):
     df = op7_warc_normaliser(spark, SF_SMALL)
     assert df.columns == ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
