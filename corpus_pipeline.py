@@ -17,12 +17,13 @@ documents shuffles the texts once, by that digest.
 
 Nulls and edges: a null text is judged as an empty one; an empty table passes
 through every stage as an empty table; extra columns of ``documents`` are kept
-up to the last stage.
+as they are up to the last stage, whatever they are called (a stage gives its own
+columns names that the table does not hold).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from blotter.llm.common import stored
@@ -33,15 +34,27 @@ from blotter.llm.secrets import redact_secrets
 from blotter.llm.simhash import keep_one_each, simhash_groups
 
 QUALITY_LEAST = 0.3
-#: Name of the digest column while a stage works; no column of documents bears it.
-KEY = "__text_digest"
-ROW = "__row"
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
+def _unused(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until no column of ``docs`` is called so."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def _columns(docs: DataFrame) -> list[Column]:
+    """All columns of ``docs``, also those with a dot in their name."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+
+
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a digest of id and text, and the name of that column."""
     doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))
     text = F.coalesce(F.concat(F.lit(":"), F.col("text")), F.lit(""))  # a null text is not an empty one
-    return docs.withColumn(KEY, F.sha2(F.concat(doc_id, text), 256))
+    key = _unused(docs, "text_digest")
+    return docs.withColumn(key, F.sha2(F.concat(doc_id, text), 256)), key
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,26 +62,27 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    keyed = _keyed(docs)
+    keyed, key = _keyed(docs)
     train = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) != 0
-    scores = score_quality(keyed, _table(spark, sf_dir, "labels"), train=train, key_col=KEY)
-    good = scores.filter(F.col("score") >= QUALITY_LEAST).select(F.col("key").alias(KEY))
-    return keyed.join(good, KEY, "left_semi").select(docs.columns)
+    scores = score_quality(keyed, _table(spark, sf_dir, "labels"), train=train, key_col=key)
+    good = scores.filter(F.col("score") >= QUALITY_LEAST).select(F.col("key").alias(key))
+    return keyed.join(good, key, "left_semi").select(_columns(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    keyed = _keyed(docs)
-    winners = keep_one_each(simhash_groups(keyed, key_col=KEY)).select(F.col("key").alias(KEY))
-    one = Window.partitionBy(KEY).orderBy(KEY)  # more than one only where a row is repeated; shuffled by KEY already
-    left = keyed.join(winners, KEY, "left_semi").withColumn(ROW, F.row_number().over(one))
-    return left.filter(F.col(ROW) == 1).select(docs.columns)
+    keyed, key = _keyed(docs)
+    winners = keep_one_each(simhash_groups(keyed, key_col=key)).select(F.col("key").alias(key))
+    row = _unused(docs, "row_of_digest")
+    one = Window.partitionBy(key).orderBy(key)  # more than one only where a row is repeated; shuffled by the key already
+    left = keyed.join(winners, key, "left_semi").withColumn(row, F.row_number().over(one))
+    return left.filter(F.col(row) == 1).select(_columns(docs))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    keyed = _keyed(docs)
-    found = contaminated(keyed, _table(spark, sf_dir, "benchmark"), id_col=KEY)
-    bad = stored(found.select(F.col("doc_id").alias(KEY)).distinct(), "contaminated")
-    return keyed.join(bad, KEY, "left_anti").select(docs.columns)
+    keyed, key = _keyed(docs)
+    found = contaminated(keyed, _table(spark, sf_dir, "benchmark"), id_col=key)
+    bad = stored(found.select(F.col("doc_id").alias(key)).distinct(), "contaminated")
+    return keyed.join(bad, key, "left_anti").select(_columns(docs))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
