@@ -442,6 +442,7 @@ def redact_secrets(docs: DataFrame, *, text_col: str = "text", max_inflated: int
     """``docs`` with every span of its texts masked; all columns, their order and null texts stay."""
     ship_package(docs.sparkSession)
     at = docs.columns.index(text_col)
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # mapInArrow takes no dots or backticks in names
 
     def mask(batches):
         for batch in batches:
@@ -451,4 +452,4 @@ def redact_secrets(docs: DataFrame, *, text_col: str = "text", max_inflated: int
             columns[at] = pa.array(made, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    return docs.mapInArrow(mask, docs.schema)
+    return plain.mapInArrow(mask, plain.schema).toDF(*docs.columns)
