@@ -14,6 +14,8 @@ from blotter.llm.queries import op5_compression_toxicity, op8_rule_ensemble
 from blotter.llm.simhash import simhash_groups
 from conftest import SF_MID
 
+SF_LARGE = "/root/testdata/sf0.1"
+
 
 
 def held_out(spark, df, label):
@@ -79,6 +81,79 @@ def test_toxicity_learns_passages_late_in_long_texts(spark):
     assert np.mean([(s >= 0.5) == y for s, y in held]) > 0.95
 
 
+def test_toxicity_scores_read_from_the_model_by_hand(spark):
+    """Windows found by plain search, compressed one by one with new compressors, features and fit spelled out."""
+    import math
+    import zstandard as z
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefghilmnorstu") for _ in range(rng.randrange(2, 9))) for _ in range(200)]
+    rows = [(i, " ".join(rng.choice(words) if i % 3 or rng.random() < 0.9 else "scoundrel" for _ in range(80)), int(i % 3 == 0)) for i in range(240)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    some, share = T.labelled_sample(df, df, "toxic", F.lit(True), T.Sample(), "doc_id")
+    model = T.train_model(some, share, T.Settings())
+    assert any("scound" in run for run in model.typical)
+    for _, text, _ in rows[:30] + [(0, "", 0), (0, "Scoundrel!", 1)]:
+        t = f" {T.normal(text)} "
+        savings = []
+        for a in range(0, len(t), model.settings.window):
+            held = any(t[i:i + len(run)] == run and i < a + model.settings.window and i + len(run) > a
+                       for run in model.typical for i in range(max(0, a - len(run)), min(len(t), a + model.settings.window)))
+            sizes = []
+            for content in (model.ordinary, model.both):
+                d = z.ZstdCompressionDict(content, dict_type=z.DICT_TYPE_RAWCONTENT)
+                d.precompute_compress(level=model.settings.level)
+                c = z.ZstdCompressor(level=model.settings.level, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)
+                sizes.append(len(c.compress(t[a:a + model.settings.window].encode())))
+            savings.append(sizes[0] - sizes[1] if held else 0)
+        n = len(savings)
+        over = [sum(s >= limit for s in savings) for limit in model.thresholds]
+        x = [sum(savings) / n, max(savings), math.log1p(n), *[k / n for k in over], *[math.log1p(k) for k in over]]
+        total = model.weights[0] + sum(w * (v - m) / d for w, v, m, d in zip(model.weights[1:], x, model.mean, model.scale))
+        assert model.score(text) == pytest.approx(1 / (1 + math.exp(-total)), rel=1e-9)
+
+
+def test_quality_scores_read_from_the_rules_by_hand(spark):
+    rng = random.Random(4)
+    rows = [(i, ("word " * rng.randrange(3, 30)).strip() + ("!!! $$$ ### " * 5 if i % 2 else " and some more of it."), i % 2) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, y int")
+    table = Q._class_table()
+    by_hand = {i: {name: float(v) for name, v in zip(Q.STATISTICS, Q.statistics(t, table))} for i, t, _ in rows}
+    stats = spark.createDataFrame([(float(y), *[by_hand[i][s] for s in Q.STATISTICS]) for i, _, y in rows], ["y", *Q.STATISTICS])
+    ensemble = Q.fit_ensemble(stats)
+    assert ensemble.weights
+    scored = Q.text_statistics(df).select("doc_id", ensemble.score().alias("score")).collect()
+    for r in scored:
+        s = by_hand[r.doc_id]
+        held = [w for rule, w in ensemble.weights if all((s[c.statistic] > c.threshold) == c.above for c in rule)]
+        assert r.score == pytest.approx(1 / (1 + np.exp(-(ensemble.intercept + sum(held)))), rel=1e-9)
+
+
+def test_toxicity_is_found_in_every_language(spark):
+    scores = {r.doc_id: r for r in op5_compression_toxicity(spark, SF_LARGE).collect()}
+    rows = spark.read.parquet(f"{SF_LARGE}/labels.parquet").join(spark.read.parquet(f"{SF_LARGE}/documents.parquet").select("doc_id", "lang"), "doc_id")
+    right = {}
+    for r in rows.filter("toxic is not null").collect():
+        if scores[r.doc_id].held_out:
+            right.setdefault((r.lang, r.toxic), []).append(scores[r.doc_id].predicted == r.toxic)
+    assert len(right) == 8  # four languages, both classes
+    for (lang, toxic), hits in right.items():
+        assert np.mean(hits) >= (0.8 if toxic else 0.98), (lang, toxic, sum(hits), len(hits))
+
+
+def test_repeated_ids_give_the_sample_one_text_each(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(50)] + [(2, "other words"), (2, "other words"), (3, "x")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (2, 0), (3, None)], "doc_id long, toxic int")
+    some, share = T.labelled_sample(docs, labels, "toxic", F.lit(True), T.Sample(), "doc_id")
+    assert sorted((r.doc_id, r.plain, r.bad) for r in some.collect()) == [(1, 0, 1), (2, 2, 0)] and share == pytest.approx(1 / 3)
+
+
+def test_runs_and_stretches_of_words():
+    assert T.runs("ab worthless") == {f" worthless "[i:i + n] for n in (6, 7, 8) for i in range(12 - n)}
+    assert T.stretches("worthless less", {" worth", "rthles"}) == {" worthles"}
+    assert T.stretches("worthless", {" worth", "thless"}) == {" worthless"}
+    assert T.stretches("worthlessness", {" worth", "essnes"}) == {" worth", "essnes"} and T.stretches("", {"x"}) == set()
+
+
 def test_quantiles_of_counted_values():
     rng = np.random.default_rng(1)
     values, counts = rng.integers(-3, 9, 40).astype(float), rng.integers(1, 6, 40)
@@ -180,6 +255,18 @@ def test_pack_stage_covers_every_document(stages):
     assert got == want and all(n == k[1] for k, n in got.items()) and len(got) == docs.count()
 
 
+def test_stages_keep_columns_of_any_name(spark):
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").limit(40)
+    names = ["text_digest", "row_of_digest", "text_digest_", "key", "score", "fp", "root", "found", "a.b", "back`tick", "__row"]
+    extra = docs.select("*", *[F.concat(F.lit(f"{n}-"), F.col("doc_id").cast("string")).alias(n) for n in names])
+    for name, stage in pipeline.STAGES[:-1]:
+        made = stage(spark, extra, SF_MID)
+        assert made.columns == extra.columns, name
+        rows = made.collect()
+        assert rows and all(r[n] == f"{n}-{r.doc_id}" for r in rows for n in names), name
+    assert pipeline.pack(spark, extra, SF_MID).agg(F.countDistinct("doc_id")).first()[0] == 40
+
+
 def test_stages_on_nulls_repeats_and_extra_columns(spark):
     docs = spark.read.parquet(f"{SF_MID}/documents.parquet").limit(60)
     odd = [(None, "null id one two three", "en", "s", 3), (None, "null id one two three", "en", "s", 3), (7_000_001, None, None, None, None),
