@@ -12,8 +12,8 @@ task packs the documents of its own input split, in one streaming pass:
    piece that fits; when none fits, the shortest waiting piece is cut at the
    gap's end and its rest waits in the tier of its new length.
 4. *Close the split.* When nothing is left to fill a gap, the open window is
-   split at the tier sizes, longest first. Only a last rest below the smallest
-   tier stays padded: at most one padded window per input split.
+   split at the tier sizes, longest first, and a last rest below the smallest
+   tier at smaller powers of two. So no window of a split is padded.
 5. *Balance step groups.* Windows are emitted longest first in rounds, and a
    step group closes whenever ``step_tokens`` are reached. As tiers are powers
    of two, each step group holds the same number of tokens but for a split's
@@ -94,9 +94,10 @@ class _Packer:
     def close(self, window) -> None:
         left = sum(n for _, _, n in window)
         pieces = window[::-1]
-        for size in [t for t in self.tiers if t <= left] + [0]:
-            while size and left >= size or not size and left:
-                made, room = [], size or left
+        powers = [1 << k for k in reversed(range(self.tiers[-1].bit_length() - 1))]
+        for size in self.tiers + powers:
+            while left >= size:
+                made, room = [], size
                 while room:
                     d, s, n = pieces.pop()
                     if n > room:
@@ -105,7 +106,7 @@ class _Packer:
                     made.append((d, s, n))
                     room -= n
                 self.windows.append(made)
-                left -= sum(n for _, _, n in made)
+                left -= size
 
 
 def pack_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -122,7 +123,6 @@ def pack_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     vocabulary = vocabulary or default_vocabulary()
     plain = pick(docs, id=id_col, text=text_col).select(
         F.col("id").cast("long").alias("id"), text_or_empty().alias("text"))
-    top = max(tiers)
 
     def pack(batches):
         from pyspark import TaskContext
@@ -135,8 +135,7 @@ def pack_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         def emit():
             rows = []
             for window in sorted(packer.windows, key=lambda w: -sum(p[2] for p in w)):
-                total = sum(p[2] for p in window)
-                size = total if total in packer.tiers else top  # padded, if it is no tier
+                size = sum(p[2] for p in window)  # a tier, or a smaller power of two
                 if size > state["room"]:
                     state["step"], state["room"] = state["step"] + 1, step_tokens
                 state["room"] -= size
