@@ -13,7 +13,8 @@ partition, three flat little-endian files in a folder:
 It returns the manifest: one row per partition with its file names, counts and
 ``base``, the number of ids in all partitions before it (a prefix sum over the
 partitions' totals, one row each). ``read_token_files`` maps the files into
-memory and gives one row per document.
+memory, or reads them by ranges where the store has no maps, and gives one row
+per document.
 
 Files are written under a name of the task attempt and the manifest names the
 attempt that Spark kept, so a task that runs twice after a lost executor leaves
@@ -21,8 +22,9 @@ only an unused file.
 
 Nulls and edges: a null text is an empty one (its only id is the end id); a null
 document id sorts first and is read back as null; equal document ids keep one
-entry per row, those rows ordered by their text; an empty table gives an empty
-manifest and no rows. Other columns are ignored.
+entry per row, those rows ordered by the hash of their text, so that an id or a
+row that repeats any number of times is dealt to many partitions; an empty table
+gives an empty manifest and no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,6 +40,9 @@ from .common import file_system, pick, stored, text_or_empty
 from .tokens import default_vocabulary, encoder, text_batches
 
 MANIFEST = "part long, n_docs long, n_tokens long, width long, tokens_file string, offsets_file string, docs_file string"
+PARTITION_BYTES = 256 << 20
+#: Documents whose places a reader holds at a time.
+READ_DOCS = 10_000
 ROWS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
@@ -46,16 +51,19 @@ def write_token_files(docs: DataFrame, folder: str, *, id_col: str = "doc_id", t
                       partitions: int | None = None) -> DataFrame:
     """Write the files to ``folder`` (a URI all executors reach); the manifest with bases.
 
-    Texts are shuffled once, by ranges of the id. ``partitions`` defaults to
-    ``spark.sql.shuffle.partitions``; a task streams its documents and holds
-    one Arrow batch of texts at a time.
+    Texts are shuffled once, by ranges of the id. ``partitions`` defaults to one
+    for each ``PARTITION_BYTES`` of texts, and to ``spark.sql.shuffle.partitions``
+    at least; a task streams its documents and holds one Arrow batch of texts at a
+    time.
     """
     spark = docs.sparkSession
     vocabulary = vocabulary or default_vocabulary()
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (pick(docs, id=id_col, text=text_col)
-               .select(F.col("id").cast("long").alias("id"), text_or_empty().alias("text"))
-               .repartitionByRange(n, "id").sortWithinPartitions("id", "text"))
+    rows = pick(docs, id=id_col, text=text_col).select(F.col("id").cast("long").alias("id"), text_or_empty().alias("text"))
+    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                          -(-(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // PARTITION_BYTES))
+    place = [F.col("id").asc_nulls_first(), "hash", "salt"]
+    ordered = (rows.withColumns({"hash": F.xxhash64("text"), "salt": F.monotonically_increasing_id()})
+               .repartitionByRange(n, *place).sortWithinPartitions(*place).select("id", "text"))
 
     def write(batches):
         from pyspark import TaskContext
@@ -102,30 +110,31 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
     def read(batches):
         store, root = file_system(folder)
 
-        def mapped(name, kind):
+        def opened(name, kind):
+            """A function that gives values from one place to another: mapped into memory, or read by range."""
+            path, width = f"{root}/{name}", np.dtype(kind).itemsize
             if store.type_name == "local":
-                size = store.get_file_info(f"{root}/{name}").size
-                return np.memmap(f"{root}/{name}", dtype=kind, mode="r") if size else np.empty(0, kind)
-            with store.open_input_file(f"{root}/{name}") as f:
-                return np.frombuffer(f.read(), dtype=kind)
+                size = store.get_file_info(path).size
+                values = np.memmap(path, dtype=kind, mode="r") if size else np.empty(0, kind)
+                return lambda a, b: values[a:b]
+            file = store.open_input_file(path)
+            return lambda a, b: np.frombuffer(file.read_at((b - a) * width, a * width), kind)
 
         for batch in batches:
             for row in batch.to_pylist():
-                tokens = mapped(row["tokens_file"], f"<u{row['width']}")
-                offsets = mapped(row["offsets_file"], "<i8")
-                docs = mapped(row["docs_file"], "u1")
+                tokens = opened(row["tokens_file"], f"<u{row['width']}")
+                offsets = opened(row["offsets_file"], "<i8")
+                docs = opened(row["docs_file"], "u1")
                 k = row["n_docs"]
-                ids = np.frombuffer(docs[:8 * k].tobytes(), "<i8")
-                null = np.asarray(docs[8 * k:]) == 0
-                for a in range(0, k, 10_000):
-                    b = min(k, a + 10_000)
-                    crc = [zlib.crc32(tokens[offsets[i]:offsets[i + 1]].astype("<u4").tobytes())
-                           for i in range(a, b)]
+                for a in range(0, k, READ_DOCS):
+                    b = min(k, a + READ_DOCS)
+                    at = offsets(a, b + 1)
+                    ids = np.frombuffer(docs(8 * a, 8 * b).tobytes(), "<i8")
+                    null = np.asarray(docs(8 * k + a, 8 * k + b)) == 0
+                    crc = [zlib.crc32(tokens(i, j).astype("<u4").tobytes()) for i, j in zip(at[:-1].tolist(), at[1:].tolist())]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids[a:b], pa.int64(), mask=null[a:b]),
-                         pa.array(offsets[a:b] + row["base"], pa.int64()),
-                         pa.array(np.diff(offsets[a:b + 1]), pa.int64()),
-                         pa.array(crc, pa.int64())],
+                        [pa.array(ids, pa.int64(), mask=null), pa.array(at[:-1] + row["base"], pa.int64()),
+                         pa.array(np.diff(at), pa.int64()), pa.array(crc, pa.int64())],
                         names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return manifest.repartition(n, "part").mapInArrow(read, ROWS)
