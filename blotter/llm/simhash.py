@@ -9,8 +9,10 @@ that differ in at most ``radius`` bits are linked; linked texts form groups.
   with its value names a shard, and every link lies inside at least one shard.
   Equal fingerprints are one entry, whatever number of texts bears them.
 * *Crowded shards* (over ``crowded`` entries) are dealt again by parts of their
-  remaining bits, of which again one must agree; entries differ, so this ends in
-  small shards except where the fingerprints themselves are dense.
+  free bits (those that the shard does not fix), of which again one must agree;
+  what is still crowded is dealt again. Entries differ and each round leaves a
+  shard two thirds of its free bits, so even where fingerprints are as dense as
+  can be it ends: a shard with w free bits has at most 2^w entries.
 * *Trees.* A task reads its shards one after another and grows a BK-tree for
   each: a child hangs on the edge numbered with its Hamming distance to the
   parent, and a search from a node at distance d follows only the edges from
@@ -28,6 +30,7 @@ share a group; an empty table gives no rows. Other columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -86,26 +89,54 @@ def _cut(bits: int, parts: int) -> list[tuple[int, int]]:
 
 
 def shard_rows(entries: DataFrame, radius: int, crowded: int) -> DataFrame:
-    """(pair, value, part, fp): each fingerprint in all shards where a link of it may lie."""
+    """(shard, fp): each fingerprint in all shards where a link of it may lie.
+
+    A shard is named by a hash of the bits that it fixes; two that share a name by
+    chance only compare more.
+    """
     blocks = _cut(64, radius + 2)
-    keys, rests = [], []
+    keys = []
     for i, pair in enumerate(combinations(range(radius + 2), 2)):
-        value = F.lit(0).cast("long")
-        for j in pair:
-            value = F.shiftleft(value, blocks[j][1]).bitwiseOR(_bits(F.col("fp"), *blocks[j]))
-        free = [blocks[j] for j in range(radius + 2) if j not in pair]
-        rest, width = F.lit(0).cast("long"), 0
-        for low, w in free:
-            rest, width = F.shiftleft(rest, w).bitwiseOR(_bits(F.col("fp"), low, w)), width + w
-        parts = [_bits(rest, *p).bitwiseOR(F.lit(k << 40)) for k, p in enumerate(_cut(width, radius + 1))]
-        keys.append(F.struct(F.lit(i).alias("pair"), value.alias("value"), F.array(*parts).alias("parts")))
-        rests.append(width)
-    rows = entries.select("fp", F.explode(F.array(*keys)).alias("k")).select("fp", "k.pair", "k.value", "k.parts")
-    hot = stored(rows.groupBy("pair", "value").agg(F.count("*").alias("entries"))
-                 .filter(F.col("entries") > crowded).withColumn("hot", F.lit(True)).drop("entries"), "crowded-shards")
-    alone = F.array(F.lit(-1).cast("long"))
-    return (rows.join(hot, ["pair", "value"], "left")
-            .select("fp", "pair", "value", F.explode(F.when(F.col("hot"), F.col("parts")).otherwise(alone)).alias("part")))
+        free, width = F.lit(0).cast("long"), 0
+        for low, w in (blocks[j] for j in range(radius + 2) if j not in pair):
+            free, width = F.shiftleft(free, w).bitwiseOR(_bits(F.col("fp"), low, w)), width + w
+        name = F.xxhash64(F.lit(i), *[_bits(F.col("fp"), *blocks[j]) for j in pair])
+        keys.append(F.struct(name.alias("shard"), free.alias("free"), F.lit(width).alias("width")))
+    rows = entries.select("fp", F.explode(F.array(*keys)).alias("k")).select("fp", "k.shard", "k.free", "k.width")
+    small = []
+    while True:
+        hot = stored(rows.groupBy("shard").agg(F.count("*").alias("entries")).filter(F.col("entries") > crowded)
+                     .select("shard", F.lit(True).alias("hot")), "crowded-shards")
+        if not hot.limit(1).count():
+            break
+        known = rows.join(hot, "shard", "left")
+        small.append(known.filter(F.col("hot").isNull()).select("shard", "fp"))
+        full = known.filter("hot")
+        # few bits are free: so few entries that it cannot be crowded, or that no part would be left to deal by
+        narrow = (F.pow(F.lit(2), F.col("width")) <= crowded) | (F.col("width") <= radius)
+        small.append(full.filter(narrow).select("shard", "fp"))
+        rows = stored(full.filter(~narrow).select("fp", F.explode(_dealt(radius + 1)).alias("k"))
+                      .select("fp", "k.shard", "k.free", "k.width"), "shards")
+    small.append(rows.select("shard", "fp"))
+    return reduce(DataFrame.unionByName, small)
+
+
+def _dealt(parts: int):
+    """A shard's rows again, once by each of ``parts`` neighbouring parts of its free bits."""
+    out = []
+    for k in range(parts):
+        low, high = (F.expr(f"width * {j} div {parts}").cast("int") for j in (k, k + 1))
+
+        def shifted(way: str, bits, by):
+            return F.call_function(way, bits, by)
+
+        one = F.lit(1).cast("long")
+        value = shifted("shiftrightunsigned", F.col("free"), low).bitwiseAND(shifted("shiftleft", one, high - low) - 1)
+        rest = shifted("shiftleft", shifted("shiftrightunsigned", F.col("free"), high), low).bitwiseOR(
+            F.col("free").bitwiseAND(shifted("shiftleft", one, low) - 1))
+        out.append(F.struct(F.xxhash64("shard", F.lit(k), value).alias("shard"), rest.alias("free"),
+                            (F.col("width") - (high - low)).alias("width")))
+    return F.array(*out)
 
 
 class BKTree:
@@ -163,25 +194,23 @@ def _shard_links(fps: list[int], radius: int):
 
 def fingerprint_links(entries: DataFrame, *, radius: int = 2, crowded: int = 2000) -> DataFrame:
     """Links (src, dst) that connect exactly the fingerprints within ``radius`` bits (and chains of them)."""
-    shards = shard_rows(entries, radius, crowded).repartition("pair", "value", "part")
-    shards = shards.sortWithinPartitions("pair", "value", "part", "fp")
+    shards = shard_rows(entries, radius, crowded).repartition("shard").sortWithinPartitions("shard", "fp")
 
     def links(batches):
         last, open_ = None, []
         for batch in batches:
-            keys = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64)
-                                    for c in ("pair", "value", "part")])
+            keys = batch.column("shard").to_numpy(zero_copy_only=False)
             fps = batch.column("fp").to_numpy(zero_copy_only=False)
-            edges = np.flatnonzero(np.any(keys[1:] != keys[:-1], axis=1)) + 1
+            edges = np.flatnonzero(keys[1:] != keys[:-1]) + 1
             out = []
             for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(fps)]):
-                if a == 0 and last is not None and tuple(keys[0]) == last:
+                if a == 0 and last is not None and int(keys[0]) == last:
                     open_.extend(fps[a:b].tolist())
                 else:
                     if len(open_) > 1:
                         out += _shard_links(open_, radius)
                     open_ = fps[a:b].tolist()
-            last = tuple(keys[-1]) if len(fps) else last
+            last = int(keys[-1]) if len(fps) else last
             if out:
                 yield _pairs(out)
         if len(open_) > 1 and (out := _shard_links(open_, radius)):

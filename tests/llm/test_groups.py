@@ -57,6 +57,15 @@ def signed(x):
     return x - (1 << 64) if x >> 63 else x
 
 
+def test_dense_fingerprints_are_dealt_into_small_shards(spark):
+    fps = [0x1234_5678_0000_0000 | i for i in range(1 << 14)]  # each within two bits of 105 others
+    entries = spark.createDataFrame([(f,) for f in fps], "fp long")
+    shards = H.shard_rows(entries, 2, 2000).groupBy("shard").count()
+    assert shards.agg({"count": "max"}).first()[0] <= 2000 and shards.count() > 50
+    links = H.fingerprint_links(entries)
+    assert {r.root for r in connected_components(links).collect()} == {fps[0]}
+
+
 @pytest.mark.parametrize("crowded", [2000, 3])
 def test_fingerprint_links_find_all_groups(spark, crowded):
     rng = random.Random(5)
