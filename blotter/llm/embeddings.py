@@ -11,6 +11,14 @@ meets in one of them with probability ``recall``; closer pairs meet more surely.
 
 * *Classes first.* Rows with the same components are one class (hot vectors
   cost one entry); a class counts for all its rows.
+* *Short codes next.* Each vector has a code of 256 signs of random projections.
+  Codes of vectors at the threshold differ in a number of bits that follows a
+  binomial law, and ``CODE_DEVIATIONS`` above its mean hardly any pair is missed
+  (below one in a million), while unrelated codes differ in half their bits. Buckets
+  are compared by codes, and a vector goes on to a bucket's exact check only if it
+  has a partner there by code, and its set of partners in an earlier table was
+  another: the first table that a pair shares brings both a new set, so both are
+  sent there. So a vector travels once for each set of partners, not once per table.
 * *Exact check.* A task compares a bucket's vectors by their cosines in double
   precision, in blocks of a matrix product, and keeps what reaches the
   threshold. A pair that meets in several tables counts in the first alone,
@@ -50,6 +58,16 @@ def cell_probability(distance: float, width: float) -> float:
     return 1 - math.erfc(r / math.sqrt(2)) - 2 / (math.sqrt(2 * math.pi) * r) * (1 - math.exp(-r * r / 2))
 
 
+CODE_BITS = 256
+CODE_DEVIATIONS = 5.0
+
+
+def code_radius(threshold: float) -> int:
+    """Bits in which the codes of a pair at the threshold differ at most, but for one in a million."""
+    p = math.acos(threshold) / math.pi
+    return math.ceil(CODE_BITS * p + CODE_DEVIATIONS * math.sqrt(CODE_BITS * p * (1 - p)))
+
+
 def table_shape(vectors: int, threshold: float, width: float, strangers: int, recall: float) -> tuple[int, int]:
     """(tables, projections per table) for so many vectors."""
     near = cell_probability(math.sqrt(2 - 2 * threshold), width)
@@ -100,31 +118,85 @@ def vector_rows(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 def hashed(classes: DataFrame, kind: str, tables: int, projections: int, width: float, seed: int) -> DataFrame:
-    """(node, buckets): the bucket of each class in every table."""
+    """(node, buckets, code): the bucket of each class in every table, and its short code."""
     def make(batches):
         drawn: dict[int, tuple] = {}
         for batch in batches:
             units = [_unit(r, kind) for r in batch.column("vec").to_pylist()]
             sizes = np.array([len(u) for u in units])
             keys = np.zeros((len(units), tables), "<i8")
+            codes = np.zeros((len(units), CODE_BITS // 8), np.uint8)
             for d in np.unique(sizes):
                 if d not in drawn:
                     rng = np.random.default_rng([seed, int(d)])
                     drawn[d] = (rng.standard_normal((d, tables * projections)),
                                 rng.uniform(0, width, tables * projections),
-                                rng.integers(1, 1 << 62, (tables, projections)) | 1)
-                lines, shift, mix = drawn[d]
+                                rng.integers(1, 1 << 62, (tables, projections)) | 1, rng.standard_normal((d, CODE_BITS)))
+                lines, shift, mix, signs = drawn[d]
                 at = np.flatnonzero(sizes == d)
-                cells = np.floor((np.stack([units[i] for i in at]) @ lines + shift) / width).astype(np.int64)
+                same = np.stack([units[i] for i in at])
+                codes[at] = np.packbits(same @ signs > 0, axis=1)
+                cells = np.floor((same @ lines + shift) / width).astype(np.int64)
                 cells = cells.reshape(len(at), tables, projections)
                 with np.errstate(over="ignore"):  # a bucket's name; vectors in it are compared whatever it holds
                     keys[at] = (cells * mix).sum(axis=2) * 31 + int(d)
             offsets = np.arange(0, keys.size + 1, tables, dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel(), pa.int64()))],
-                names=["node", "buckets"])
+                [batch.column("node"), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel(), pa.int64())),
+                 pa.array([c.tobytes() for c in codes], pa.binary())], names=["node", "buckets", "code"])
+
+    return classes.select("node", "vec").mapInArrow(make, "node long, buckets array<long>, code binary")
+
 
-    return classes.select("node", "vec").mapInArrow(make, "node long, buckets array<long>")
+def _grouped(batches, keys: tuple[str, ...], columns: tuple[str, ...]):
+    """(key, {column: values}) of each run of equal keys in sorted batches."""
+    last, held = None, None
+    for batch in batches:
+        cols = {c: batch.column(c).to_pylist() for c in columns}
+        for k, key in enumerate(zip(*[batch.column(c).to_pylist() for c in keys])):
+            if key != last:
+                if last is not None:
+                    yield last, held
+                last, held = key, {c: [] for c in columns}
+            for c in columns:
+                held[c].append(cols[c][k])
+    if last is not None:
+        yield last, held
+
+
+def _mixed(nodes: np.ndarray) -> np.ndarray:
+    """Numbers that stand for nodes where sets of them are told apart by their exclusive or."""
+    x = nodes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ x >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ x >> np.uint64(29)
+
+
+def partners(dealt: DataFrame, radius: int) -> DataFrame:
+    """(tab, bucket, blocks, node, mark): classes with a partner by code in a bucket; ``mark`` stands for the set of them."""
+    names = ["tab", "bucket", "blocks", "node", "mark"]
+
+    def compare(batches):
+        for (tab, bucket, i, j, blocks), rows in _grouped(batches, ("tab", "bucket", "i", "j", "blocks"), ("node", "block", "code")):
+            node, block = np.array(rows["node"], np.int64), np.array(rows["block"])
+            codes = np.frombuffer(b"".join(rows["code"]), np.uint64).reshape(len(node), -1)
+            left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+            marks, there, mixed = np.zeros(len(node), np.uint64), np.zeros(len(node), bool), _mixed(node)
+            for a in range(0, len(left), 256):
+                part = left[a:a + 256]
+                apart = sum(np.bitwise_count(codes[part, w][:, None] ^ codes[right, w]).astype(np.int16) for w in range(codes.shape[1]))
+                x, y = np.nonzero(apart <= radius)
+                x, y = part[x], right[y]
+                x, y = x[node[x] != node[y]], y[node[x] != node[y]]
+                for own, other in ((x, y), (y, x)) if i != j else ((x, y),):
+                    there[own] = True
+                    np.bitwise_xor.at(marks, own, mixed[other])
+            if there.any():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([v] * int(there.sum()), pa.int64()) for v in (tab, bucket, blocks)]
+                    + [pa.array(node[there], pa.int64()), pa.array(marks[there].view(np.int64), pa.int64())], names=names)
+
+    found = dealt.mapInArrow(compare, "tab long, bucket long, blocks long, node long, mark long")
+    return found.groupBy("tab", "bucket", "blocks", "node").agg(F.bit_xor("mark").alias("mark"))
 
 
 def _compare(rows, tab: int, mates: tuple[int, int], threshold: float, kind: str):
@@ -164,48 +236,41 @@ def _compare(rows, tab: int, mates: tuple[int, int], threshold: float, kind: str
     return [(int(node[k]), int(sums[k]), int(node[root(k)])) for k in range(len(node)) if sums[k] or root(k) != k]
 
 
+def _dealt(rows: DataFrame, *columns: str) -> DataFrame:
+    """``rows`` of buckets (tab, bucket, blocks, node) by pairs of a bucket's blocks, together and sorted."""
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    mates = F.transform(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1),
+                        lambda b: F.struct(F.least(b, own).alias("i"), F.greatest(b, own).alias("j")))
+    rows = rows.select("tab", "bucket", "blocks", "node", *columns, own.alias("block"), F.explode(mates).alias("m"))
+    return (rows.select("tab", "bucket", "m.i", "m.j", "blocks", "block", "node", *columns)
+            .repartition("tab", "bucket", "i", "j").sortWithinPartitions("tab", "bucket", "i", "j"))
+
+
 def bucket_links(classes: DataFrame, hashes: DataFrame, *, threshold: float, block: int, kind: str) -> DataFrame:
     """(node, linked, root): what each bucket adds to a class, and a link towards its group there.
 
-    Buckets are counted, and lone ones dropped, on their names; vectors are then
-    sent out once per bucket that they share.
+    Buckets are counted, and lone ones dropped, on their names, and compared by
+    codes; vectors are then sent out where they have a new set of partners.
     """
-    named = hashes.select("node", F.posexplode("buckets").alias("tab", "bucket"))
+    named = hashes.select("node", "code", F.posexplode("buckets").alias("tab", "bucket"))
     sizes = stored(named.groupBy("tab", "bucket").agg(F.count("*").alias("entries")).filter(F.col("entries") > 1)
                    .select("tab", "bucket", F.ceil(F.col("entries") / block).cast("int").alias("blocks")), "bucket-sizes")
-    shared = named.join(sizes, ["tab", "bucket"]).groupBy("node").agg(  # at most one entry per table
-        F.collect_list(F.struct("tab", "bucket", "blocks")).alias("places"))
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    mates = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
-                        lambda b: F.struct(F.least(b, own).alias("i"), F.greatest(b, own).alias("j")))
-    sent = (classes.join(hashes, "node").join(shared, "node")
+    met = stored(partners(_dealt(named.join(sizes, ["tab", "bucket"]), "code"), code_radius(threshold)), "partners")
+    place = F.struct(F.col("tab").cast("int").alias("tab"), "bucket", F.col("blocks").cast("int").alias("blocks"))
+    shared = (met.groupBy("node", "mark").agg(F.min(place).alias("place"))  # the first table with this set
+              .groupBy("node").agg(F.collect_list("place").alias("places")))  # at most one entry per table
+    sent = (classes.join(hashes.drop("code"), "node").join(shared, "node")
             .select("node", "n", "vec", "buckets", F.explode("places").alias("p"))
             .select("node", "n", "vec", "buckets", "p.tab", "p.bucket", "p.blocks"))
-    dealt = (sent.select("tab", "bucket", "node", "n", "buckets", "vec", own.alias("block"), F.explode(mates).alias("m"))
-             .select("tab", "bucket", "m.i", "m.j", "block", "node", "n", "buckets", "vec")
-             .repartition("tab", "bucket", "i", "j").sortWithinPartitions("tab", "bucket", "i", "j"))
-    columns = ("node", "n", "block", "buckets", "vec")
+    dealt = _dealt(sent, "n", "buckets", "vec")
 
     def compare(batches):
-        last, held = None, None
-
-        def close():
-            rows = _compare(held, last[0], last[2:], threshold, kind) if last is not None and len(held["node"]) > 1 else []
+        for (tab, _, i, j), held in _grouped(batches, ("tab", "bucket", "i", "j"), ("node", "n", "block", "buckets", "vec")):
+            rows = _compare(held, tab, (i, j), threshold, kind) if len(held["node"]) > 1 else []
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)],
                                                  names=["node", "linked", "root"])
 
-        for batch in batches:
-            keys = list(zip(*[batch.column(c).to_pylist() for c in ("tab", "bucket", "i", "j")]))
-            cols = {c: batch.column(c).to_pylist() for c in columns}
-            for k, key in enumerate(keys):
-                if key != last:
-                    yield from close()
-                    last, held = key, {c: [] for c in columns}
-                for c in columns:
-                    held[c].append(cols[c][k])
-        yield from close()
-
     return dealt.mapInArrow(compare, "node long, linked long, root long")
 
 
