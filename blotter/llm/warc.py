@@ -46,9 +46,11 @@ def plan_records(pages: DataFrame, *, id_col: str = "page_id", payload_col: str
                  least_bytes: int = LEAST_BYTES) -> DataFrame:
     """(page_id, uri, payload, refers_to): of equal payloads the largest page id is the response (null refers_to).
 
-    Payloads meet by their SHA-256; small and single ones get a key of their own
-    or simply find no partner, so the join's only heavy keys are real groups of
-    copies, which adaptive execution splits.
+    Payloads meet by their SHA-256; only groups of copies are looked up, and those,
+    one narrow row a group, are a written table: where they are few, Spark
+    broadcasts them and no payload moves; where they are many, payloads are
+    shuffled once, small and single ones by keys of their own, and adaptive
+    execution splits a group of any size, as it does with joins of scanned tables.
     """
     columns = {"page_id": id_col, "payload": payload_col} | ({"uri": uri_col} if uri_col else {})
     rows = pick(pages, **columns).withColumn("payload", text_or_empty("payload"))
@@ -60,7 +62,8 @@ def plan_records(pages: DataFrame, *, id_col: str = "page_id", payload_col: str
     groups = (rows.filter(large).select("page_id", digest.alias("digest")).groupBy("digest")
               .agg(F.max("page_id").alias("newest"), F.count("*").alias("copies"))
               .filter((F.col("copies") > 1) & F.col("newest").isNotNull()).drop("copies"))
-    own = F.concat(F.lit("-"), F.xxhash64("page_id", "uri").cast("string"))  # matches no digest
+    groups = stored(groups, "payload-groups")
+    own = F.concat(F.lit("-"), F.monotonically_increasing_id().cast("string"))  # matches no digest
     joined = rows.withColumn("digest", F.when(large, digest).otherwise(own)).join(groups, "digest", "left")
     is_newest = F.coalesce(F.col("page_id") == F.col("newest"), F.lit(False))
     return joined.select("page_id", "uri", "payload", F.when(~is_newest, F.col("newest")).alias("refers_to"))
