@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from blotter.oracle import _WEAPON, _orders, _with
+from blotter.oracle import _WEAPON, _with
 
 _CONTEXT = "area_name || ' | ' || time_slot || ' | ' || substring(place_type, 1, 25) || '...' AS context"
 _KEYS = "area_name, time_slot, place_type, age_range, sex_norm"
