@@ -16,8 +16,8 @@ a window that the second helps to compress shorter speaks for toxicity.
    that test as soon as they are telling, whatever is frequent elsewhere.
 3. *Windows.* A window of the normal text that holds a typical run is compressed
    with the ordinary dictionary and with both in a row; the difference is what
-   the toxic one saves. Other windows have nothing that it could save and count
-   as 0; an automaton finds the runs, so most text is never compressed.
+   the toxic one saves. Other windows hold nothing that is typical and count as 0;
+   an automaton finds the runs, so most text is never compressed.
 4. *Thresholds and score.* Thresholds are the savings that small shares of the
    ordinary calibration windows reach (``Settings.reached``). Per document: how
    many windows and what share of them lie above each, the mean and the largest
