@@ -169,12 +169,17 @@ def lake_optional_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lake_contexts_by_what_is_there(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The scenario page's top contexts of stored tables with a score, with a share only, and with neither."""
+    """The scenario page's top contexts of stored tables with a score, with a share only, and with neither.
+
+    The incidents are read for the first table only; the others are that stored table without some columns.
+    """
     scores = high_risk_contexts(context_risk_scores(curated_view(_curated(spark, sf_dir), PROF), PROF), PROF, sort=False)
     out = None
     for ordered_by, absent in (("score", []), ("share", ["risk_score_10"]), ("z", ["risk_score_10", "crime_share_percent"])):
         results = shared_folder(spark, "results")
         write_result(scores.drop(*absent), results, "high_risk_contexts")
+        if not absent:
+            scores = read_result(spark, results, "high_risk_contexts", schema=scores.schema)
         top = dash.high_risk_page(spark, results, entity=E)["top"]
         rows = top.select(F.lit(ordered_by).alias("ordered_by"), "context", "age_range", "sex_norm", "n_crimes")
         out = rows if out is None else out.unionByName(rows)
@@ -221,7 +226,8 @@ def lake_risk_of_a_removed_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     results = shared_folder(spark, "results")
     scores = context_risk_scores(curated_view(_curated(spark, sf_dir), PROF), PROF)
     write_result(scores, results, "context_risk_scores")
-    write_result(high_risk_contexts(scores, PROF, sort=False), results, "high_risk_contexts")
+    stored = read_result(spark, results, "context_risk_scores", schema=scores.schema)
+    write_result(high_risk_contexts(stored, PROF, sort=False), results, "high_risk_contexts")
     run_risk(spark, f"{results}/no-such-zone", results, PROF)
     return _summary(spark, results, RISK_TABLES)
 

@@ -74,3 +74,18 @@ def test_jobs_as_a_program(spark, tmp_path, capsys):
 def test_wrong_arguments_stop_the_program(argv):
     with pytest.raises(SystemExit):
         arguments(argv)
+
+
+@pytest.mark.parametrize("name, parts", [("lake_contexts_by_what_is_there", {"score", "share", "z"}),
+                                         ("lake_risk_of_a_removed_zone", {"context_risk_scores", "high_risk_contexts"})])
+def test_stored_scores_are_computed_from_one_read_of_the_source(spark, tmp_path, rows_read, name, parts):
+    from blotter.queries import queries
+    rows = 20_000  # far more than the contexts that the stored tables hold
+    spark.range(rows).selectExpr(
+        "if(id % 5 = 0, id, 1) as l_orderkey", "1L as l_partkey", "1L as l_suppkey", "1 as l_linenumber",
+        "cast(if(id % 5 = 0, id % 47, 20) as double) as l_quantity", "if(id % 2 = 0, 'A', 'N') as l_returnflag", "'F' as l_linestatus",
+        "timestamp_ntz'1997-05-06 00:00:00' as l_shipdate").write.parquet(str(tmp_path / "lineitem.parquet"))
+    before = rows_read()
+    found = queries()[name](spark, str(tmp_path)).collect()
+    assert rows <= rows_read() - before < 2 * rows
+    assert {r["ordered_by" if "ordered_by" in r else "table"] for r in found} == parts
