@@ -36,8 +36,7 @@ def to_date_col(c: str | Column, source_type: DataType | None = None, fmt: str |
 
 def to_int(c: str | Column) -> Column:
     """Whole number, fractions cut off (``'30.0'`` -> 30); no number or one out of range gives NULL."""
-    x = _col(c).try_cast("double")
-    return F.when((x > -(2.0**31) - 1) & (x < 2.0**31), x.cast("int"))
+    return _col(c).try_cast("double").try_cast("int")  # the column is named once: its expression is computed once
 
 
 def to_number(c: str | Column) -> Column:
